@@ -7,6 +7,8 @@ import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bizmetrics.functions.arithmetic import least_strict
+
 DateLike = datetime.date | str | Column | None
 
 
@@ -38,8 +40,7 @@ def month_week_start(day: Column, first_of_month: Column) -> Column:
 
 def month_week_end(start: Column) -> Column:
     """Last day of the bucket that begins on ``start``, clipped to the end of the month."""
-    # Both bounds are NULL together, so plain least() is already strict here.
-    return F.least(F.date_add(start, 6), F.last_day(start))
+    return least_strict(F.date_add(start, 6), F.last_day(start))
 
 
 def hour_bucket(timestamp: Column) -> Column:

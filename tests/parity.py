@@ -1,0 +1,64 @@
+"""Compare a Spark result with DuckDB's, as multisets of rows and by column type."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        if Path(f"{sf_dir}/{table}.parquet").exists():
+            connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return connection
+
+
+def _normal(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    return value
+
+
+def _rows(rows, names):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_normal(row[i]) for i in order) for row in rows)
+
+
+def differences(df, connection, sql: str) -> list[str]:
+    """What differs; an empty list when the results are equal."""
+    cursor = connection.execute(sql)
+    duck_schema = {d[0]: str(d[1]) for d in cursor.description}
+    duck_rows = cursor.fetchall()
+    found = []
+    spark_schema = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    if spark_schema != duck_schema:
+        found.append(f"schema: spark {spark_schema} duckdb {duck_schema}")
+    if set(spark_schema) != set(duck_schema):
+        return found
+    ours = _rows(df.collect(), df.columns)
+    theirs = _rows(duck_rows, list(duck_schema))
+    if not ours:
+        found.append("no rows")
+    if ours != theirs:
+        found.append(f"{sum(ours.values())} rows against {sum(theirs.values())}")
+        found += [f"only spark: {row} x{n}" for row, n in list((ours - theirs).items())[:3]]
+        found += [f"only duckdb: {row} x{n}" for row, n in list((theirs - ours).items())[:3]]
+    return found
