@@ -19,7 +19,7 @@ def _with_period_starts(days: DataFrame) -> DataFrame:
 def calendar(spark: SparkSession, start: DateLike, end: DateLike) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
     days = F.explode(F.sequence(as_date(start), as_date(end), F.expr("interval 1 day")))
-    return _with_period_starts(spark.range(1).select(days.alias("date")))
+    return _with_period_starts(spark.range(0, 1, 1, 1).select(days.alias("date")))
 
 
 def calendar_of(df: DataFrame, day: Column) -> DataFrame:
