@@ -7,6 +7,9 @@ in place of joined flags, the dimension joined before sums in place of after the
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from bizmetrics.sources.testdata import (
     ADOPTION_AS_OF,
     CATEGORY,
@@ -41,9 +44,9 @@ FIXTURES = {
         SELECT NULLIF(user_id, 0) AS account_id, ts AS event_timestamp, ts::DATE AS event_date,
                {_case("event_type", MODELS)} AS model_name,
                CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS error_code,
-               event_id % 10 + 1 AS call_weight, event_id % 997 AS input_tokens,
-               event_id % 499 AS output_tokens, value::DECIMAL(18,2) AS ttft,
-               value::DECIMAL(18,2) + (event_id % 7)::DECIMAL(18,2) AS duration
+               event_id % 10 + 1 AS call_weight_from_sampling, event_id % 997 AS input_tokens,
+               event_id % 499 AS output_tokens, value::DECIMAL(18,2) AS time_to_first_token_ms,
+               value::DECIMAL(18,2) + (event_id % 7)::DECIMAL(18,2) AS inference_duration_ms
         FROM events""",
     "accounts_dim": """
         SELECT c_custkey AS account_id, c_mktsegment AS industry_vertical, n_name AS billing_country
@@ -66,17 +69,21 @@ FIXTURES = {
         SELECT user_id, ts::DATE AS event_date, value > 20 AS is_proxied
         FROM events WHERE event_type = 'view'""",
     "settings": """
-        SELECT o_custkey AS user_id, o_orderpriority = '1-URGENT' AS enabled FROM orders""",
+        SELECT o_custkey AS user_id, o_orderpriority = '1-URGENT' AS is_js_challenge_enabled FROM orders""",
     "interactions": """
         SELECT ts::DATE AS event_date, struct_pack(user_id := user_id, page_url :=
                CASE WHEN event_id % 2 = 0 THEN '/z/security/analytics' ELSE '/z/home' END) AS properties
         FROM events WHERE event_type = 'click'""",
+    "customers": "SELECT c_custkey AS crm_account_id, c_name AS account_name, c_mktsegment AS industry_vertical FROM customer",
+    "strategic": f"""
+        SELECT c_custkey AS crm_account_id, c_name AS account_name, {STRATEGIC_YEAR} AS fiscal_year
+        FROM customer WHERE c_acctbal > 8000""",
     "opportunity": f"""
-        SELECT o_custkey AS crm_account_id, o_orderdate::DATE AS created,
-               o_orderdate::DATE + (o_orderkey % 90)::INTEGER AS closed,
+        SELECT o_custkey AS crm_account_id, o_orderdate::DATE AS pipeline_creation_date,
+               o_orderdate::DATE + (o_orderkey % 90)::INTEGER AS close_date,
                {_case("o_orderstatus", STAGES)} AS stage_name,
                {_case("o_orderpriority", OPPORTUNITY_TYPES)} AS opportunity_type,
-               o_totalprice::DECIMAL(18,2) AS acv
+               o_totalprice::DECIMAL(18,2) AS annual_contract_value
         FROM orders""",
     "targets": """
         SELECT c_mktsegment AS target_vertical, date_trunc('month', o_orderdate)::DATE AS target_month,
@@ -125,7 +132,7 @@ STEPS = {
           AND regexp_matches(model_name, '^partner-a/model-family-[xy]-')""",
     "hours": """
         SELECT week_start, week_end, customer_uuid, model, industry_vertical, billing_country,
-               date_trunc('hour', event_timestamp)::TIMESTAMP AS hour_bucket, SUM(call_weight)::BIGINT AS calls
+               date_trunc('hour', event_timestamp)::TIMESTAMP AS hour_bucket, SUM(call_weight_from_sampling)::BIGINT AS calls
         FROM calls LEFT JOIN accounts_dim USING (account_id) GROUP BY ALL""",
     "hour_stats": """
         SELECT week_start, customer_uuid, model, industry_vertical, billing_country,
@@ -134,8 +141,8 @@ STEPS = {
     "totals": """
         SELECT week_start, week_end, customer_uuid, model,
                SUM(input_tokens)::BIGINT AS input_tokens, SUM(output_tokens)::BIGINT AS output_tokens,
-               SUM(call_weight)::BIGINT AS calls, SUM(ttft)::DOUBLE / COUNT(ttft) AS ttft,
-               SUM(duration)::DOUBLE / COUNT(duration) AS duration
+               SUM(call_weight_from_sampling)::BIGINT AS calls, SUM(time_to_first_token_ms)::DOUBLE / COUNT(time_to_first_token_ms) AS ttft,
+               SUM(inference_duration_ms)::DOUBLE / COUNT(inference_duration_ms) AS duration
         FROM calls GROUP BY ALL""",
     "active": """
         SELECT u.subscription_plan, u.user_id, a.account_id,
@@ -149,7 +156,7 @@ STEPS = {
                    AS is_adopted_ai_powered_waf_rule,
                user_id IN (SELECT user_id FROM analytics WHERE is_proxied AND event_date = DATE '{ADOPTION_AS_OF}' - 1)
                    AS is_adopted_volumetric_protection,
-               user_id IN (SELECT user_id FROM settings WHERE enabled) AS is_adopted_client_side_analysis,
+               user_id IN (SELECT user_id FROM settings WHERE is_js_challenge_enabled) AS is_adopted_client_side_analysis,
                user_id IN (SELECT properties.user_id FROM interactions
                            WHERE regexp_matches(properties.page_url, '/security/analytics$')
                              AND event_date >= DATE '{ADOPTION_AS_OF}' - 8 AND event_date < DATE '{ADOPTION_AS_OF}')
@@ -173,11 +180,11 @@ STEPS = {
         SELECT 'All', COUNT(DISTINCT user_id), COUNT(DISTINCT account_id), COUNT(DISTINCT organization_id)
         FROM active""",
     "cohort": f"""
-        SELECT c_custkey AS crm_account_id, c_name AS account_name, 'Tier 2' AS priority_level
-        FROM customer WHERE c_mktsegment = '{VERTICAL}' GROUP BY ALL
+        SELECT crm_account_id, account_name, 'Tier 2' AS priority_level
+        FROM customers WHERE crm_account_id >= 0 AND industry_vertical = '{VERTICAL}' GROUP BY ALL
         UNION ALL
-        SELECT c_custkey, c_name, 'Tier 1' FROM customer
-        WHERE c_acctbal > 8000 AND {STRATEGIC_YEAR} = year(DATE '{SALES_AS_OF}')""",
+        SELECT crm_account_id, account_name, 'Tier 1' FROM strategic
+        WHERE fiscal_year = year(DATE '{SALES_AS_OF}')""",
     "period": f"""
         SELECT d AS as_of_date, date_trunc('month', d)::DATE AS first_day_of_current_month,
                date_trunc('quarter', d)::DATE AS first_day_of_current_quarter,
@@ -187,8 +194,9 @@ STEPS = {
                quarter(d)::INTEGER AS current_quarter_number
         FROM (SELECT DATE '{SALES_AS_OF}' - 1 AS d)""",
     "deals": """
-        SELECT crm_account_id, created, closed, acv, stage_name = 'Closed Won' AS won, period.*
-        FROM opportunity, period WHERE opportunity_type <> 'Internal'""",
+        SELECT crm_account_id, pipeline_creation_date AS created, close_date AS closed,
+               annual_contract_value AS acv, stage_name = 'Closed Won' AS won, period.*
+        FROM opportunity, period WHERE opportunity_type NOT IN ('Internal')""",
     "account_sums": """
         SELECT crm_account_id,
                COALESCE(SUM(acv) FILTER (year(created) = year(first_day_of_prior_year)), 0) AS prior_year_pipeline_acv,
@@ -223,26 +231,34 @@ NEEDS = {
     "flagged": ["active", "rules", "analytics", "settings", "interactions"],
     "adopted": ["flagged"],
     "plans": ["active"],
+    "cohort": ["customers", "strategic"],
     "deals": ["opportunity", "period"],
     "account_sums": ["deals"],
     "goal": ["targets", "period"],
 }
 
 
-def _with(names: str, body: str) -> str:
-    """``body`` preceded by the definitions of ``names`` and of everything they read."""
-    ordered: list[str] = []
+@dataclass(frozen=True)
+class Query:
+    """A statement and the steps and source tables it reads."""
+
+    names: str
+    body: str
+
+    def sql(self, fixtures: Mapping[str, str]) -> str:
+        """The statement preceded by the definitions of its names and of everything they read."""
+        ordered: list[str] = []
 
-    def add(name: str) -> None:
-        for needed in NEEDS.get(name, []):
-            add(needed)
-        if name not in ordered:
-            ordered.append(name)
+        def add(name: str) -> None:
+            for needed in NEEDS.get(name, []):
+                add(needed)
+            if name not in ordered:
+                ordered.append(name)
 
-    for name in names.split():
-        add(name)
-    definitions = [f"{n} AS ({(FIXTURES.get(n) or STEPS[n]).strip()})" for n in ordered]
-    return ("WITH " + ",\n".join(definitions) + "\n" if definitions else "") + body.strip()
+        for name in self.names.split():
+            add(name)
+        definitions = [f"{n} AS ({(STEPS[n] if n in STEPS else fixtures[n]).strip()})" for n in ordered]
+        return ("WITH " + ",\n".join(definitions) + "\n" if definitions else "") + self.body.strip()
 
 
 def _ratio(a: str, b: str) -> str:
@@ -254,8 +270,8 @@ _YOY = """month_end_date, aggregation_level, aggregation_object, num_customers,
     acv_ago::DOUBLE AS total_acv_prior_year, mrr_ago::DOUBLE AS total_mrr_prior_year"""
 
 
-def _level(label: str, column: str) -> str:
-    return _with(
+def _level(label: str, column: str) -> Query:
+    return Query(
         "levels",
         f"""SELECT month_end_date, aggregation_object AS {column}, num_customers,
                    acv::DOUBLE AS total_acv, mrr::DOUBLE AS total_mrr
@@ -267,8 +283,8 @@ ACTUALS = [
     f"{period}_{kind}_acv" for period in ("prior_year", "ytd", "qtd", "mtd") for kind in ("pipeline", "closed_won")
 ]
 
-ORACLES = {
-    "r1_business_metrics": _with(
+QUERIES: dict[str, Query | str] = {
+    "r1_business_metrics": Query(
         "yoy",
         f"""SELECT {_YOY},
                    {_ratio("num_customers - customers_ago", "customers_ago")} AS yoy_growth_customers,
@@ -276,7 +292,7 @@ ORACLES = {
                    {_ratio("mrr - mrr_ago", "mrr_ago")} AS yoy_growth_mrr
             FROM yoy""",
     ),
-    "r2_partner_usage": _with(
+    "r2_partner_usage": Query(
         "totals hour_stats",
         """SELECT lower(strftime(m.week_start, '%B_%Y')) AS report_month, m.week_start AS report_week_start,
                   m.week_end AS report_week_end, 'cloud_hosted' AS deployment_type, m.model,
@@ -288,7 +304,7 @@ ORACLES = {
            FROM totals m LEFT JOIN hour_stats h
              ON m.week_start = h.week_start AND m.customer_uuid = h.customer_uuid AND m.model = h.model""",
     ),
-    "r3_product_adoption": _with(
+    "r3_product_adoption": Query(
         "adopted plans",
         f"""SELECT DATE '{ADOPTION_AS_OF}' - 1 AS report_date, 'Adopted vs. Total Active' AS scenario, *,
                    adopted_users::DOUBLE / NULLIF(total_users, 0) AS pct_adoption_users,
@@ -300,7 +316,7 @@ ORACLES = {
                          t.total_users, t.total_accounts, t.total_orgs
                   FROM plans t LEFT JOIN adopted a ON t.subscription_plan = a.subscription_plan)""",
     ),
-    "r4_sales_performance": _with(
+    "r4_sales_performance": Query(
         "cohort account_sums goal",
         f"""SELECT (SELECT as_of_date FROM period) AS report_date, priority_level,
                    {", ".join(f"total_{a}::DOUBLE AS total_{a}" for a in ACTUALS)},
@@ -312,29 +328,29 @@ ORACLES = {
             FROM (SELECT priority_level, {", ".join(f"SUM({a}) AS total_{a}" for a in ACTUALS)}
                   FROM cohort LEFT JOIN account_sums USING (crm_account_id) GROUP BY priority_level), goal""",
     ),
-    "s01_revenue_base": _with("base", "SELECT * REPLACE (acv::DOUBLE AS acv, mrr::DOUBLE AS mrr) FROM base"),
+    "s01_revenue_base": Query("base", "SELECT * REPLACE (acv::DOUBLE AS acv, mrr::DOUBLE AS mrr) FROM base"),
     "s02_group_metrics": _level("Product Group", "product_group"),
     "s03_name_metrics": _level("Product Name", "product_name"),
     "s04_category_metrics": _level("Product Category", "product_category"),
-    "s05_hierarchy_grouping_sets": _with(
+    "s05_hierarchy_grouping_sets": Query(
         "levels",
         """SELECT month_end_date, aggregation_level, aggregation_object, num_customers,
                   acv::DOUBLE AS total_acv, mrr::DOUBLE AS total_mrr FROM levels""",
     ),
-    "s06_metrics_long_yoy": _with("yoy", f"SELECT {_YOY} FROM yoy"),
-    "s07_eligible_dates": _with("buckets", "SELECT date, week_start AS first_day_of_week FROM buckets"),
-    "s08_hourly_volume": _with(
+    "s06_metrics_long_yoy": Query("yoy", f"SELECT {_YOY} FROM yoy"),
+    "s07_eligible_dates": Query("buckets", "SELECT date, week_start AS first_day_of_week FROM buckets"),
+    "s08_hourly_volume": Query(
         "hours",
         """SELECT week_start AS week_start_date, week_end AS week_end_date, customer_uuid, model,
                   industry_vertical, billing_country, hour_bucket, calls AS hourly_api_calls FROM hours""",
     ),
-    "s09_usage_percentiles": _with(
+    "s09_usage_percentiles": Query(
         "hour_stats",
         """SELECT week_start AS week_start_date, customer_uuid, model, industry_vertical, billing_country,
                   q[1] AS p20_hourly_call_volume, q[2] AS p50_hourly_call_volume,
                   q[3] AS p80_hourly_call_volume, peak AS peak_hourly_call_volume FROM hour_stats""",
     ),
-    "s10_usage_summary": _with(
+    "s10_usage_summary": Query(
         "totals",
         """SELECT week_start AS week_start_date, week_end AS week_end_date, customer_uuid, model,
                   input_tokens AS total_input_tokens, output_tokens AS total_output_tokens,
@@ -342,54 +358,54 @@ ORACLES = {
            FROM totals""",
     ),
     "s11_report_date": "SELECT MAX(ts)::DATE AS report_date FROM events",
-    "s12_active_entities": _with("active", "SELECT * FROM active"),
-    "s13_feature_flags": _with(
+    "s12_active_entities": Query("active", "SELECT * FROM active"),
+    "s13_feature_flags": Query(
         "flagged",
         """SELECT f.* FROM flagged f
-           LEFT JOIN (SELECT user_id FROM settings WHERE enabled) s ON s.user_id = f.user_id""",
+           LEFT JOIN (SELECT user_id FROM settings WHERE is_js_challenge_enabled) s ON s.user_id = f.user_id""",
     ),
-    "s14_adoption_long": _with("adopted", "SELECT * FROM adopted"),
-    "s15_plan_totals": _with("plans", "SELECT * FROM plans"),
-    "s16_cohort": _with("cohort", "SELECT * FROM cohort"),
-    "s17_period_refs": _with(
+    "s14_adoption_long": Query("adopted", "SELECT * FROM adopted"),
+    "s15_plan_totals": Query("plans", "SELECT * FROM plans"),
+    "s16_cohort": Query("cohort", "SELECT * FROM cohort"),
+    "s17_period_refs": Query(
         "order_days period", "SELECT * FROM period WHERE as_of_date IN (SELECT date FROM order_days)"
     ),
-    "s18_opportunity_actuals": _with(
+    "s18_opportunity_actuals": Query(
         "account_sums",
         f"SELECT crm_account_id, {', '.join(f'{a}::DOUBLE AS {a}' for a in ACTUALS)} FROM account_sums",
     ),
-    "s19_vertical_targets": _with(
+    "s19_vertical_targets": Query(
         "goal",
         """SELECT annual::DOUBLE AS total_annual_target_acv, quarterly::DOUBLE AS current_quarter_target_acv,
                   monthly::DOUBLE AS current_month_target_acv FROM goal""",
     ),
-    "o_join_inner": _with(
+    "o_join_inner": Query(
         "logs buckets",
-        """SELECT week_start AS first_day_of_week, COUNT(*) AS logged_calls, SUM(call_weight)::BIGINT AS calls
+        """SELECT week_start AS first_day_of_week, COUNT(*) AS logged_calls, SUM(call_weight_from_sampling)::BIGINT AS calls
            FROM logs JOIN buckets ON event_date = date GROUP BY week_start""",
     ),
-    "o_join_inner_extra_pred": _with(
+    "o_join_inner_extra_pred": Query(
         "users accounts",
         """SELECT u.user_id, a.account_id, a.organization_id FROM users u
            JOIN accounts a ON u.account_id = a.account_id AND a.is_active""",
     ),
-    "o_join_left": _with(
+    "o_join_left": Query(
         "logs accounts_dim",
-        """SELECT industry_vertical, billing_country, SUM(call_weight)::BIGINT AS calls
+        """SELECT industry_vertical, billing_country, SUM(call_weight_from_sampling)::BIGINT AS calls
            FROM logs LEFT JOIN accounts_dim USING (account_id) GROUP BY ALL""",
     ),
-    "o_join_left_on_pred": _with(
+    "o_join_left_on_pred": Query(
         "users settings",
-        """SELECT subscription_plan, enabled AS is_js_challenge_enabled, COUNT(*) AS n_rows
-           FROM users u LEFT JOIN settings s ON u.user_id = s.user_id AND s.enabled GROUP BY ALL""",
+        """SELECT subscription_plan, s.is_js_challenge_enabled, COUNT(*) AS n_rows
+           FROM users u LEFT JOIN settings s ON u.user_id = s.user_id AND s.is_js_challenge_enabled GROUP BY ALL""",
     ),
-    "o_join_multi_key": _with(
+    "o_join_multi_key": Query(
         "logs",
         """SELECT a.*, b.slow_calls
-           FROM (SELECT account_id, model_name, event_date, SUM(call_weight)::BIGINT AS calls
+           FROM (SELECT account_id, model_name, event_date, SUM(call_weight_from_sampling)::BIGINT AS calls
                  FROM logs GROUP BY ALL) a
-           LEFT JOIN (SELECT account_id, model_name, event_date, SUM(call_weight)::BIGINT AS slow_calls
-                      FROM logs WHERE ttft > 50 GROUP BY ALL) b
+           LEFT JOIN (SELECT account_id, model_name, event_date, SUM(call_weight_from_sampling)::BIGINT AS slow_calls
+                      FROM logs WHERE time_to_first_token_ms > 50 GROUP BY ALL) b
              USING (account_id, model_name, event_date)""",
     ),
     "o_cross_join_scalar": """
@@ -397,7 +413,7 @@ ORACLES = {
         FROM (SELECT o_orderstatus, SUM(o_totalprice::DECIMAL(18,2))::DOUBLE AS total_price
               FROM orders GROUP BY o_orderstatus)
         CROSS JOIN (SELECT SUM(o_totalprice::DECIMAL(18,2))::DOUBLE AS overall_price FROM orders)""",
-    "o_existence_flag": _with(
+    "o_existence_flag": Query(
         "users analytics",
         """SELECT user_id, EXISTS (SELECT 1 FROM analytics a WHERE a.user_id = u.user_id AND is_proxied)
                   AS has_proxied_traffic FROM users u""",
@@ -410,7 +426,7 @@ ORACLES = {
         SELECT COUNT(*) AS n_rows, SUM(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sum_price,
                (SUM(l_quantity::DECIMAL(18,2)) FILTER (l_returnflag = 'R'))::DOUBLE AS returned_qty
         FROM lineitem""",
-    "o_rollup_grouping": _with(
+    "o_rollup_grouping": Query(
         "users",
         """SELECT CASE WHEN GROUPING(subscription_plan) = 1 THEN 'All' ELSE subscription_plan END AS plan,
                   GROUPING(subscription_plan)::INTEGER AS is_total, COUNT(*) AS n_users
@@ -429,23 +445,23 @@ ORACLES = {
     "o_avg": """
         SELECT event_type, SUM(value::DECIMAL(18,2))::DOUBLE / NULLIF(COUNT(value), 0) AS avg_value
         FROM events WHERE value > 50 GROUP BY event_type""",
-    "o_approx_quantiles": _with(
+    "o_approx_quantiles": Query(
         "logs",
         """SELECT model_name, event_date, q[1] AS p20, q[2] AS p50, q[3] AS p80
            FROM (SELECT model_name, event_date, quantile_disc(calls, [0.2, 0.5, 0.8]) AS q
-                 FROM (SELECT model_name, event_date, hour(event_timestamp) AS h, SUM(call_weight)::BIGINT AS calls
+                 FROM (SELECT model_name, event_date, hour(event_timestamp) AS h, SUM(call_weight_from_sampling)::BIGINT AS calls
                        FROM logs GROUP BY ALL) GROUP BY ALL)""",
     ),
-    "o_bool_or": _with(
+    "o_bool_or": Query(
         "rules", "SELECT user_id, bool_or(uses_heuristic_rule) AS uses_heuristic_rule FROM rules GROUP BY user_id"
     ),
     "o_distinct_multi": "SELECT c_mktsegment, c_nationkey FROM customer GROUP BY ALL",
-    "o_distinct_nested_field": _with(
+    "o_distinct_nested_field": Query(
         "interactions",
         """SELECT DISTINCT properties.user_id AS user_id FROM interactions
            WHERE properties.page_url LIKE '%/security/analytics'""",
     ),
-    "o_lag_12": _with(
+    "o_lag_12": Query(
         "base",
         """SELECT *, LAG(total_acv, 12) OVER (PARTITION BY product_group ORDER BY month_end_date)
                   AS total_acv_prior_year
@@ -465,12 +481,12 @@ ORACLES = {
         SELECT o_orderkey, o_orderdate::DATE AS day FROM orders WHERE year(o_orderdate) = 2000""",
     "o_like_prefix_or": f"""
         SELECT p_partkey, p_name FROM part
-        WHERE (starts_with(p_name, 'small') OR starts_with(p_name, 'red')) AND p_type = '{CATEGORY}'""",
+        WHERE (startsQuery(p_name, 'small') OR startsQuery(p_name, 'red')) AND p_type = '{CATEGORY}'""",
     "o_like_suffix": "SELECT p_partkey, p_name FROM part WHERE suffix(p_name, 'ring')",
     "o_in_list": """
         SELECT o_orderkey, o_orderpriority FROM orders
         WHERE o_orderpriority = '1-URGENT' OR o_orderpriority = '2-HIGH' OR o_orderpriority = '3-MEDIUM'""",
-    "o_null_handling": _with(
+    "o_null_handling": Query(
         "rules",
         """SELECT user_id, uses_heuristic_rule IS NOT NULL AS is_known,
                   COALESCE(uses_heuristic_rule, false) AS or_false,
@@ -503,10 +519,15 @@ ORACLES = {
                     THEN CASE WHEN month(d + 3) = month(d) THEN d + 3 ELSE last_day(d) END END AS shipped_in_month
         FROM (SELECT o_orderkey, o_orderstatus, o_orderdate::DATE AS d FROM orders)""",
     "o_format_month_label": "SELECT o_orderkey, lower(strftime(o_orderdate, '%B_%Y')) AS label FROM orders",
-    "o_pseudonym_key": _with(
+    "o_pseudonym_key": Query(
         "logs",
         f"""SELECT event_timestamp, account_id,
                    CASE WHEN account_id IS NOT NULL THEN sha256('{SALT}' || account_id::VARCHAR) END AS customer_uuid
             FROM logs""",
     ),
 }
+
+
+def oracle_sql(fixtures: Mapping[str, str] = FIXTURES) -> dict[str, str]:
+    """Each query's SQL, over the test tables or over other definitions of the source tables."""
+    return {name: q.sql(fixtures) if isinstance(q, Query) else q.strip() for name, q in QUERIES.items()}

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Only settings that matter for results or for surviving skew; sizes of executors and
-# shuffles are the cluster's business (AQE picks the number of reduce tasks).
+# What matters for results, for skew and for broadcasts; sizes of executors and shuffles are
+# the cluster's business (AQE picks the number of reduce tasks).
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # No join carries a hint: Spark broadcasts a side only after checking its size against
+    # this, and otherwise sorts and merges, with hot partitions split by AQE. A dimension of
+    # this size is worth sending out in place of shuffling the fact.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -1,0 +1,48 @@
+"""Hand-made source tables: rows in, DataFrames out, with the schemas of the sixteen tables."""
+
+from __future__ import annotations
+
+import datetime
+from decimal import Decimal
+
+SCHEMAS = {
+    "revenue": "month_end_date date, customer_id bigint, product_id bigint, acv decimal(18,2), mrr decimal(18,2)",
+    "hierarchy": "product_id bigint, product_category string, product_group string, product_name string",
+    "calendar": "date date, first_day_of_month date, first_day_of_quarter date",
+    "logs": (
+        "account_id bigint, event_timestamp timestamp_ntz, event_date date, model_name string, error_code int,"
+        " call_weight_from_sampling bigint, input_tokens bigint, output_tokens bigint,"
+        " time_to_first_token_ms decimal(18,2), inference_duration_ms decimal(18,2)"
+    ),
+    "accounts_dim": "account_id bigint, industry_vertical string, billing_country string",
+    "users": "user_id bigint, account_id bigint, subscription_plan string, is_active boolean",
+    "accounts": "account_id bigint, organization_id int, is_active boolean",
+    "orgs": "organization_id int, crm_organization_id string",
+    "rules": "user_id bigint, event_date date, uses_heuristic_rule boolean",
+    "analytics": "user_id bigint, event_date date, is_proxied boolean",
+    "settings": "user_id bigint, is_js_challenge_enabled boolean",
+    "interactions": "event_date date, properties struct<user_id: bigint, page_url: string>",
+    "customers": "crm_account_id bigint, account_name string, industry_vertical string",
+    "strategic": "crm_account_id bigint, account_name string, fiscal_year int",
+    "opportunity": (
+        "crm_account_id bigint, pipeline_creation_date date, close_date date, stage_name string,"
+        " opportunity_type string, annual_contract_value decimal(18,2)"
+    ),
+    "targets": "target_vertical string, target_month date, target_acv decimal(18,2)",
+}
+
+
+def day(text: str | None):
+    return None if text is None else datetime.date.fromisoformat(text)
+
+
+def money(value):
+    return None if value is None else Decimal(str(value))
+
+
+def table(spark, name: str, rows) -> object:
+    return spark.createDataFrame([tuple(r) for r in rows], SCHEMAS[name])
+
+
+def as_dicts(df) -> list[dict]:
+    return [row.asDict(recursive=True) for row in df.collect()]
