@@ -1,0 +1,267 @@
+import pytest
+from builders import as_dicts, day, money, table
+from pyspark.sql import functions as F
+
+from bizmetrics.operators import attach_row, period_row, period_sums, row_value
+from bizmetrics.plans import sales_attainment as sales
+from bizmetrics.queries import QUERIES
+from bizmetrics.sources import calendar
+
+AS_OF = "2001-05-15"
+VERTICAL = "Financial Services"
+
+
+def deal(account, created, closed=None, value=1, stage="Open", kind="New Business"):
+    return (account, day(created), day(closed), stage, kind, money(value))
+
+
+def sources(spark, customers=(), strategic=(), deals=(), targets=(), days=("1999-01-01", "2002-12-31")):
+    return {
+        "customers": table(spark, "customers", customers),
+        "strategic": table(spark, "strategic", strategic),
+        "opportunity": table(spark, "opportunity", deals),
+        "targets": table(spark, "targets", [(v, day(m), money(a)) for v, m, a in targets]),
+        "calendar": calendar(spark, *days),
+    }
+
+
+def tiers(src, as_of=AS_OF, **options):
+    return {r["priority_level"]: r for r in as_dicts(sales.sales_attainment(src, as_of, **options))}
+
+
+def actuals(spark, deals, as_of=AS_OF, **options):
+    src = sources(spark, deals=deals)
+    rows = as_dicts(sales.opportunity_actuals(src["opportunity"], period_row(src["calendar"], as_of), **options))
+    return {r["crm_account_id"]: r for r in rows}
+
+
+def test_period_refs_belong_to_the_day_before(spark):
+    (row,) = as_dicts(period_row(calendar(spark, "2000-01-01", "2002-01-01"), AS_OF))
+    assert {k: str(v) for k, v in row.items()} == {
+        "as_of_date": "2001-05-14",
+        "first_day_of_current_month": "2001-05-01",
+        "first_day_of_current_quarter": "2001-04-01",
+        "first_day_of_current_year": "2001-01-01",
+        "first_day_of_prior_year": "2000-01-01",
+        "last_day_of_prior_year": "2000-12-31",
+        "current_quarter_number": "2",
+    }
+
+
+def test_cohort_tiers(spark):
+    src = sources(
+        spark,
+        customers=[
+            (1, "A", VERTICAL),
+            (1, "A", VERTICAL),
+            (1, "A renamed", VERTICAL),
+            (2, "B", "Retail"),
+            (None, "C", VERTICAL),
+        ],
+        strategic=[(1, "A", 2001), (1, "A", 2001), (None, "N", 2001), (3, "D", 2000)],
+    )
+    rows = sorted(
+        (r["priority_level"], r["crm_account_id"] or 0, r["account_name"])
+        for r in as_dicts(sales.account_cohort(src, AS_OF))
+    )
+    assert rows == [
+        ("Tier 1", 0, "N"),
+        ("Tier 1", 1, "A"),
+        ("Tier 1", 1, "A"),
+        ("Tier 2", 1, "A"),
+        ("Tier 2", 1, "A renamed"),
+    ]
+
+
+def test_an_account_counts_in_both_tiers_and_once_per_listing(spark):
+    src = sources(
+        spark,
+        customers=[(1, "A", VERTICAL), (1, "A renamed", VERTICAL)],
+        strategic=[(1, "A", 2001), (1, "A", 2001), (1, "A", 2001)],
+        deals=[deal(1, "2001-05-01", value="10.01")],
+    )
+    found = tiers(src)
+    assert found["Tier 1"]["total_mtd_pipeline_acv"] == money("30.03")
+    assert found["Tier 2"]["total_mtd_pipeline_acv"] == money("20.02")
+
+
+@pytest.mark.parametrize(
+    ("created", "expected"),
+    [
+        ("1999-12-31", []),
+        ("2000-01-01", ["prior_year"]),
+        ("2000-12-31", ["prior_year"]),
+        ("2001-01-01", ["ytd"]),
+        ("2001-03-31", ["ytd"]),
+        ("2001-04-01", ["ytd", "qtd"]),
+        ("2001-05-01", ["ytd", "qtd", "mtd"]),
+        ("2001-05-14", ["ytd", "qtd", "mtd"]),
+        ("2009-01-01", ["ytd", "qtd", "mtd"]),
+    ],
+)
+def test_periods_of_pipeline_and_won_deals(spark, created, expected):
+    row = actuals(spark, [deal(1, created, value=5)])[1]
+    for period in ("prior_year", "ytd", "qtd", "mtd"):
+        assert row[f"{period}_pipeline_acv"] == (5 if period in expected else 0)
+        assert row[f"{period}_closed_won_acv"] == 0
+    row = actuals(spark, [deal(1, "1990-01-01", closed=created, value=5, stage="Closed Won")])[1]
+    for period in ("prior_year", "ytd", "qtd", "mtd"):
+        assert row[f"{period}_closed_won_acv"] == (5 if period in expected else 0)
+        assert row[f"{period}_pipeline_acv"] == 0
+
+
+def test_bounded_periods_end_on_the_report_date(spark):
+    rows = actuals(spark, [deal(1, "2001-05-14", value=1), deal(1, "2001-05-15", value=2)], bounded=True)
+    assert [rows[1][f"{p}_pipeline_acv"] for p in ("ytd", "qtd", "mtd")] == [1, 1, 1]
+
+
+def test_other_stages_and_types_and_missing_dates(spark):
+    rows = actuals(
+        spark,
+        [
+            deal(1, "2001-05-01", "2001-05-02", 1, "Closed Lost"),
+            deal(1, "2001-05-01", "2001-05-02", 2, None, "Renewal"),
+            deal(1, "2001-05-01", "2001-05-02", 4, "Closed Won", "Internal"),
+            deal(1, "2001-05-01", "2001-05-02", 8, "Closed Won", None),
+            deal(1, None, None, 16, "Closed Won", "Upsell"),
+        ],
+    )
+    assert rows[1]["mtd_pipeline_acv"] == 3
+    assert rows[1]["mtd_closed_won_acv"] == 0
+
+
+def test_no_opportunities_give_null_and_none_in_a_period_gives_zero(spark):
+    src = sources(
+        spark,
+        customers=[(1, "A", VERTICAL)],
+        strategic=[(2, "B", 2001)],
+        deals=[deal(2, "1990-01-01", value=5)],
+        targets=[(VERTICAL, "2001-05-01", 100)],
+    )
+    found = tiers(src)
+    assert found["Tier 2"]["total_ytd_closed_won_acv"] is None
+    assert found["Tier 2"]["ytd_percent_to_annual_target"] is None
+    assert found["Tier 1"]["total_ytd_closed_won_acv"] == 0
+    assert found["Tier 1"]["ytd_percent_to_annual_target"] == 0.0
+
+
+def test_accounts_outside_the_cohort_and_null_accounts_add_nothing(spark):
+    src = sources(
+        spark,
+        strategic=[(1, "A", 2001), (None, "N", 2001)],
+        deals=[deal(1, "2001-05-01", value=1), deal(9, "2001-05-01", value=2), deal(None, "2001-05-01", value=4)],
+    )
+    assert tiers(src)["Tier 1"]["total_mtd_pipeline_acv"] == 1
+
+
+def test_targets_of_year_quarter_and_month(spark):
+    src = sources(
+        spark,
+        strategic=[(1, "A", 2001)],
+        deals=[deal(1, "2001-05-01", "2001-05-02", 30, "Closed Won")],
+        targets=[
+            (VERTICAL, "2001-01-01", 10),
+            (VERTICAL, "2001-04-01", 20),
+            (VERTICAL, "2001-05-17", 40),
+            (VERTICAL, "2000-05-01", 80),
+            ("Retail", "2001-05-01", 160),
+            (VERTICAL, None, 320),
+        ],
+    )
+    row = tiers(src)["Tier 1"]
+    assert row["total_annual_target_acv"] == 70
+    assert row["current_quarter_target_acv"] == 60
+    assert row["current_month_target_acv"] == 40
+    assert row["ytd_percent_to_annual_target"] == pytest.approx(30 / 70)
+    assert row["qtd_percent_to_quarter_target"] == 0.5
+    assert row["mtd_percent_to_month_target"] == 0.75
+    assert row["report_date"] == day("2001-05-14")
+
+
+def test_missing_targets_keep_the_rows(spark):
+    src = sources(spark, strategic=[(1, "A", 2001)], deals=[deal(1, "2001-05-01", value=1)])
+    row = tiers(src)["Tier 1"]
+    assert row["total_mtd_pipeline_acv"] == 1
+    assert row["total_annual_target_acv"] is None
+    assert row["ytd_percent_to_annual_target"] is None
+
+
+def test_zero_targets_give_null_ratios(spark):
+    src = sources(
+        spark,
+        strategic=[(1, "A", 2001)],
+        deals=[deal(1, "2001-05-01", "2001-05-02", 30, "Closed Won")],
+        targets=[(VERTICAL, "2001-01-01", 10)],
+    )
+    row = tiers(src)["Tier 1"]
+    assert row["current_month_target_acv"] == 0
+    assert row["mtd_percent_to_month_target"] is None
+
+
+def test_on_january_first_periods_are_last_years_and_targets_this_years(spark):
+    src = sources(
+        spark,
+        strategic=[(1, "A", 2002), (2, "B", 2001)],
+        deals=[deal(1, "2001-12-31", value=1), deal(1, "2001-01-01", value=2), deal(1, "2000-06-01", value=4)],
+        targets=[(VERTICAL, "2002-01-01", 10), (VERTICAL, "2001-12-01", 20), (VERTICAL, "2002-12-01", 40)],
+    )
+    row = tiers(src, "2002-01-01")["Tier 1"]
+    assert row["report_date"] == day("2001-12-31")
+    assert (row["total_ytd_pipeline_acv"], row["total_prior_year_pipeline_acv"]) == (3, 4)
+    assert (row["total_annual_target_acv"], row["current_quarter_target_acv"]) == (50, 40)
+    assert row["current_month_target_acv"] == 0
+
+
+def test_a_day_missing_from_the_calendar_gives_zero_sums_and_no_date(spark):
+    src = sources(
+        spark,
+        strategic=[(1, "A", 2001)],
+        deals=[deal(1, "2001-05-01", value=1)],
+        targets=[(VERTICAL, "2001-05-01", 10)],
+        days=("1999-01-01", "1999-12-31"),
+    )
+    row = tiers(src)["Tier 1"]
+    assert row["report_date"] is None
+    assert row["total_ytd_pipeline_acv"] == 0
+    assert (row["total_annual_target_acv"], row["current_quarter_target_acv"]) == (10, 0)
+
+
+def test_a_day_twice_in_the_calendar_is_an_error(spark):
+    src = sources(spark, strategic=[(1, "A", 2001)], deals=[deal(1, "2001-05-01")])
+    src["calendar"] = src["calendar"].union(src["calendar"])
+    with pytest.raises(Exception, match="(?i)more than one row"):
+        sales.sales_attainment(src, AS_OF).collect()
+
+
+def test_order_and_columns(spark):
+    src = sources(spark, customers=[(1, "A", VERTICAL)], strategic=[(1, "A", 2001)])
+    result = sales.sales_attainment(src, AS_OF)
+    assert [r["priority_level"] for r in result.collect()] == ["Tier 1", "Tier 2"]
+    assert result.columns == [
+        "report_date",
+        "priority_level",
+        *[f"total_{a}" for a in sales.ACTUALS],
+        "total_annual_target_acv",
+        "current_quarter_target_acv",
+        "current_month_target_acv",
+        *sales.ATTAINMENT,
+    ]
+
+
+def test_to_date_periods_are_nested(spark, small_dir):
+    for row in QUERIES["s18_opportunity_actuals"](spark, small_dir).collect():
+        for kind in ("pipeline", "closed_won"):
+            assert row[f"mtd_{kind}_acv"] <= row[f"qtd_{kind}_acv"] <= row[f"ytd_{kind}_acv"]
+
+
+def test_period_sums_without_keys_give_one_row(spark):
+    df = spark.createDataFrame([(1, 2), (2, None), (3, 4)], "k int, v bigint")
+    assert as_dicts(period_sums(df, [], "v", {"all": F.lit(True), "big": F.col("k") > 2})) == [{"all": 6, "big": 4}]
+    assert as_dicts(period_sums(df.limit(0), [], "v", {"all": F.lit(True)})) == [{"all": None}]
+
+
+def test_rows_as_values(spark):
+    df = spark.range(2)
+    one = spark.createDataFrame([(7, "x")], "a int, b string")
+    assert as_dicts(attach_row(df, one)) == [{"id": 0, "a": 7, "b": "x"}, {"id": 1, "a": 7, "b": "x"}]
+    assert [r["v"] for r in df.select(row_value(one.limit(0))["a"].alias("v")).collect()] == [None, None]
