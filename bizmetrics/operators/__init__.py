@@ -1,10 +1,12 @@
 """Reusable DataFrame operators: lazy, built-in expressions only, no actions."""
 
 from bizmetrics.operators.adoption import (
-    flag_members,
     flags_to_long,
+    join_member_counts,
+    member_counts,
     membership_flags,
     metric_rows,
+    repeat_rows,
     rollup_distinct,
 )
 from bizmetrics.operators.hierarchy import hierarchy_metrics, prior_period
@@ -28,11 +30,12 @@ from bizmetrics.operators.usage import (
 __all__ = [
     "attach_row",
     "bucket_days",
-    "flag_members",
     "flags_to_long",
     "hierarchy_metrics",
     "hourly_usage",
+    "join_member_counts",
     "join_segments",
+    "member_counts",
     "membership_flags",
     "merged_average",
     "metric_rows",
@@ -41,6 +44,7 @@ __all__ = [
     "period_sums",
     "previous_month_days",
     "prior_period",
+    "repeat_rows",
     "report_date",
     "rollup_distinct",
     "row_value",

@@ -9,25 +9,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def flag_members(members: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """One row per key that is in any of the relations, with a boolean per relation.
+def member_counts(members: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """One row per key that is in any of the relations, with its number of rows in each.
 
-    ``members`` maps a flag to a relation that has ``key``. All relations are read in one
-    union and reduced in one exchange, in place of one distinct and one join each.
+    ``members`` maps a name to a relation that has ``key``. All relations are read in one
+    union and reduced in one exchange, in place of one distinct and one join each. A key
+    with very many rows leaves each task as one.
     """
-    tagged = [df.select(F.col(key), F.lit(flag).alias("_flag")) for flag, df in members.items()]
+    tagged = [df.select(F.col(key), F.lit(name).alias("_member")) for name, df in members.items()]
     return (
         reduce(DataFrame.unionAll, tagged)
         .where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(*[F.bool_or(F.col("_flag") == flag).alias(flag) for flag in members])
+        .agg(*[F.count_if(F.col("_member") == name).alias(name) for name in members])
     )
 
 
+def join_member_counts(df: DataFrame, members: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """``df`` with the number of rows its key has in each relation. Rows are neither lost nor repeated."""
+    counted = df.join(member_counts(members, key), key, "left")
+    return counted.select(*df.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in members])
+
+
 def membership_flags(df: DataFrame, members: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """``df`` with a boolean per relation: whether the row's key occurs there. Rows are neither lost nor repeated."""
-    flagged = df.join(flag_members(members, key), key, "left")
-    return flagged.select(*df.columns, *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in members])
+    """``df`` with a boolean per relation: whether the row's key occurs there."""
+    return join_member_counts(df, members, key).withColumns({name: F.col(name) > 0 for name in members})
+
+
+def repeat_rows(df: DataFrame, times: Column, chunk: int = 10_000) -> DataFrame:
+    """Each row ``times`` times.
+
+    Rows are first cut into chunks of at most ``chunk`` repetitions, and these dealt out evenly,
+    so a row repeated billions of times is not written by one task. The number of
+    partitions is explicit, as AQE would judge chunks by their own size and merge them.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / chunk)))
+    in_chunk = F.least(F.lit(chunk), F.col("_times") - F.col("_chunk") * chunk)
+    return (
+        df.withColumn("_times", times.cast("bigint"))
+        .where(F.col("_times") > 0)
+        .withColumn("_chunk", numbered)
+        .repartition(partitions)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), in_chunk)))
+        .select(*df.columns)
+    )
 
 
 def count_name(prefix: str, entity: str) -> str:

@@ -210,8 +210,8 @@ STEPS = {
         FROM deals GROUP BY crm_account_id""",
     "goal": f"""
         SELECT SUM(target_acv) AS annual,
-               SUM(target_acv) FILTER (quarter(target_month) = current_quarter_number) AS quarterly,
-               SUM(target_acv) FILTER (target_month = first_day_of_current_month) AS monthly
+               SUM(IF(quarter(target_month) = current_quarter_number, target_acv, 0)) AS quarterly,
+               SUM(IF(target_month = first_day_of_current_month, target_acv, 0)) AS monthly
         FROM targets, period
         WHERE target_vertical = '{VERTICAL}' AND year(target_month) = year(DATE '{SALES_AS_OF}')""",
 }
@@ -481,7 +481,7 @@ QUERIES: dict[str, Query | str] = {
         SELECT o_orderkey, o_orderdate::DATE AS day FROM orders WHERE year(o_orderdate) = 2000""",
     "o_like_prefix_or": f"""
         SELECT p_partkey, p_name FROM part
-        WHERE (startsQuery(p_name, 'small') OR startsQuery(p_name, 'red')) AND p_type = '{CATEGORY}'""",
+        WHERE (starts_with(p_name, 'small') OR starts_with(p_name, 'red')) AND p_type = '{CATEGORY}'""",
     "o_like_suffix": "SELECT p_partkey, p_name FROM part WHERE suffix(p_name, 'ring')",
     "o_in_list": """
         SELECT o_orderkey, o_orderpriority FROM orders

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from bizmetrics.functions import safe_divide
 from bizmetrics.functions.dates import DateLike
-from bizmetrics.operators.adoption import flags_to_long, membership_flags, metric_rows, rollup_distinct
+from bizmetrics.operators.adoption import (
+    flags_to_long,
+    join_member_counts,
+    membership_flags,
+    metric_rows,
+    repeat_rows,
+    rollup_distinct,
+)
 from bizmetrics.operators.periods import report_date
 
 # Labels and output names. The labels are the report's own and do not all
@@ -50,10 +57,6 @@ def active_entities(sources: Mapping[str, DataFrame]) -> DataFrame:
     return users.join(accounts, "account_id").select(PLAN, *ENTITIES.values())
 
 
-def enabled_settings(sources: Mapping[str, DataFrame]) -> DataFrame:
-    return sources["settings"].where("is_js_challenge_enabled").select("user_id")
-
-
 def adopters(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> dict[str, DataFrame]:
     """Users seen with each feature, one row per sighting; flag → relation with ``user_id``."""
     day = report_date(as_of)
@@ -64,7 +67,7 @@ def adopters(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> dict[s
         # A user's rule flags are combined by OR, and none or only NULLs count as not adopted.
         RULE: sources["rules"].where(on_day & F.col("uses_heuristic_rule")).select("user_id"),
         PROXY: sources["analytics"].where(on_day & F.col("is_proxied")).select("user_id"),
-        SETTING: enabled_settings(sources),
+        SETTING: sources["settings"].where("is_js_challenge_enabled").select("user_id"),
         DASHBOARD: sources["interactions"]
         .where(recent & F.col("properties.page_url").endswith(DASHBOARD_PAGE))
         .select("properties.user_id"),
@@ -79,12 +82,11 @@ def user_flags(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> Data
 def user_flags_per_setting(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> DataFrame:
     """``user_flags`` with a user's row repeated for each of their enabled settings rows.
 
-    Distinct counts don't see the difference, so the report does without the repetition. The
-    settings are on the left of an inner join, where AQE splits a user who has very many.
+    Distinct counts don't see the difference, so the report does without the repetition.
     """
-    flags = user_flags(sources, as_of)
-    repeated = enabled_settings(sources).join(flags.where(F.col(SETTING)), "user_id")
-    return flags.where(~F.col(SETTING)).unionByName(repeated)
+    counted = join_member_counts(active_entities(sources), adopters(sources, as_of), "user_id")
+    repeated = repeat_rows(counted, F.greatest(SETTING, F.lit(1)))
+    return repeated.withColumns({flag: F.col(flag) > 0 for flag in FLAGS})
 
 
 def adoption_long(flags: DataFrame) -> DataFrame:

@@ -21,7 +21,6 @@ from bizmetrics.functions import (
 )
 from bizmetrics.operators import (
     attach_row,
-    flag_members,
     hourly_usage,
     membership_flags,
     percentiles,
@@ -368,7 +367,7 @@ def o_distinct_multi(t: TestTables) -> DataFrame:
 def o_distinct_nested_field(t: TestTables) -> DataFrame:
     """Users who opened the analytics page, read from a struct; the column takes the field's name."""
     opened = t.interactions().where(F.col("properties.page_url").endswith(adoption.DASHBOARD_PAGE))
-    return flag_members({"opened": opened.select("properties.user_id")}, "user_id").select("user_id")
+    return opened.select("properties.user_id").distinct()
 
 
 # --- window, union, subqueries, predicates -------------------------------------------------

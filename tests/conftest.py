@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
         app="tests",
         **{
             "spark.sql.shuffle.partitions": "4",
+            # Plans are checked as text, so they must not be abridged.
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

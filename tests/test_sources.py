@@ -1,0 +1,67 @@
+import datetime
+
+import pytest
+from builders import SCHEMAS, as_dicts, table
+from pyspark.sql import functions as F
+
+from bizmetrics.sources import TABLES, Sources, calendar, calendar_of
+
+
+def test_sixteen_tables():
+    assert len(TABLES) == 16
+    assert set(TABLES) == set(SCHEMAS)
+
+
+def test_calendar(spark):
+    rows = as_dicts(calendar(spark, "2024-02-28", "2024-04-01").orderBy("date"))
+    assert len(rows) == 34
+    assert [str(v) for v in rows[1].values()] == ["2024-02-29", "2024-02-01", "2024-01-01"]
+    assert [str(v) for v in rows[-1].values()] == ["2024-04-01", "2024-04-01", "2024-04-01"]
+
+
+def test_calendar_of_the_days_in_a_table(spark):
+    df = spark.sql("select * from values (timestamp_ntz'2024-05-02 10:00'), (timestamp_ntz'2024-05-02 11:00'), (null) t(ts)")
+    assert [str(v) for v in calendar_of(df, F.col("ts")).first()] == ["2024-05-02", "2024-05-01", "2024-04-01"]
+    assert calendar_of(df, F.col("ts")).count() == 1
+
+
+def test_unused_columns_are_dropped_and_timestamps_become_dates(spark):
+    df = spark.sql("select 1 user_id, timestamp_ntz'2024-01-30 23:00' event_date, true uses_heuristic_rule, 'x' extra")
+    rules = Sources({"rules": df})["rules"]
+    assert rules.columns == ["user_id", "event_date", "uses_heuristic_rule"]
+    assert rules.first()["event_date"] == datetime.date(2024, 1, 30)
+
+
+def test_missing_columns_are_named(spark):
+    with pytest.raises(ValueError, match="'orgs' lacks column.*crm_organization_id"):
+        Sources({"orgs": spark.sql("select 1 organization_id")})["orgs"]
+    with pytest.raises(ValueError, match="properties.page_url"):
+        Sources({"interactions": spark.sql("select current_date() event_date, named_struct('user_id', 1) properties")})[
+            "interactions"
+        ]
+
+
+def test_unknown_sources_are_refused(spark):
+    with pytest.raises(KeyError, match="unknown source"):
+        Sources({"rulez": spark.range(1)})
+
+
+def test_tables_are_opened_only_when_used(spark):
+    def fail():
+        raise AssertionError("opened")
+
+    sources = Sources({"orgs": fail, "accounts": table(spark, "accounts", [(1, 2, True)])})
+    assert sources["accounts"].count() == 1
+    assert len(sources) == 2
+
+
+def test_from_warehouse_reads_default_or_given_names(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS data_warehouse")
+    try:
+        table(spark, "orgs", [(1, "O1")]).write.saveAsTable("data_warehouse.dim_orgs")
+        table(spark, "orgs", [(2, "O2")]).write.saveAsTable("data_warehouse.other_orgs")
+        assert Sources.from_warehouse(spark)["orgs"].first()["crm_organization_id"] == "O1"
+        other = Sources.from_warehouse(spark, orgs="data_warehouse.other_orgs")
+        assert other["orgs"].first()["crm_organization_id"] == "O2"
+    finally:
+        spark.sql("DROP DATABASE data_warehouse CASCADE")
