@@ -19,15 +19,16 @@ from bizmetrics.operators.periods import (
 )
 from bizmetrics.operators.sums import attach_row, period_sums, row_value
 from bizmetrics.operators.usage import (
+    approx_percentiles,
     hourly_usage,
     join_segments,
     merged_average,
-    percentiles,
     segment_copies,
     usage_by_bucket,
 )
 
 __all__ = [
+    "approx_percentiles",
     "attach_row",
     "bucket_days",
     "flags_to_long",
@@ -39,7 +40,6 @@ __all__ = [
     "membership_flags",
     "merged_average",
     "metric_rows",
-    "percentiles",
     "period_row",
     "period_sums",
     "previous_month_days",

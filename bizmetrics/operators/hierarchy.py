@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,29 +20,29 @@ def hierarchy_metrics(
 
     ``levels`` maps a level's label to its column, ``sums`` an output name to its column.
     Distinct counts are not additive, so each level counts its own members; NULL is an
-    object of its own at its level, told from "not this level" by ``grouping``.
+    object of its own at its level.
 
-    One read of ``df`` for all levels. The first exchange is keyed on (time, object, key) after
-    tasks have combined their rows, so a level with a single object, or a key that holds much
-    of the input, still spreads over all reduce tasks; the second carries one partial row per
-    (time, object) and task.
+    One read of ``df`` for all levels. Every row is passed on twice per level, once with its key and once
+    with its amounts. Amounts shrink to a row per object before the exchange, so what is
+    left to exchange are bare keys. These are spread by (time, level, object, key): a level with a
+    single object, or a key that holds much of the input, still uses all reduce tasks.
+    The second exchange carries one partial row per (time, level, object) and task.
     """
-    columns = list(levels.values())
-    grouped = df.groupingSets([[time, column] for column in columns], time, *columns).agg(
-        F.count_distinct(distinct_key).alias(count_name),
-        *[F.sum(column).alias(name) for name, column in sums.items()],
-        F.coalesce(*[F.when(F.grouping(column) == 0, label) for label, column in levels.items()]).alias(
-            "aggregation_level"
-        ),
-    )
-    return grouped.select(
-        time,
-        "aggregation_level",
-        # The columns of the other levels are NULL in a level's rows.
-        F.coalesce(*columns).alias("aggregation_object"),
-        count_name,
-        *sums,
-    )
+    types = {field.name: field.dataType for field in df.schema}
+
+    def null(column: str) -> Column:
+        return F.lit(None).cast(types[column])
+
+    copies = []
+    for label, column in levels.items():
+        at = [F.lit(label).alias("aggregation_level"), F.col(column).alias("aggregation_object")]
+        keys_only = [F.col(distinct_key).alias("_key"), *[null(c).alias(name) for name, c in sums.items()]]
+        sums_only = [null(distinct_key).alias("_key"), *[F.col(c).alias(name) for name, c in sums.items()]]
+        copies += [F.struct(*at, *keys_only), F.struct(*at, *sums_only)]
+    grain = [time, "aggregation_level", "aggregation_object"]
+    totals = [F.sum(name).alias(name) for name in sums]
+    per_key = df.select(time, F.inline(F.array(*copies))).groupBy(*grain, "_key").agg(*totals)
+    return per_key.groupBy(*grain).agg(F.count("_key").alias(count_name), *totals)
 
 
 def prior_period(

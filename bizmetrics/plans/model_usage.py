@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizmetrics.functions import hour_bucket, month_label, pseudonym_key
@@ -15,7 +15,6 @@ from bizmetrics.operators.usage import (
     hourly_usage,
     join_segments,
     merged_average,
-    percentiles,
     usage_by_bucket,
 )
 
@@ -23,9 +22,9 @@ from bizmetrics.operators.usage import (
 MODEL_PREFIXES = ("partner-a/model-family-x-", "partner-a/model-family-y-")
 DEPLOYMENT_TYPE = "cloud_hosted"
 PERCENTILE_POINTS = {
-    "p20_hourly_call_volume": 0.2,
-    "p50_hourly_call_volume": 0.5,
-    "p80_hourly_call_volume": 0.8,
+    "p20_hourly_call_volume": 20,
+    "p50_hourly_call_volume": 50,
+    "p80_hourly_call_volume": 80,
 }
 PEAK = "peak_hourly_call_volume"
 SEGMENTS = ["industry_vertical", "billing_country"]
@@ -97,19 +96,19 @@ def hourly_volume(hours: DataFrame, accounts: DataFrame, salt: str) -> DataFrame
 def volume_percentiles(hours: DataFrame, accounts: DataFrame, salt: str) -> DataFrame:
     """Percentiles and peak of hourly volume per week, customer, model and segment."""
     measures = [*PERCENTILE_POINTS, PEAK]
-    per_customer = hours.groupBy(*GRAIN).agg(
-        *percentiles("hourly_api_calls", PERCENTILE_POINTS), F.max("hourly_api_calls").alias(PEAK)
-    )
+    per_customer = usage_by_bucket(hours, GRAIN, "hourly_api_calls", PERCENTILE_POINTS, PEAK)
     by_segment = join_segments(per_customer, accounts, "account_id", SEGMENTS, measures)
     return _public(by_segment, salt, *SEGMENTS, *measures).drop("week_end_date")
 
 
+def _summary_aggregates() -> list[Column]:
+    totals = [F.sum(column).alias(name) for name, column in TOTALS.items()]
+    return totals + [merged_average(column).alias(name) for name, column in AVERAGES.items()]
+
+
 def usage_summary(hours: DataFrame, salt: str) -> DataFrame:
     """Totals and average latencies per week, customer and model. Volumes are weighted, averages are not."""
-    per_customer = hours.groupBy(*GRAIN).agg(
-        *[F.sum(column).alias(name) for name, column in TOTALS.items()],
-        *[merged_average(column).alias(name) for name, column in AVERAGES.items()],
-    )
+    per_customer = hours.groupBy(*GRAIN).agg(*_summary_aggregates())
     return _public(per_customer, salt, *TOTALS, *AVERAGES)
 
 
@@ -131,10 +130,9 @@ def model_usage(
         calls_by_hour(sources, as_of, prefixes),
         GRAIN,
         "hourly_api_calls",
-        TOTALS,
-        AVERAGES,
         PERCENTILE_POINTS,
         PEAK,
+        *_summary_aggregates(),
     )
     by_segment = join_segments(per_customer, sources["accounts_dim"], "account_id", SEGMENTS, measures)
     known = F.col("account_id").isNotNull()

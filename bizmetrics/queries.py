@@ -20,10 +20,10 @@ from bizmetrics.functions import (
     years_before,
 )
 from bizmetrics.operators import (
+    approx_percentiles,
     attach_row,
     hourly_usage,
     membership_flags,
-    percentiles,
     period_row,
     period_sums,
     prior_period,
@@ -350,7 +350,7 @@ def o_approx_quantiles(t: TestTables) -> DataFrame:
         {"calls": "call_weight_from_sampling"},
         [],
     )
-    return hours.groupBy("model_name", "event_date").agg(*percentiles("calls", {"p20": 0.2, "p50": 0.5, "p80": 0.8}))
+    return hours.groupBy("model_name", "event_date").agg(*approx_percentiles("calls", {"p20": 20, "p50": 50, "p80": 80}))
 
 
 @query

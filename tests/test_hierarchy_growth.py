@@ -147,3 +147,27 @@ def test_all_levels_at_once_equal_one_level_at_a_time(spark, small_dir, label, c
     ours = together.drop("aggregation_level").withColumnRenamed("aggregation_object", column)
     assert ours.select(alone.columns).exceptAll(alone).isEmpty()
     assert alone.exceptAll(ours.select(alone.columns)).isEmpty()
+
+
+def test_one_fan_out_equals_grouping_sets(spark, small_dir):
+    base = QUERIES["s01_revenue_base"](spark, small_dir)
+    columns = list(growth.LEVELS.values())
+    sets = base.groupingSets([["month_end_date", c] for c in columns], "month_end_date", *columns).agg(
+        F.count_distinct("customer_id").alias("num_customers"),
+        F.sum("acv").alias("total_acv"),
+        F.coalesce(*[F.when(F.grouping(c) == 0, label) for label, c in growth.LEVELS.items()]).alias("level"),
+    )
+    expected = {
+        (r["month_end_date"], r["level"], r["product_group"] or r["product_name"] or r["product_category"]): (
+            r["num_customers"],
+            pytest.approx(r["total_acv"]),
+        )
+        for r in sets.collect()
+    }
+    rows = QUERIES["s05_hierarchy_grouping_sets"](spark, small_dir).collect()
+    ours = {
+        (r["month_end_date"], r["aggregation_level"], r["aggregation_object"]): (r["num_customers"], r["total_acv"])
+        for r in rows
+    }
+    assert ours == expected
+    assert len(ours) == len(rows)

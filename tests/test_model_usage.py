@@ -5,7 +5,7 @@ from builders import as_dicts, day, money, table
 from pyspark.sql import functions as F
 
 from bizmetrics.functions import pseudonym_key
-from bizmetrics.operators.usage import percentiles
+from bizmetrics.operators import approx_percentiles, usage_by_bucket
 from bizmetrics.plans import model_usage as usage
 from bizmetrics.sources import calendar
 
@@ -159,14 +159,31 @@ def test_customer_keys_are_the_salted_hash_of_the_account(spark):
     assert row["customer_uuid"] == spark.range(7, 8).select(pseudonym_key(F.col("id"), SALT)).first()[0]
 
 
-@pytest.mark.parametrize("n", [1, 2, 5, 24, 99, 168, 744])
-def test_percentiles_are_exact_for_a_week_and_a_month_of_hours(spark, n):
-    values = spark.range(n).select((F.col("id") * 3).alias("v"))
-    got = values.agg(*percentiles("v", {"p20": 0.2, "p50": 0.5, "p80": 0.8})).first()
-    # Nearest rank: the smallest value with at least that share of values at or below it.
-    assert list(got) == [3 * (-(-n * k // 10) - 1) for k in (2, 5, 8)]
+def nearest_ranks(n):
+    """The smallest value with at least 20, 50 and 80 % of the values 0, 3, 6, … at or below it."""
+    return [3 * (-(-n * k // 10) - 1) for k in (2, 5, 8)]
 
 
-def test_percentiles_of_nothing_are_null(spark):
-    empty = spark.range(0).select(F.col("id").alias("v")).agg(*percentiles("v", {"p50": 0.5}))
-    assert empty.first()["p50"] is None
+@pytest.mark.parametrize("n", [1, 2, 5, 24, 99, 168, 744])
+def test_percentiles_are_at_the_nearest_rank(spark, n):
+    hours = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") * 3).alias("v"))
+    points = {"p20": 20, "p50": 50, "p80": 80}
+    exact = usage_by_bucket(hours, ["k"], "v", points, "peak", F.sum("v").alias("total")).first()
+    assert [exact[p] for p in points] == nearest_ranks(n)
+    assert (exact["peak"], exact["total"]) == (3 * (n - 1), 3 * n * (n - 1) // 2)
+    sketched = hours.agg(*approx_percentiles("v", points)).first()
+    assert list(sketched) == nearest_ranks(n)
+
+
+def test_sketched_percentiles_of_a_large_group_are_near_their_rank(spark):
+    sketched = spark.range(300_000).agg(*approx_percentiles("id", {"p20": 20, "p80": 80})).first()
+    assert sketched["p20"] == pytest.approx(60_000, abs=60)
+    assert sketched["p80"] == pytest.approx(240_000, abs=60)
+
+
+def test_percentiles_skip_null_volumes(spark):
+    hours = spark.createDataFrame([("a", None), ("a", 5), ("a", 7), ("b", None)], "k string, v bigint")
+    found = {r["k"]: tuple(r)[1:] for r in usage_by_bucket(hours, ["k"], "v", {"p50": 50}, "peak").collect()}
+    assert found == {"a": (5, 7), "b": (None, None)}
+    sketched = {r["k"]: r["p50"] for r in hours.groupBy("k").agg(*approx_percentiles("v", {"p50": 50})).collect()}
+    assert sketched == {"a": 5, "b": None}

@@ -190,9 +190,17 @@ def test_a_row_repeated_very_often_is_spread_over_tasks(spark):
 
 
 def test_a_hot_account_is_combined_before_the_exchange(spark, small_dir):
-    """Each task sends at most a row per (bucket, account, model, hour), however many calls the account has."""
-    plan = physical(QUERIES["r2_partner_usage"](spark, small_dir))
-    lines = plan.splitlines()
-    below_exchange = [b for a, b in zip(lines, lines[1:], strict=False) if "Exchange hashpartitioning(first_day_of_week" in a]
-    assert len(below_exchange) == 2
-    assert all("partial_sum" in line for line in below_exchange)
+    """A task sends at most a row per (bucket, account, model, hour), however many calls the account has.
+
+    The second exchange is of those hour rows, of which an account has at most 168 per bucket and model.
+    """
+    lines = physical(QUERIES["r2_partner_usage"](spark, small_dir)).splitlines()
+    exchanges = [
+        (line, below)
+        for line, below in zip(lines, lines[1:], strict=False)
+        if "Exchange hashpartitioning(first_day_of_week" in line
+    ]
+    assert len(exchanges) == 2
+    (of_hours, _), (of_log, below_log) = exchanges
+    assert "_groupingexpression" in of_log and "partial_sum(call_weight_from_sampling" in below_log
+    assert "_groupingexpression" not in of_hours and "hour_bucket" not in of_hours
