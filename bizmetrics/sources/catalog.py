@@ -123,24 +123,35 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*kept)
 
 
+Reader = Callable[[], DataFrame]
+
+
 class Sources(Mapping[str, DataFrame]):
     """Name → DataFrame. A table is looked up when a report first asks for it, so unused ones may be absent."""
 
-    def __init__(self, readers: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, readers: Mapping[str, DataFrame | Reader]):
         unknown = set(readers) - set(TABLES)
         if unknown:
             raise KeyError(f"unknown source(s): {', '.join(sorted(unknown))}")
         self._readers = dict(readers)
 
+    @staticmethod
+    def warehouse_readers(spark: SparkSession, **names: str) -> dict[str, Reader]:
+        return {n: (lambda t=names.get(n, TABLES[n].warehouse_name): spark.table(t)) for n in TABLES}
+
+    @staticmethod
+    def parquet_readers(spark: SparkSession, **paths: str) -> dict[str, Reader]:
+        return {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()}
+
     @classmethod
     def from_warehouse(cls, spark: SparkSession, **names: str) -> Sources:
         """Catalog tables under their default names; pass ``logs="db.other_name"`` to read another."""
-        return cls({n: (lambda t=names.get(n, TABLES[n].warehouse_name): spark.table(t)) for n in TABLES})
+        return cls(cls.warehouse_readers(spark, **names))
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, **paths: str) -> Sources:
         """Parquet directories, one path per table."""
-        return cls({n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()})
+        return cls(cls.parquet_readers(spark, **paths))
 
     def __getitem__(self, name: str) -> DataFrame:
         reader = self._readers[name]
