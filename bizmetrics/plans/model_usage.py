@@ -127,7 +127,9 @@ def model_usage(
     """
     measures = [*PERCENTILE_POINTS, PEAK]
     per_customer = usage_by_bucket(
-        calls_by_hour(sources, as_of, prefixes),
+        # Placed by account, hour rows are ready for their buckets and for the join that follows. An
+        # account has no more of them than hours in the month times models.
+        calls_by_hour(sources, as_of, prefixes).repartition("account_id"),
         GRAIN,
         "hourly_api_calls",
         PERCENTILE_POINTS,

@@ -209,13 +209,17 @@ def s19_vertical_targets(t: TestTables) -> DataFrame:
 
 @query
 def o_join_inner(t: TestTables) -> DataFrame:
-    """Calls on eligible days, counted per 7-day bucket."""
+    """Calls on eligible days, counted per 7-day bucket. They are summed per day before they meet the calendar."""
     days = usage.eligible_dates(t.event_calendar(), USAGE_AS_OF)
-    logs = t.logs()
+    per_day = (
+        t.logs()
+        .groupBy("event_date")
+        .agg(F.count("*").alias("logged_calls"), F.sum("call_weight_from_sampling").alias("calls"))
+    )
     return (
-        logs.join(days, logs["event_date"] == days["date"])
+        per_day.join(days, per_day["event_date"] == days["date"])
         .groupBy("first_day_of_week")
-        .agg(F.count("*").alias("logged_calls"), F.sum("call_weight_from_sampling").alias("calls"))
+        .agg(F.sum("logged_calls").alias("logged_calls"), F.sum("calls").alias("calls"))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bizmetrics.functions import pseudonym_key
 from bizmetrics.operators import approx_percentiles, usage_by_bucket
 from bizmetrics.plans import model_usage as usage
+from bizmetrics.queries import QUERIES
 from bizmetrics.sources import calendar
 
 SALT = "pepper"
@@ -187,3 +188,12 @@ def test_percentiles_skip_null_volumes(spark):
     assert found == {"a": (5, 7), "b": (None, None)}
     sketched = {r["k"]: r["p50"] for r in hours.groupBy("k").agg(*approx_percentiles("v", {"p50": 50})).collect()}
     assert sketched == {"a": 5, "b": None}
+
+
+def test_percentiles_are_nested_below_the_peak(spark, small_dir):
+    rows = QUERIES["r2_partner_usage"](spark, small_dir).collect()
+    known = [r for r in rows if r["customer_uuid"] is not None]
+    assert known and len(known) < len(rows)
+    for r in known:
+        p20, p50, p80 = (r[p] for p in usage.PERCENTILE_POINTS)
+        assert p20 <= p50 <= p80 <= r[usage.PEAK] <= r["total_call_volume"]
