@@ -18,6 +18,8 @@ def as_date(value: DateLike) -> Column:
         return F.current_date()
     if isinstance(value, Column):
         return value.cast("date")
+    if isinstance(value, str):
+        value = datetime.date.fromisoformat(value)
     return F.lit(value).cast("date")
 
 

@@ -74,7 +74,9 @@ FIXTURES = {
         SELECT ts::DATE AS event_date, struct_pack(user_id := user_id, page_url :=
                CASE WHEN event_id % 2 = 0 THEN '/z/security/analytics' ELSE '/z/home' END) AS properties
         FROM events WHERE event_type = 'click'""",
-    "customers": "SELECT c_custkey AS crm_account_id, c_name AS account_name, c_mktsegment AS industry_vertical FROM customer",
+    "customers": """
+        SELECT c_custkey AS crm_account_id, c_name AS account_name, c_mktsegment AS industry_vertical
+        FROM customer""",
     "strategic": f"""
         SELECT c_custkey AS crm_account_id, c_name AS account_name, {STRATEGIC_YEAR} AS fiscal_year
         FROM customer WHERE c_acctbal > 8000""",
@@ -146,20 +148,24 @@ STEPS = {
         FROM calls GROUP BY ALL""",
     "active": """
         SELECT u.subscription_plan, u.user_id, a.account_id,
-               COALESCE((SELECT MAX(crm_organization_id) FROM orgs o WHERE o.organization_id = a.organization_id),
-                        a.account_id::VARCHAR) AS organization_id
+               COALESCE((SELECT MAX(crm_organization_id) FROM orgs o
+                         WHERE o.organization_id = a.organization_id), a.account_id::VARCHAR) AS organization_id
         FROM users u, accounts a
         WHERE u.account_id = a.account_id AND u.is_active AND a.is_active""",
     "flagged": f"""
         SELECT b.*,
-               user_id IN (SELECT user_id FROM rules WHERE uses_heuristic_rule AND event_date = DATE '{ADOPTION_AS_OF}' - 1)
+               COALESCE(user_id IN (SELECT user_id FROM rules
+                                    WHERE uses_heuristic_rule AND event_date = DATE '{ADOPTION_AS_OF}' - 1), false)
                    AS is_adopted_ai_powered_waf_rule,
-               user_id IN (SELECT user_id FROM analytics WHERE is_proxied AND event_date = DATE '{ADOPTION_AS_OF}' - 1)
+               COALESCE(user_id IN (SELECT user_id FROM analytics
+                                    WHERE is_proxied AND event_date = DATE '{ADOPTION_AS_OF}' - 1), false)
                    AS is_adopted_volumetric_protection,
-               user_id IN (SELECT user_id FROM settings WHERE is_js_challenge_enabled) AS is_adopted_client_side_analysis,
-               user_id IN (SELECT properties.user_id FROM interactions
-                           WHERE regexp_matches(properties.page_url, '/security/analytics$')
-                             AND event_date >= DATE '{ADOPTION_AS_OF}' - 8 AND event_date < DATE '{ADOPTION_AS_OF}')
+               COALESCE(user_id IN (SELECT user_id FROM settings WHERE is_js_challenge_enabled), false)
+                   AS is_adopted_client_side_analysis,
+               COALESCE(user_id IN (SELECT properties.user_id FROM interactions
+                                    WHERE regexp_matches(properties.page_url, '/security/analytics$')
+                                      AND event_date >= DATE '{ADOPTION_AS_OF}' - 8
+                                      AND event_date < DATE '{ADOPTION_AS_OF}'), false)
                    AS is_adopted_security_dashboard_ui
         FROM active b""",
     "adopted": """

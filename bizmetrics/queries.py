@@ -314,7 +314,11 @@ def o_rollup_grouping(t: TestTables) -> DataFrame:
     return (
         t.users()
         .rollup("subscription_plan")
-        .agg(label.alias("plan"), F.grouping("subscription_plan").cast("int").alias("is_total"), F.count("*").alias("n_users"))
+        .agg(
+            label.alias("plan"),
+            F.grouping("subscription_plan").cast("int").alias("is_total"),
+            F.count("*").alias("n_users"),
+        )
         .drop("subscription_plan")
     )
 
@@ -354,7 +358,8 @@ def o_approx_quantiles(t: TestTables) -> DataFrame:
         {"calls": "call_weight_from_sampling"},
         [],
     )
-    return hours.groupBy("model_name", "event_date").agg(*approx_percentiles("calls", {"p20": 20, "p50": 50, "p80": 80}))
+    points = {"p20": 20, "p50": 50, "p80": 80}
+    return hours.groupBy("model_name", "event_date").agg(*approx_percentiles("calls", points))
 
 
 @query
@@ -522,4 +527,5 @@ def o_format_month_label(t: TestTables) -> DataFrame:
 
 @query
 def o_pseudonym_key(t: TestTables) -> DataFrame:
-    return t.logs().select("event_timestamp", "account_id", pseudonym_key(F.col("account_id"), SALT).alias("customer_uuid"))
+    key = pseudonym_key(F.col("account_id"), SALT)
+    return t.logs().select("event_timestamp", "account_id", key.alias("customer_uuid"))

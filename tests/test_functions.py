@@ -76,6 +76,8 @@ def test_as_date_takes_dates_strings_columns_and_today(spark):
     assert value(spark, as_date("2024-01-02")) == D(2024, 1, 2)
     assert value(spark, as_date(F.lit("2024-01-02 10:00:00").cast("timestamp"))) == D(2024, 1, 2)
     assert value(spark, as_date(None) == F.current_date()) is True
+    with pytest.raises(ValueError, match="month"):
+        as_date("2024-13-01")
 
 
 def test_hour_bucket_ignores_the_session_zone(spark):

@@ -11,6 +11,7 @@ from parity import connect, differences
 
 import __spark_entry__ as entry_points
 from bizmetrics import oracle
+from bizmetrics.operators import period_row
 from bizmetrics.plans import feature_adoption, hierarchy_growth, model_usage, sales_attainment
 from bizmetrics.queries import QUERIES, decimals_as_doubles
 from bizmetrics.sources import Sources, calendar
@@ -211,6 +212,17 @@ REPORTS = {
     "s09_usage_percentiles": lambda s: model_usage.volume_percentiles(
         model_usage.calls_by_hour(s, USAGE_AS_OF), s["accounts_dim"], SALT
     ),
+    "s05_hierarchy_grouping_sets": lambda s: hierarchy_growth.level_metrics(hierarchy_growth.revenue_base(s, CATEGORY)),
+    "s10_usage_summary": lambda s: model_usage.usage_summary(model_usage.calls_by_hour(s, USAGE_AS_OF), SALT),
+    "s12_active_entities": feature_adoption.active_entities,
+    "s13_feature_flags": lambda s: feature_adoption.user_flags_per_setting(s, ADOPTION_AS_OF),
+    "s15_plan_totals": lambda s: feature_adoption.plan_totals(feature_adoption.active_entities(s)),
+    "s18_opportunity_actuals": lambda s: sales_attainment.opportunity_actuals(
+        s["opportunity"], period_row(s["calendar"], SALES_AS_OF)
+    ),
+    "s19_vertical_targets": lambda s: sales_attainment.vertical_targets(
+        s["targets"], period_row(s["calendar"], SALES_AS_OF), SALES_AS_OF, VERTICAL
+    ),
     "s14_adoption_long": lambda s: feature_adoption.adoption_long(feature_adoption.user_flags(s, ADOPTION_AS_OF)),
     "s16_cohort": lambda s: sales_attainment.account_cohort(s, SALES_AS_OF, VERTICAL),
 }
