@@ -23,6 +23,7 @@ from bizmetrics.operators import (
     approx_percentiles,
     attach_row,
     hourly_usage,
+    join_member_counts,
     membership_flags,
     period_row,
     period_sums,
@@ -247,13 +248,11 @@ def o_join_left_on_pred(t: TestTables) -> DataFrame:
 
     The settings are counted per user first, so a user with very many of them is one row.
     """
-    enabled = (
-        t.settings().where("is_js_challenge_enabled").groupBy("user_id").agg(F.count("*").alias("n_settings"))
-    )
-    joined = t.users().join(enabled, "user_id", "left")
-    flag = F.when(F.col("n_settings").isNotNull(), True)
+    enabled = t.settings().where("is_js_challenge_enabled")
+    joined = join_member_counts(t.users(), {"n_settings": enabled}, "user_id")
+    flag = F.when(F.col("n_settings") > 0, True)
     return joined.groupBy("subscription_plan", flag.alias("is_js_challenge_enabled")).agg(
-        F.sum(F.coalesce("n_settings", F.lit(1))).alias("n_rows")
+        F.sum(F.greatest("n_settings", F.lit(1))).alias("n_rows")
     )
 
 

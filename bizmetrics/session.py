@@ -10,8 +10,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # No join carries a hint: Spark broadcasts a side only after checking its size against
     # this, and otherwise sorts and merges, with hot partitions split by AQE. A dimension of
-    # this size is worth sending out in place of shuffling the fact.
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # this size (compressed; some ten times that in memory) is worth sending out in place of
+    # shuffling the fact.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
