@@ -46,7 +46,7 @@ FIXTURES = {
                CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS error_code,
                event_id % 10 + 1 AS call_weight_from_sampling, event_id % 997 AS input_tokens,
                event_id % 499 AS output_tokens, value::DECIMAL(18,2) AS time_to_first_token_ms,
-               value::DECIMAL(18,2) + (event_id % 7)::DECIMAL(18,2) AS inference_duration_ms
+               (value::DECIMAL(18,2) + (event_id % 7)::DECIMAL(18,2))::DECIMAL(18,2) AS inference_duration_ms
         FROM events""",
     "accounts_dim": """
         SELECT c_custkey AS account_id, c_mktsegment AS industry_vertical, n_name AS billing_country
@@ -89,7 +89,7 @@ FIXTURES = {
         FROM orders""",
     "targets": """
         SELECT c_mktsegment AS target_vertical, date_trunc('month', o_orderdate)::DATE AS target_month,
-               SUM(o_totalprice::DECIMAL(18,2)) AS target_acv
+               SUM(o_totalprice::DECIMAL(18,2))::DECIMAL(18,2) AS target_acv
         FROM orders, customer WHERE o_custkey = c_custkey GROUP BY ALL""",
 }
 

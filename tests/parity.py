@@ -9,7 +9,8 @@ from pathlib import Path
 import duckdb
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events"
+    " documents embeddings pages benchmark labels conversations"
 ).split()
 
 DUCK_TYPES = {
@@ -48,7 +49,8 @@ def differences(df, connection, sql: str) -> list[str]:
     duck_schema = {d[0]: str(d[1]) for d in cursor.description}
     duck_rows = cursor.fetchall()
     found = []
-    spark_schema = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema}
+    spark_schema = {name: DUCK_TYPES.get(text, text.upper()) for name, text in spark_types.items()}
     if spark_schema != duck_schema:
         found.append(f"schema: spark {spark_schema} duckdb {duck_schema}")
     if set(spark_schema) != set(duck_schema):

@@ -25,6 +25,7 @@ from bizmetrics.sources.testdata import (
     STAGES,
     USAGE_AS_OF,
     VERTICAL,
+    TestTables,
 )
 
 DAY = datetime.timedelta(days=1)
@@ -44,6 +45,15 @@ def test_parity(spark, small_dir, duckdb_small, name):
     assert differences(QUERIES[name](spark, small_dir), duckdb_small, entry_points.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("name", [n for n in oracle.FIXTURES if not n.endswith("_days")])
+def test_source_tables_are_the_same_in_both_engines(spark, small_dir, duckdb_small, name):
+    df, sql = TestTables(spark, small_dir).sources()[name], oracle.FIXTURES[name]
+    if name == "interactions":
+        df = df.select("event_date", "properties.*")
+        sql = f"SELECT event_date, properties.user_id AS user_id, properties.page_url AS page_url FROM ({sql})"
+    assert differences(df, duckdb_small, sql) == []
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 

@@ -147,6 +147,20 @@ def test_dashboard_views_prune_days_and_nested_fields(spark, tmp_path):
     assert views.count() == 8
 
 
+def test_a_report_for_today_prunes_partitions_too(spark, tmp_path):
+    rows = spark.range(10).select(
+        F.date_sub(F.current_date(), F.col("id").cast("int")).alias("event_date"),
+        F.col("id").alias("user_id"),
+        F.lit(True).alias("is_proxied"),
+    )
+    rows.coalesce(1).write.partitionBy("event_date").parquet(str(tmp_path / "analytics"))
+    src = {n: table(spark, n, []) for n in ("rules", "settings", "interactions")}
+    src["analytics"] = Sources.from_parquet(spark, analytics=str(tmp_path / "analytics"))["analytics"]
+    proxied = adoption.adopters(src)[adoption.PROXY]
+    assert re.search(r"PartitionFilters: \[isnotnull\(event_date#\d+\), \(event_date#\d+ = \d{4}-", physical(proxied))
+    assert [r["user_id"] for r in proxied.collect()] == [1]
+
+
 def test_a_product_with_a_third_of_the_revenue_is_split(spark, without_broadcast):
     revenue = spark.range(200_000).select(
         F.last_day(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 600).cast("int"))).alias("month_end_date"),
