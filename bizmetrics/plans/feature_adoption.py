@@ -39,12 +39,8 @@ ADOPTED = {entity: f"adopted_{entity}" for entity in ENTITIES}
 TOTAL = {entity: f"total_{entity}" for entity in ENTITIES}
 
 
-def _active_users(sources: Mapping[str, DataFrame]) -> DataFrame:
-    return sources["users"].where("is_active").select(PLAN, "user_id", "account_id")
-
-
-def _in_active_accounts(users: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Users of active accounts with their organisation; an account without one stands for itself.
+def active_entities(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Active users of active accounts; an account without an organisation stands for itself.
 
     Organisations are joined to accounts first, as there are fewer accounts than users.
     """
@@ -57,21 +53,8 @@ def _in_active_accounts(users: DataFrame, sources: Mapping[str, DataFrame]) -> D
             F.coalesce("crm_organization_id", F.col("account_id").cast("string")).alias("organization_id"),
         )
     )
-    return users.join(accounts, "account_id")
-
-
-def active_entities(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Active users of active accounts, one row for each row they have there."""
-    return _in_active_accounts(_active_users(sources), sources).select(PLAN, *ENTITIES.values())
-
-
-def counted_entities(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """``active_entities`` with copies of a user's row counted in place of repeated.
-
-    Copies are combined before anything is exchanged, so that no task gets all of them.
-    """
-    users = _active_users(sources).groupBy(PLAN, "user_id", "account_id").agg(F.count("*").alias("copies"))
-    return _in_active_accounts(users, sources).select(PLAN, *ENTITIES.values(), "copies")
+    users = sources["users"].where("is_active").select(PLAN, "user_id", "account_id")
+    return users.join(accounts, "account_id").select(PLAN, *ENTITIES.values())
 
 
 def adopters(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> dict[str, DataFrame]:
@@ -92,18 +75,18 @@ def adopters(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> dict[s
 
 
 def user_flags(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> DataFrame:
-    """Active users with a boolean per feature, without copies."""
-    return membership_flags(counted_entities(sources).drop("copies"), adopters(sources, as_of), "user_id")
+    """Active users with a boolean per feature. Rows are not repeated, however often a feature was seen."""
+    return membership_flags(active_entities(sources), adopters(sources, as_of), "user_id")
 
 
 def user_flags_per_setting(sources: Mapping[str, DataFrame], as_of: DateLike = None) -> DataFrame:
-    """``user_flags`` with copies, and a user's row repeated for each of their enabled settings rows.
+    """``user_flags`` with a user's row repeated for each of their enabled settings rows.
 
     Distinct counts don't see the difference, so the report does without the repetition.
     """
-    counted = join_member_counts(counted_entities(sources), adopters(sources, as_of), "user_id")
-    repeated = repeat_rows(counted, F.col("copies") * F.greatest(SETTING, F.lit(1)))
-    return repeated.drop("copies").withColumns({flag: F.col(flag) > 0 for flag in FLAGS})
+    counted = join_member_counts(active_entities(sources), adopters(sources, as_of), "user_id")
+    repeated = repeat_rows(counted, F.greatest(SETTING, F.lit(1)))
+    return repeated.withColumns({flag: F.col(flag) > 0 for flag in FLAGS})
 
 
 def adoption_long(flags: DataFrame) -> DataFrame:

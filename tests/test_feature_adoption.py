@@ -93,11 +93,13 @@ def test_flags_are_never_null_and_users_are_not_repeated(spark):
     assert all(r[f] in (True, False) for r in rows for f in adoption.FLAGS)
 
 
-def test_copies_of_a_user_count_once_and_stay_in_the_repeated_flags(spark):
+def test_copies_of_a_user_count_once(spark):
     users = [(1, 10, "pro", True), (1, 10, "pro", True), (2, 10, "pro", True)]
-    src = sources(spark, users=users, settings=[(1, True), (1, True)])
-    assert sorted(r["user_id"] for r in as_dicts(adoption.user_flags(src, AS_OF))) == [1, 2]
-    assert sorted(r["user_id"] for r in as_dicts(adoption.user_flags_per_setting(src, AS_OF))) == [1, 1, 1, 1, 2]
+    tables = {"users": users, "settings": [(1, True), (1, True)]}
+    repeated = adoption.user_flags_per_setting(sources(spark, **tables), AS_OF)
+    assert sorted(r["user_id"] for r in as_dicts(repeated)) == [1, 1, 1, 1, 2]
+    row = report(spark, **tables)["pro", "Company Setting"]
+    assert (row["adopted_users"], row["total_users"]) == (1, 2)
 
 
 def test_a_row_per_enabled_setting_where_asked(spark):

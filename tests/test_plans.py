@@ -6,7 +6,7 @@ import pytest
 from builders import table
 from pyspark.sql import functions as F
 
-from bizmetrics.operators import repeat_rows
+from bizmetrics.operators import membership_flags, repeat_rows
 from bizmetrics.plans import feature_adoption as adoption
 from bizmetrics.plans import hierarchy_growth as growth
 from bizmetrics.plans import model_usage as usage
@@ -194,21 +194,17 @@ def test_an_account_with_a_third_of_the_users_is_split(spark, without_broadcast)
     assert "SortMergeJoin(skew=true)" in final_plan(adoption.feature_adoption(src, "2024-01-31"))
 
 
-def test_copies_of_a_user_are_combined_before_the_exchange(spark):
-    users = spark.range(9000).select(
+def test_a_user_in_a_third_of_the_rows_is_split(spark, without_broadcast):
+    users = spark.range(100_000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("user_id"),
-        (F.col("id") % 1 + 1).alias("account_id"),
-        F.concat(F.lit("plan"), F.col("id") % 1).alias("subscription_plan"),
-        F.lit(True).alias("is_active"),
+        (F.col("id") % 500).alias("account_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("subscription_plan"),
     )
-    src = {n: table(spark, n, []) for n in ("orgs", "rules", "analytics", "settings", "interactions")}
-    src |= {"users": users, "accounts": table(spark, "accounts", [(1, 1, True)])}
-    flags = adoption.user_flags(src, "2024-01-31")
-    assert flags.count() == 6000
-    lines = physical(flags).splitlines()
-    of_users = [b for a, b in zip(lines, lines[1:], strict=False) if "Exchange hashpartitioning(subscription_plan" in a]
-    assert of_users and all("HashAggregate(keys=[subscription_plan" in line for line in of_users)
-    assert adoption.user_flags_per_setting(src, "2024-01-31").count() == 9000
+    seen = spark.range(100_000).select((F.col("id") % 50_000).alias("user_id"))
+    flagged = membership_flags(users, {"seen": seen}, "user_id")
+    assert "SortMergeJoin(skew=true)" in final_plan(flagged)
+    assert flagged.where("seen").count() == users.where("user_id < 50000").count()
+    assert flagged.count() == 100_000
 
 
 def test_a_row_repeated_very_often_is_spread_over_tasks(spark):
