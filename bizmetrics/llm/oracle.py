@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bizmetrics.llm import quality_rules, sharding
+from bizmetrics.llm import quality_rules, secret_scan, sharding
 
 
 def _filled(count: int) -> list[int]:
@@ -67,5 +67,47 @@ def _quality() -> str:
         FROM judged"""
 
 
+def _secrets() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def found(pattern: str) -> str:
+        """Every match of the pattern: rid, its text, and its place from the lengths of gaps and matches before it."""
+        return f"""SELECT rid, m[i] AS v, list_sum([length(x) FOR x IN g[1:i]])::BIGINT + coalesce(list_sum([length(x) FOR x IN m[1:i-1]]), 0)::BIGINT AS s
+            FROM (SELECT rid, g, m, unnest(range(1, len(m) + 1)) AS i
+                  FROM (SELECT rid, regexp_extract_all(t, {quoted(pattern)}) AS m, string_split_regex(t, {quoted(pattern)}) AS g FROM texts
+                        WHERE regexp_matches(t, {quoted(pattern)})))"""
+
+    parts = [
+        f"SELECT rid, {rank} AS k, s, s + length(v) AS e FROM ({found(pattern)}) WHERE length(regexp_extract(v, {quoted(pattern)}, {group})) >= {least}"
+        for rank, (_, pattern, group, least) in enumerate(secret_scan.BASE)
+    ]
+    window = secret_scan.WINDOW
+    weights = ", ".join(f"({c}, {secret_scan.weight(c)})" for c in range(1, window + 1))
+    for i, cls in enumerate(secret_scan.CLASSES):
+        tests = [f"NOT regexp_matches(v, {quoted(a)})" for a in secret_scan.ALLOWED] + ([f"regexp_matches(v, {quoted(cls.must_hold)})"] if cls.must_hold else [])
+        # Entropy window by window, from a fresh count of each.
+        parts.append(f"""
+            SELECT rid, {len(secret_scan.BASE) + i} AS k, min(s + w) AS s, max(s + w) + {window} AS e
+            FROM (SELECT rid, s, w, sum(f) AS total
+                  FROM (SELECT rid, s, w, c, count(*) AS n
+                        FROM (SELECT rid, s, w, substr(v, w + p, 1) AS c
+                              FROM (SELECT *, unnest(range(0, length(v) - {window - 1})) AS w
+                                    FROM ({found(f"{cls.alphabet}{{{window},}}")}) WHERE {" AND ".join(tests)}), range(1, {window + 1}) AS r(p))
+                        GROUP BY rid, s, w, c) JOIN (VALUES {weights}) AS f(n, f) USING (n)
+                  GROUP BY rid, s, w)
+            WHERE total <= {secret_scan.limit(cls.entropy)} GROUP BY rid, s""")
+    names = ", ".join(f"'{kind}'" for kind in secret_scan.KINDS)
+    counts = ", ".join(f"count(k) FILTER (k = {rank}) AS n_{kind}" for rank, (kind, *_) in enumerate(secret_scan.BASE))
+    return f"""
+        WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+        spans AS ({" UNION ALL ".join(parts)}),
+        named AS (SELECT *, ([{names}])[k + 1] || ':' || s || ':' || e AS label FROM spans)
+        SELECT doc_id, {counts},
+               sha256(coalesce(string_agg(label, ',' ORDER BY s, k) FILTER (k < {len(secret_scan.BASE)}), '')) AS base_sha256,
+               coalesce(string_agg(label, ',' ORDER BY s, k), '') AS spans
+        FROM texts LEFT JOIN named USING (rid) GROUP BY rid, doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": _sharding(), "op5_quality_rules": _quality()}
+    return {"op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets()}
