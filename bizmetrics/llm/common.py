@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -46,11 +47,12 @@ def ship_package(spark: SparkSession) -> None:
     if context in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[2]
-    with tempfile.TemporaryDirectory() as tmp:
-        copy = Path(tmp, "copy", "bizmetrics")
-        shutil.copytree(root / "bizmetrics", copy, ignore=shutil.ignore_patterns("__pycache__"))
-        context.addPyFile(shutil.make_archive(str(Path(tmp, f"bizmetrics-{uuid.uuid4().hex[:8]}")), "zip", copy.parent))
-        _SHIPPED.add(context)
+    folder = tempfile.mkdtemp(prefix="bizmetrics-code-")  # the driver serves the archive from here as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    copy = Path(folder, "copy", "bizmetrics")
+    shutil.copytree(root / "bizmetrics", copy, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(Path(folder, f"bizmetrics-{uuid.uuid4().hex[:8]}")), "zip", copy.parent))
+    _SHIPPED.add(context)
 
 
 def file_system(uri: str):

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bizmetrics.llm.license_scan import document_licenses
 from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
 from bizmetrics.llm.sharding import document_shards
@@ -26,4 +27,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": _over(document_shards, "documents"),
     "op5_quality_rules": _over(document_quality, "documents"),
     "op6_secret_scans": _over(document_secrets, "documents"),
+    "op10_license_scans": _over(document_licenses, "documents"),
 }
