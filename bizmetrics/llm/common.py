@@ -8,10 +8,11 @@ import shutil
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
@@ -77,6 +78,11 @@ def spaced_words(text: str | None) -> list[bytes]:
     return utf8(text).lower().split()
 
 
+def hashed(words: Sequence[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def slices(table, text_column: str, max_chars: int) -> Iterator:
     """An Arrow batch in slices of at most ``max_chars`` bytes of text, or a single row."""
     import pyarrow.compute as pc

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bizmetrics.llm import quality_rules, secret_scan, sharding
+from bizmetrics.llm import decontamination, quality_rules, secret_scan, sharding
 
 
 def _filled(count: int) -> list[int]:
@@ -109,5 +109,30 @@ def _secrets() -> str:
         FROM texts LEFT JOIN named USING (rid) GROUP BY rid, doc_id"""
 
 
+def _contamination() -> str:
+    size = decontamination.WINDOW
+    # Only A-Z may change case, which lower() does not promise.
+    lowered = r"translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({lowered.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+    def grams(table: str, keys: str) -> str:
+        """Runs of ``size`` words, as text; a shorter item is one run."""
+        return f"""SELECT {keys}, n, s, array_to_string(words[s:s + n - 1], ' ') AS gram
+            FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS s FROM {table} WHERE len(words) >= n AND n > 0)"""
+
+    return f"""
+        WITH items AS (SELECT item_id, {words} AS words, least({size}, len({words})) AS n FROM benchmark),
+        texts AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS words FROM documents),
+        wanted AS (SELECT DISTINCT item_id, n, gram FROM ({grams("items", "item_id")})),
+        sized AS (SELECT rid, words, n FROM texts, (SELECT DISTINCT n FROM wanted)),
+        found AS (SELECT rid, item_id, s, n FROM ({grams("sized", "rid")}) JOIN wanted USING (n, gram)),
+        hit AS (SELECT rid, count(DISTINCT s + d) AS n_hit FROM found, range(0, {size}) AS r(d) WHERE d < n GROUP BY rid),
+        named AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM found) GROUP BY rid)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM texts LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets()}
+    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets()}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bizmetrics.llm.decontamination import document_contamination
 from bizmetrics.llm.license_scan import document_licenses
 from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
@@ -24,6 +25,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": _over(document_contamination, "documents", "benchmark"),
     "op3_sharding": _over(document_shards, "documents"),
     "op5_quality_rules": _over(document_quality, "documents"),
     "op6_secret_scans": _over(document_secrets, "documents"),
