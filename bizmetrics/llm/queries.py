@@ -11,6 +11,7 @@ from bizmetrics.llm.license_scan import document_licenses
 from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
 from bizmetrics.llm.sharding import document_shards
+from bizmetrics.llm.token_blocks import document_tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +26,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_blocks": _over(document_tokens, "documents"),
     "op2_benchmark_decontamination": _over(document_contamination, "documents", "benchmark"),
     "op3_sharding": _over(document_shards, "documents"),
     "op5_quality_rules": _over(document_quality, "documents"),
