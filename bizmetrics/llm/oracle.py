@@ -134,5 +134,17 @@ def _contamination() -> str:
         FROM texts LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
 
 
+def _warc() -> str:
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    # 5 hexadecimal digits are 4 digits of base 32.
+    base32 = f"array_to_string([substr('{alphabet}', 1 + ((CAST('0x' || substr(hash, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1) FOR i IN range(32)], '')"
+    return f"""
+        WITH keyed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hash FROM pages),
+        marked AS (SELECT *, min(page_id) OVER (PARTITION BY hash) AS first FROM keyed)
+        SELECT page_id, payload_bytes, {base32} AS payload_digest,
+               CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+        FROM marked"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets()}
+    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets(), "op7_warc": _warc()}

@@ -12,6 +12,7 @@ from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
 from bizmetrics.llm.sharding import document_shards
 from bizmetrics.llm.token_blocks import document_tokens
+from bizmetrics.llm.warc import page_records
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,5 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": _over(document_shards, "documents"),
     "op5_quality_rules": _over(document_quality, "documents"),
     "op6_secret_scans": _over(document_secrets, "documents"),
+    "op7_warc": _over(page_records, "pages"),
     "op10_license_scans": _over(document_licenses, "documents"),
 }
