@@ -12,6 +12,7 @@ from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
 from bizmetrics.llm.sharding import document_shards
 from bizmetrics.llm.token_blocks import document_tokens
+from bizmetrics.llm.toxicity import document_toxicity
 from bizmetrics.llm.warc import page_records
 
 
@@ -33,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": _over(document_quality, "documents"),
     "op6_secret_scans": _over(document_secrets, "documents"),
     "op7_warc": _over(page_records, "pages"),
+    "op8_toxicity": _over(document_toxicity, "documents", "labels"),
     "op10_license_scans": _over(document_licenses, "documents"),
 }
