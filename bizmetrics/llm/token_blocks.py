@@ -30,6 +30,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,8 +41,8 @@ BLOCK, LANE = 256, 64
 PERCENTILE = 0.9
 MAGIC = b"PFORIDS1"
 END_ID = 0
-SLICE_BYTES = 4_000_000
-CACHED_PIECES = 400_000
+SLICE_BYTES = 6_000_000
+CACHED_PIECES = 900_000
 
 
 # ---- blocks
@@ -221,42 +222,95 @@ class Reader:
 
 #: White space as the tokenizer's pattern has it.
 _SPACE = "\t-\r \x85\xa0  -     　"
-#: The pattern cuts a text at these places at least (a run of white space gives its last space to what follows), so pieces can be encoded apart.
-_PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_LOADED: dict[str, tuple[object, dict[str, bytes]]] = {}
+#: The tokenizer's pattern cuts a text at these places at least (a run of white space gives its last space to what follows; letters never
+#: join punctuation but the apostrophe), so pieces can be encoded apart.
+_PIECES = re.compile(f" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?{_SPACE}]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_NO_BORDER = pa.array(["", *(chr(c) for c in range(0x3001) if re.match(f"[{_SPACE}]", chr(c)))])
+_LOADED: dict[str, Encoder] = {}
 
 
-def byte_bpe_encoder(path: str) -> Callable[[Sequence[str]], list[bytes]]:
-    """Encodes texts to little-endian 4-byte ids with a byte-level BPE file of the tokenizers library.
+class Encoder:
+    """Encodes texts with a byte-level BPE file of the tokenizers library.
 
-    The file's pattern never merges across white space, so each piece of a text is looked up, and the tokenizer sees only pieces that are new to this worker.
+    The file's pattern never merges across white space, so texts are cut at single spaces by Arrow, equal parts are found by
+    Arrow too, and the tokenizer sees only pieces that are new to this worker.
     """
-    if path not in _LOADED:
+
+    def __init__(self, path: str) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        shape = json.loads(tokenizer.to_str())
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        shape = json.loads(self.tokenizer.to_str())
         before = shape["pre_tokenizer"] or {}
         if shape["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
             raise ValueError("only byte-level tokenizers that split by pattern, without normalising, can be encoded by piece")
-        _LOADED[path] = tokenizer, {}
-    tokenizer, known = _LOADED[path]
-
-    def encode(texts: Sequence[str]) -> list[bytes]:
-        pieces = [_PIECES.findall(text) for text in texts]
-        if len(known) > CACHED_PIECES:
-            known.clear()
-        new = list({piece for own in pieces for piece in own if piece not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            known.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        return [b"".join(map(known.__getitem__, own)) for own in pieces]
-
-    return encode
+        self.pieces: dict[str, bytes] = {}
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces. Those with other than white space in them go to the tokenizer by the thousand, between line breaks, which are pieces of their own."""
+        lines = [piece for piece in new if not piece.isspace()]
+        for i in range(0, len(lines), 1_000):
+            some = lines[i : i + 1_000]
+            (encoded,) = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.line_break)).tolist()
+            if len(cuts) != len(some) - 1:
+                raise ValueError("a line break is not a token of its own here")
+            self.pieces.update(zip(some, (data[begin:end] for begin, end in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)), strict=True))
+        for piece in (piece for piece in new if piece.isspace()):
+            self.pieces[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def whole(self, texts: Sequence[str]) -> list[bytes]:
+        """Each text's ids, 4 bytes each."""
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces.clear()
+        known = self.pieces
+        found = list(map(known.get, texts))  # most parts of texts are single pieces
+        cut = {i: _PIECES.findall(texts[i]) for i, ids in enumerate(found) if ids is None}
+        self._learn(list({piece for own in cut.values() for piece in own if piece not in known}))
+        for i, own in cut.items():
+            found[i] = known[own[0]] if len(own) == 1 else b"".join([known[piece] for piece in own])
+        return found
+
+    def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with ``end`` after it, and their numbers. A null is an empty text."""
+        texts = pc.fill_null(texts, "")
+        lists = pc.split_pattern(texts, " ")
+        count = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = pc.list_flatten(lists).dictionary_encode()
+        code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # A space that another white space follows may belong to a run; such texts are encoded whole.
+        doubtful = pc.is_in(pc.utf8_slice_codeunits(flat.dictionary, 0, 1), _NO_BORDER).to_numpy(zero_copy_only=False)[code]
+        parts = self.whole([" " + part for part in flat.dictionary.to_pylist()])
+        heads = np.cumsum(count) - count
+        doubtful[heads] = False
+        odd = np.add.reduceat(doubtful, heads) > 0 if len(heads) else doubtful
+        # Entries: the parts, then for each text its head or, if odd, all of it; then the end.
+        plain = pc.list_element(lists, 0).to_pylist()
+        own = self.whole([text if whole else head for text, head, whole in zip(texts.to_pylist() if odd.any() else plain, plain, odd.tolist(), strict=True)])
+        entries = [*parts, *own, np.array([end], "<u4").tobytes()]
+        code[heads] = len(parts) + np.arange(len(heads))
+        of_text = np.repeat(np.arange(len(heads)), count)
+        used = ~odd[of_text] | (np.arange(len(code)) == heads[of_text]) if len(code) else np.empty(0, bool)
+        code, of_text = code[used], of_text[used]
+        last = np.cumsum(np.bincount(of_text, minlength=len(heads)))
+        code = np.insert(code, last, len(entries) - 1)
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        lengths = np.add.reduceat(sizes[code], np.concatenate([[0], last[:-1] + np.arange(1, len(last))])) if len(heads) else np.empty(0, np.int64)
+        stored_ids = np.frombuffer(b"".join(entries), "<u4")
+        return stored_ids[_ranges((np.cumsum(sizes) - sizes)[code], sizes[code])], lengths
+
+
+def byte_bpe_encoder(path: str) -> Encoder:
+    """The encoder of a file, kept by the worker."""
+    if path not in _LOADED:
+        _LOADED[path] = Encoder(path)
+    return _LOADED[path]
 
 
 # ---- tables
@@ -272,7 +326,6 @@ def write(texts: DataFrame, folder: str, tokenizer: str, id_column: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe_encoder(tokenizer)
-        end = np.array([END_ID], "<u4").tobytes()
         writer = stream = None
         names: list = []
         path = f"{folder}/{uuid.uuid4().hex}.pfor"
@@ -285,8 +338,7 @@ def write(texts: DataFrame, folder: str, tokenizer: str, id_column: str = "doc_i
                     files.create_dir(at.rpartition("/")[0], recursive=True)
                     stream = files.open_output_stream(at)
                     writer = Writer(stream)
-                encoded = [x + end for x in encode([text or "" for text in part.column("text").to_pylist()])]
-                writer.add(np.frombuffer(b"".join(encoded), "<u4"), np.array([len(x) // 4 for x in encoded]))
+                writer.add(*encode(part.column("text"), END_ID))
                 names.append(part.column("id"))
         if stream is not None:
             writer.close()
