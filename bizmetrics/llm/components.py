@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from bizmetrics.llm.common import stored
 
@@ -36,17 +38,20 @@ def connected_components(links: DataFrame) -> DataFrame:
         previous = state
 
 
-def by_group(rows: DataFrame, keys: list[str], function: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``function`` of each group, many groups in a task, one group at a time in memory. Groups must be of bounded size.
+def by_group(rows: DataFrame, keys: list[str], function: Callable[[pa.Table], Iterable[tuple]], schema: pa.Schema) -> DataFrame:
+    """The rows that ``function`` makes of each group; many groups in a task, one at a time in memory. Groups must be of bounded size.
 
-    Rows are exchanged by the keys and sorted, and a task walks over its groups, so a group costs a call, not a Python worker's round trip.
+    Rows are exchanged by the keys and sorted, and a task walks over its groups.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         held: list[pa.RecordBatch] = []
-        held_key = None
+        held_key: tuple = ()
+        out: list[tuple] = []
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], names=schema.names)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -58,12 +63,40 @@ def by_group(rows: DataFrame, keys: list[str], function: Callable[[pa.Table], pa
             for begin, end in zip(starts, starts[1:], strict=False):
                 key = tuple(c[begin] for c in columns)
                 if held and key != held_key:
-                    if (out := function(pa.Table.from_batches(held))) is not None:
-                        yield out
+                    out.extend(function(pa.Table.from_batches(held).combine_chunks()))
                     held = []
+                    if len(out) >= 10_000:
+                        yield made()
+                        out.clear()
                 held_key = key
                 held.append(batch.slice(begin, end - begin))
-        if held and (out := function(pa.Table.from_batches(held))) is not None:
-            yield out
+        if held:
+            out.extend(function(pa.Table.from_batches(held).combine_chunks()))
+        if out:
+            yield made()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, from_arrow_schema(schema))
+
+
+def in_blocks(rows: DataFrame, size: str, by: str, block: int) -> DataFrame:
+    """Groups of more than ``block`` rows cut into blocks: each row once for each pair of blocks that its own is in.
+
+    Adds ``own`` (its block), ``one`` and ``two`` (the pair, ``one <= two``). ``size`` names the column with a group's number of rows.
+    """
+    blocks = F.ceil(F.col(size) / F.lit(float(block))).cast("int")
+    own = F.pmod(F.xxhash64(by), F.greatest(blocks, F.lit(1))).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(F.least("own", other).alias("one"), F.greatest("own", other).alias("two")))
+    return rows.withColumn("own", own).withColumn("pair", F.explode(pairs)).select("*", "pair.one", "pair.two").drop("pair")
+
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+def forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join the same rows as the symmetric matrix ``near`` does, one less than the rows of each component."""
+    label = np.arange(len(near))
+    edges = []
+    for i in range(len(near)):
+        mates = np.flatnonzero(near[i])
+        for other, at in zip(*np.unique(label[mates], return_index=True), strict=True):
+            if other != label[i]:
+                edges.append((i, int(mates[at])))
+                label[label == other] = label[i]
+    return edges

@@ -134,6 +134,22 @@ def _contamination() -> str:
         FROM texts LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
 
 
+def _groups(size: int = 3, percent: int = 85) -> str:
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+        WITH RECURSIVE texts AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({lowered}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+        placed AS (SELECT rid, words, least({size}, len(words)) AS n, unnest(range(1, len(words) - least({size}, len(words)) + 2)) AS i FROM texts WHERE len(words) > 0),
+        sets AS (SELECT DISTINCT rid, array_to_string(words[i:i + n - 1], ' ') AS gram FROM placed),
+        sized AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+        common AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM sets a JOIN sets b USING (gram) WHERE a.rid <> b.rid GROUP BY ALL),
+        links AS (SELECT a, b FROM common JOIN sized x ON x.rid = a JOIN sized y ON y.rid = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+        reached AS (SELECT rid AS a, rid AS b FROM texts UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+        low AS (SELECT a AS rid, min(doc_id) AS component_id FROM reached JOIN texts ON texts.rid = b GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM texts LEFT JOIN sized USING (rid) JOIN low USING (rid)"""
+
+
 def _warc() -> str:
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     # 5 hexadecimal digits are 4 digits of base 32.
@@ -147,4 +163,4 @@ def _warc() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets(), "op7_warc": _warc()}
+    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets(), "op7_warc": _warc(), "op9_minhash_near_dedup": _groups()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bizmetrics.llm.decontamination import document_contamination
 from bizmetrics.llm.license_scan import document_licenses
+from bizmetrics.llm.near_duplicates import document_groups
 from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
 from bizmetrics.llm.sharding import document_shards
@@ -35,5 +36,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scans": _over(document_secrets, "documents"),
     "op7_warc": _over(page_records, "pages"),
     "op8_toxicity": _over(document_toxicity, "documents", "labels"),
+    "op9_minhash_near_dedup": _over(document_groups, "documents"),
     "op10_license_scans": _over(document_licenses, "documents"),
 }
