@@ -11,6 +11,7 @@ from bizmetrics.llm.license_scan import document_licenses
 from bizmetrics.llm.near_duplicates import document_groups
 from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
+from bizmetrics.llm.sentence_pieces import document_samples
 from bizmetrics.llm.sharding import document_shards
 from bizmetrics.llm.token_blocks import document_tokens
 from bizmetrics.llm.toxicity import document_toxicity
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_blocks": _over(document_tokens, "documents"),
     "op2_benchmark_decontamination": _over(document_contamination, "documents", "benchmark"),
     "op3_sharding": _over(document_shards, "documents"),
+    "op4_sentencepiece": _over(document_samples, "documents"),
     "op5_quality_rules": _over(document_quality, "documents"),
     "op6_secret_scans": _over(document_secrets, "documents"),
     "op7_warc": _over(page_records, "pages"),
