@@ -16,7 +16,7 @@ Nothing is capped, no bucket or candidate is left out, and no group, component o
 Words are ``[^\x20\x09-\x0D]+`` of texts with A-Z in lower case; fewer than ``shingle`` words are one shingle.
 
 Edge cases: null and empty texts have an empty set and are linked with nothing; repeated rows are copies of each other; rows that share an
-id are one document; a null id names no component; an empty table gives no rows; columns besides id and text are ignored.
+id are one document; a null id names no component, and its row is kept if no other row of its class has an id; an empty table gives no rows; columns besides id and text are ignored.
 """
 
 from __future__ import annotations
@@ -234,7 +234,7 @@ def near_duplicates(texts: DataFrame, shingle: int = 5, percent: int = 80, id_co
     named = stored(classes.select("digest", "node").join(components, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id")), "named")
     joined = rows.select("id", "n", "digest").join(named, "digest", "left")
     component = F.coalesce("component_id", "id")
-    return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("id")).alias("kept"))
+    return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), component.isNull()).alias("kept"))
 
 
 def document_groups(documents: DataFrame) -> DataFrame:

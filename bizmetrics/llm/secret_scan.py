@@ -158,18 +158,58 @@ def entropy_spans(text: Column, cls: CharacterClass, rank: int) -> Column:
     return _located(text, f"{cls.alphabet}{{{WINDOW},}}", candidates)
 
 
+def _base_spans(text: Column) -> Column:
+    return F.concat(*(pattern_spans(text, rank) for rank in range(len(BASE))))
+
+
+def _more_spans(text: Column) -> Column:
+    return F.concat(*(entropy_spans(text, cls, len(BASE) + i) for i, cls in enumerate(CLASSES)))
+
+
+def _all_spans(text: Column) -> Column:
+    return F.sort_array(F.concat(_base_spans(text), _more_spans(text)))
+
+
 def scan(texts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The id, and arrays ``base`` and ``spans`` of (start, kind, end), ordered; ``kind`` counts through ``KINDS``."""
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
 
     def of(text: Column) -> Column:
-        base = F.concat(*(pattern_spans(text, rank) for rank in range(len(BASE))))
-        more = F.concat(*(entropy_spans(text, cls, len(BASE) + i) for i, cls in enumerate(CLASSES)))
-        return let(base, lambda found: F.struct(F.sort_array(found).alias("base"), F.sort_array(F.concat(found, more)).alias("spans")))
+        return let(_base_spans(text), lambda found: F.struct(F.sort_array(found).alias("base"), F.sort_array(F.concat(found, _more_spans(text))).alias("spans")))
 
     return texts.select(F.col(f"`{id_column}`").alias(id_column), let(text, of).alias("_s")).select(id_column, "_s.*")
 
 
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with each run of overlapping spans (ordered by start) replaced by ``mask``."""
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text"))
+
+    def replace(state: Column, span: Column) -> Column:
+        gap = F.substr(text, (state["at"] + 1).cast("int"), F.greatest(F.lit(0).cast("bigint"), span["start"] - state["at"]).cast("int"))
+        apart = (span["start"] >= state["at"]) & ((span["start"] > state["at"]) | (state["at"] == 0))
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(apart, F.concat(state["text"], gap, F.lit(mask))).otherwise(state["text"]).alias("text"),
+        )
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, replace, lambda state: F.concat(state["text"], F.substr(text, (state["at"] + 1).cast("int")))))
+
+
+MASK = "[SECRET]"
+
+
+def redact(texts: DataFrame, text_column: str = "text", mask: str = MASK) -> DataFrame:
+    """``texts`` with every secret masked; a null text stays null."""
+    name = f"`{text_column}`"
+    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+
+    def of(text: Column) -> Column:
+        return let(_all_spans(text), lambda found: masked(text, F.coalesce(found, empty), mask))
+
+    text = F.col(name).cast("string")
+    return texts.withColumn(text_column, F.when(text.isNotNull(), let(text, of)))
+
+
 KINDS = tuple(kind for kind, *_ in BASE) + tuple(cls.kind for cls in CLASSES)
 
 
