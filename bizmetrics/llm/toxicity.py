@@ -1,13 +1,14 @@
 """Toxicity by a classifier chain: each category's linear model sees the text's words and the probabilities of the categories before it.
 
 **Training.** At most ``SAMPLE`` labelled rows, those with the smallest hash of their id, are joined with their texts; the bound is a parameter and the
-only one on data. Words and word beginnings of the sample that at least ``MIN_DOCUMENTS`` of its texts hold (at most ``VOCABULARY``, the most frequent) become binary features, so no two share
-one. The chain is trained in order. A later model must not learn from probabilities that its predecessors fitted on the same
-rows, so these come out of fold: rows are dealt to ``FOLDS`` folds by hash of the id, and each row's probability is that of a model which
-did not see its fold. For scoring, each category has a model of all rows. Models are L1 logistic regressions, fitted by Spark;
-features are not rescaled, so a word must be both frequent and telling to get a weight, and label noise on rare words gets none.
+only one on data. Words, word beginnings and runs of symbols that at least ``MIN_DOCUMENTS`` of the sample's texts hold (at most ``VOCABULARY``, the most
+frequent) become binary features, so no two share one. The chain is trained in order. A later model must not learn from probabilities
+that its predecessors fitted on the same rows, so these come out of fold: rows are dealt to ``FOLDS`` folds by hash of the id, and each row's
+probability is that of a model which did not see its fold. For scoring, each category has a model of all rows. A category's fold models and
+its final one are fitted side by side, a task each; the sample's bound is the task's. Models are L1 logistic regressions; features are not rescaled, so a word
+must be both frequent and telling to get a weight.
 
-**Scoring.** All documents pass through the chain in built-in transformers, without a shuffle. Vocabulary and weights, of bounded size, go out with the tasks.
+**Scoring.** All documents pass through the chain where they are, without a shuffle. The weights that are not zero go out with the tasks.
 
 Edge cases: a null or empty text has no words and gets the chain's base rates; rows without a label, id or text are not learned from; repeated labels of
 one id count once, with the largest value; a category without both classes in the sample has its constant rate; with no labelled rows all is 0;
@@ -16,140 +17,216 @@ an empty table stays empty; columns besides those named are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizmetrics.llm.common import stored
-from bizmetrics.llm.quality_rules import let
+from bizmetrics.llm.common import ship_package, stored
 
-SAMPLE = 20_000
+SAMPLE = 12_000
 FOLDS = 3
 VOCABULARY = 1 << 16
 MIN_DOCUMENTS = 10
 PENALTY = 0.0002
-ITERATIONS = 30
+ITERATIONS = 300
 THRESHOLD = 0.5
 #: Lengths of word beginnings that are features too: inflected and compound languages share stems, not words.
 BEGINNINGS = (4, 5, 6, 7)
-TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[!#$%&*|<>]+"
+TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[!#$%&*|<>]+")
+CACHED_WORDS = 500_000
 
 #: The chain over the columns of ``labels``: category, and the value that stands for it.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 
 
-@dataclass(frozen=True)
-class Link:
-    """A category's model, or its constant rate."""
-
-    category: str
-    model: LogisticRegressionModel | None
-    rate: float = 0.0
-
-
 @dataclass(frozen=True)
 class Chain:
-    words: CountVectorizerModel | None
-    links: tuple[Link, ...]
-
-
-def _tokens(texts: DataFrame) -> DataFrame:
-    """``text`` replaced by ``words``: its different words and runs of symbols, and the words' beginnings, marked by a star."""
+    """Per category: bias, weights by feature, and weights of the probabilities before it."""
+
+    categories: tuple[str, ...]
+    biases: tuple[float, ...]
+    weights: tuple[dict[str, float], ...]
+    before: tuple[tuple[float, ...], ...]
+
+    def probabilities(self, sums: Sequence[float]) -> list[float]:
+        """The chain's probabilities of a text whose weights have these sums."""
+        known: list[float] = []
+        for bias, total, before in zip(self.biases, sums, self.before, strict=True):
+            known.append(float(_sigmoid(bias + total + sum(w * p for w, p in zip(before, known, strict=False)))))
+        return known
+
+
+def _sigmoid(x):
+    return 0.5 * (1.0 + np.tanh(0.5 * np.asarray(x, np.float64)))
+
+
+def forms(word: str) -> list[str]:
+    """A word's features: itself, and its beginnings, marked by a star."""
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+
+
+def words_of(text: str | None) -> set[str]:
+    """The different words and runs of symbols of a text, in lower case."""
+    return set(TOKEN.findall(text.lower())) if text else set()
+
+
+def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray, features: int, penalty: float, iterations: int = ITERATIONS) -> np.ndarray:
+    """Weights of the features, the extra columns and the bias, by accelerated proximal steps.
+
+    Each coordinate has a step of its own: for binary rows, the squares of a sum are at most the row's size times the sum of squares.
+    """
+    counts = np.fromiter(map(len, rows), np.int64, len(rows)) + extra.shape[1] + 1
+    flat = np.concatenate([np.concatenate([r, np.arange(features, features + extra.shape[1] + 1)]) for r in rows]).astype(np.int64)
+    value = np.ones(len(flat))
+    ends = np.cumsum(counts)
+    for k in range(extra.shape[1]):
+        value[ends - extra.shape[1] - 1 + k] = extra[:, k]
+    starts, size, n = ends - counts, features + extra.shape[1] + 1, len(rows)
+    step = 1.0 / np.maximum(np.bincount(flat, weights=value * value * np.repeat(counts, counts), minlength=size) / (4 * n), 1e-12)
+    shrink = np.full(size, penalty)
+    shrink[-1] = 0.0
+    weights = look = np.zeros(size)
+    pace = 1.0
+    for _ in range(iterations):
+        margin = np.add.reduceat(look[flat] * value, starts)
+        slope = np.bincount(flat, weights=value * np.repeat(_sigmoid(margin) - labels, counts), minlength=size) / n
+        moved = look - step * slope
+        new = np.sign(moved) * np.maximum(np.abs(moved) - step * shrink, 0.0)
+        if float(((look - new) * (new - weights)).sum()) > 0:  # overshot: start the acceleration again
+            pace = 1.0
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        look = new + (pace - 1) / faster * (new - weights)
+        weights, pace = new, faster
+    return weights
 
-    def with_beginnings(words: Column) -> Column:
-        def cut(length: int) -> Column:
-            longer = F.filter(words, lambda word: F.length(word) > length)
-            return F.array_distinct(F.transform(longer, lambda word: F.concat(F.substring(word, 1, length), F.lit("*"))))
 
-        return F.concat(words, *map(cut, BEGINNINGS))
-
-    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), 0))
-    return texts.withColumn("words", let(found, with_beginnings)).drop("text")
+def training_rows(texts: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id, text, a 0/1 column per category and the fold, of at most ``sample`` labelled rows."""
+    known = labels.select(F.col(f"`{id_column}`").alias("id"), *((F.col(f"`{column}`") == value).cast("double").alias(f"is_{name}") for name, column, value in categories))
+    known = known.dropna().groupBy("id").agg(*(F.max(f"is_{name}").alias(f"is_{name}") for name, *_ in categories))
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample)
+    given = texts.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")).dropna()
+    joined = given.join(F.broadcast(chosen), "id")  # ``sample`` rows at most
+    return joined.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
 
 
-def _inputs(rows: DataFrame, before: Sequence[str], to: str = "inputs") -> DataFrame:
-    """Words and earlier probabilities as one vector."""
-    return VectorAssembler(inputCols=["features", *(f"p_{c}" for c in before)], outputCol=to).transform(rows)
+def _vocabulary(rows: DataFrame) -> list[str]:
+    """The sample's frequent features; at most ``VOCABULARY`` of them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(list({form for word in words_of(text.as_py()) for form in forms(word)}), pa.string())], names=["feature"])
 
-def _probability(model: LogisticRegressionModel, rows: DataFrame, name: str) -> DataFrame:
-    scored = model.copy({model.rawPredictionCol: "", model.predictionCol: "", model.probabilityCol: "_both"}).transform(rows)
-    return scored.withColumn(name, vector_to_array("_both")[1]).drop("_both")
+    counts = rows.select("text").mapInArrow(run, "feature string").groupBy("feature").count().where(F.col("count") >= MIN_DOCUMENTS)
+    return [row["feature"] for row in counts.orderBy(F.desc("count"), "feature").limit(VOCABULARY).collect()]
 
 
-def _fitted(rows: DataFrame, category: str, penalty: float) -> LogisticRegressionModel:
-    learner = LogisticRegression(featuresCol="inputs", labelCol=f"is_{category}", regParam=penalty, elasticNetParam=1.0, maxIter=ITERATIONS, standardization=False)
-    return learner.fit(rows)
+def _fitter(place: int, name: str, earlier: list[dict[int, np.ndarray]], size: int, penalty: float):
+    """What fits the models of a category: a function of one model's training rows."""
 
+    def fit_model(table: pa.Table) -> pa.Table:
+        model = table.column("model")[0].as_py()
+        features = [np.asarray(x, np.int64) for x in table.column("features").to_pylist()]
+        folds = table.column("fold").to_numpy()
+        extra = np.zeros((len(features), place))
+        for i, own in enumerate(features):  # out of fold: by the models that have not seen the row
+            for k in range(place):
+                w = earlier[k][int(folds[i])]
+                extra[i, k] = _sigmoid(w[own].sum() + w[size : size + k] @ extra[i, :k] + w[-1])
+        y = table.column(f"is_{name}").to_numpy()
+        weights = fit(features, extra, y, size, penalty) if 0 < y.sum() < len(y) else constant(y.mean(), size + place + 1)
+        used = np.flatnonzero(weights)
+        return pa.table({"model": pa.array(np.full(len(used), model), pa.int32()), "feature": pa.array(used, pa.int32()), "weight": pa.array(weights[used])})
 
-def training_rows(texts: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, text, a 0/1 column per category and the fold, of at most ``sample`` labelled rows."""
-    known = labels.select(F.col(f"`{id_column}`").alias("id"), *((F.col(f"`{column}`") == value).cast("double").alias(f"is_{name}") for name, column, value in categories))
-    known = known.dropna().groupBy("id").agg(*(F.max(f"is_{name}").alias(f"is_{name}") for name, *_ in categories))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    given = texts.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")).dropna()
-    joined = given.join(F.broadcast(chosen), "id")  # ``sample`` rows at most
-    return joined.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)))
+    return fit_model
 
 
 def train(texts: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int = SAMPLE, penalty: float = PENALTY, id_column: str = "doc_id", text_column: str = "text") -> Chain:
     """Fit the chain on at most ``sample`` labelled rows."""
-    names = [name for name, *_ in categories]
-    tokens = stored(_tokens(training_rows(texts, labels, categories, sample, id_column, text_column)), "tokens")
-    counts = tokens.agg(F.count("*").alias("n"), *(F.sum(f"is_{name}").alias(name) for name in names)).first()
-    if not counts["n"]:
-        return Chain(None, tuple(Link(name, None) for name in names))
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=VOCABULARY, minDF=min(MIN_DOCUMENTS, counts["n"]), binary=True)
-    try:
-        words = counter.fit(tokens)
-    except Exception as error:  # the fit refuses a sample in which no word is frequent enough
-        if "vocabulary" not in str(error).lower():
-            raise
-        return Chain(None, tuple(Link(name, None, counts[name] / counts["n"]) for name in names))
-    rows = stored(words.transform(tokens).drop("words"), "features")
-    links: list[Link] = []
+    spark = texts.sparkSession
+    ship_package(spark)
+    names = tuple(name for name, *_ in categories)
+    rows = stored(training_rows(texts, labels, categories, sample, id_column, text_column), "sample")
+    vocabulary = _vocabulary(rows)
+    numbers = spark.sparkContext.broadcast({feature: i for i, feature in enumerate(vocabulary)})  # VOCABULARY entries at most
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = numbers.value
+        for batch in batches:
+            found = [sorted({known[form] for word in words_of(t.as_py()) for form in forms(word) if form in known}) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("fold"), *(batch.column(f"is_{n}") for n in names), pa.array(found, pa.list_(pa.int32()))], names=["fold", *(f"is_{n}" for n in names), "features"])
+
+    schema = "fold int, " + ", ".join(f"is_{n} double" for n in names) + ", features array<int>"
+    ready = stored(rows.select("text", "fold", *(f"is_{n}" for n in names)).mapInArrow(featured, schema), "features")
+    size = len(vocabulary)
+    fitted: list[dict[int, np.ndarray]] = []  # per category, the models by fold that they have not seen; FOLDS: the final one
     for place, name in enumerate(names):
-        if counts[name] in (0, counts["n"]):
-            links.append(Link(name, None, counts[name] / counts["n"]))
-            rows = rows.withColumn(f"p_{name}", F.lit(links[-1].rate))
-            continue
-        inputs = _inputs(rows, names[:place])
-        links.append(Link(name, _fitted(inputs, name, penalty)))
-        if place + 1 < len(names):  # what later models learn from: each fold by a model of the others
-            parts = None
-            for fold in range(FOLDS):
-                others, own = inputs.where(F.col("fold") != fold), inputs.where(F.col("fold") == fold).drop("inputs")
-                seen = others.agg(F.min(f"is_{name}"), F.max(f"is_{name}"), F.avg(f"is_{name}")).first()
-                if seen[0] is None or seen[0] == seen[1]:
-                    part = own.withColumn(f"p_{name}", F.lit(float(seen[2] or 0.0)))
-                else:
-                    held = _inputs(own, names[:place])
-                    part = _probability(_fitted(others, name, penalty), held, f"p_{name}").drop("inputs")
-                parts = part if parts is None else parts.unionByName(part)
-            rows = stored(parts, f"fold-{name}")
-    return Chain(words, tuple(links))
+        wanted = [FOLDS] if place + 1 == len(names) else list(range(FOLDS + 1))
+        fit_model = _fitter(place, name, list(fitted), size, penalty)
+        models = ready.withColumn("model", F.explode(F.array(*map(F.lit, wanted)))).where("model <> fold")
+        found = {m: constant(0.0, size + place + 1) for m in wanted}
+        weights = models.groupBy("model").applyInArrow(fit_model, "model int, feature int, weight double").collect()  # VOCABULARY x FOLDS rows at most
+        for m in {row["model"] for row in weights}:
+            found[m] = np.zeros(size + place + 1)
+        for row in weights:
+            found[row["model"]][row["feature"]] = row["weight"]
+        fitted.append(found)
+    final = [found[FOLDS] for found in fitted]
+    return Chain(
+        names,
+        tuple(float(w[-1]) for w in final),
+        tuple({vocabulary[i]: float(w[i]) for i in np.flatnonzero(w[:size])} for w in final),
+        tuple(tuple(map(float, w[size:-1])) for w in final),
+    )
+
+
+def constant(rate: float, size: int) -> np.ndarray:
+    """Weights of a model that always says ``rate``."""
+    weights = np.zeros(size)
+    weights[-1] = np.clip(np.log(max(rate, 1e-300)) - np.log(max(1 - rate, 1e-300)), -700, 700)
+    return weights
 
 
 def score(texts: DataFrame, chain: Chain, id_column: str = "doc_id", text_column: str = "text", *kept: Column) -> DataFrame:
     """The id, ``kept`` columns, and ``p_<category>`` of each text."""
-    given = texts.select(F.col(f"`{id_column}`").alias("id"), *kept, F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"))
-    rows = _tokens(given)
-    if chain.words is not None:
-        rows = chain.words.transform(rows)
-    before: list[str] = []
-    for link in chain.links:
-        name = f"p_{link.category}"
-        if link.model is None:
-            rows = rows.withColumn(name, F.lit(link.rate))
-        else:
-            rows = _probability(link.model, _inputs(rows, before), name).drop("inputs")
-        before.append(link.category)
-    return rows.select(F.col("id").alias(id_column), *(c for c in rows.columns if c not in ("id", "words", "features")))
+    spark = texts.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(chain)  # at most VOCABULARY weights per category
+    text = F.col(f"`{text_column}`").cast("string").alias("_text")
+    given = texts.select(F.col(f"`{id_column}`").alias(id_column), *kept, text)
+    out = given.drop("_text").schema
+    for name in chain.categories:
+        out = out.add(f"p_{name}", "double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: Chain = shared.value
+        every = {f: i for i, f in enumerate(sorted(set().union(*own.weights)))}
+        weights = np.array([[w.get(f, 0.0) for w in own.weights] for f in every]).reshape(len(every), len(own.weights))
+        cache: dict[str, tuple[int, ...]] = {}
+        for batch in batches:
+            if len(cache) > CACHED_WORDS:
+                cache.clear()
+            rows = []
+            for text in batch.column("_text"):
+                found: set[int] = set()
+                for word in words_of(text.as_py()):
+                    held = cache.get(word)
+                    if held is None:
+                        held = cache[word] = tuple(every[form] for form in forms(word) if form in every)
+                    if held:
+                        found.update(held)
+                rows.append(own.probabilities(weights[sorted(found)].sum(axis=0).tolist()))
+            columns = np.array(rows).reshape(len(rows), len(own.categories))
+            names = [n for n in batch.schema.names if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c) for c in columns.T.copy())], names=[*names, *(f"p_{n}" for n in own.categories)])
+
+    return given.mapInArrow(run, out)
 
 
 def document_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
