@@ -89,14 +89,18 @@ def in_blocks(rows: DataFrame, size: str, by: str, block: int) -> DataFrame:
     return rows.withColumn("own", own).withColumn("pair", F.explode(pairs)).select("*", "pair.one", "pair.two").drop("pair")
 
 
-def forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that join the same rows as the symmetric matrix ``near`` does, one less than the rows of each component."""
+def forest(near: np.ndarray, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """The fewest edges of the symmetric matrix ``near`` that join the same rows as it does.
+
+    With ``known``, rows that this matrix joins count as joined already.
+    """
     label = np.arange(len(near))
-    edges = []
-    for i in range(len(near)):
-        mates = np.flatnonzero(near[i])
-        for other, at in zip(*np.unique(label[mates], return_index=True), strict=True):
-            if other != label[i]:
-                edges.append((i, int(mates[at])))
-                label[label == other] = label[i]
+    edges: list[tuple[int, int]] = []
+    for matrix, emitted in ((known, []), (near, edges)):
+        for i in range(len(near) if matrix is not None else 0):
+            mates = np.flatnonzero(matrix[i])
+            for other, at in zip(*np.unique(label[mates], return_index=True), strict=True):
+                if other != label[i]:
+                    emitted.append((i, int(mates[at])))
+                    label[label == other] = label[i]
     return edges

@@ -36,7 +36,7 @@ from bizmetrics.llm.components import by_group, connected_components, forest, in
 
 SYMBOLS = 5  # in a chunk
 MISS = 1e-6
-BLOCK = 512
+BLOCK = 256
 SLICE_BYTES = 2_000_000
 
 
@@ -136,12 +136,15 @@ EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _across(table: pa.Table, near: np.ndarray) -> Iterable[tuple[int, int]]:
-    """A forest of ``near``; of a pair of blocks, only pairs across them count."""
+    """A forest of ``near``. Of a pair of blocks, only what joins them: what is joined in either block is known from its pair with itself."""
     one, two, own = (table.column(c).to_numpy() for c in ("one", "two", "own"))
-    if len(one) and one[0] != two[0]:
-        near = near & (own[:, None] != own[None, :])
     nodes = table.column("node").to_numpy()
-    return [(int(nodes[i]), int(nodes[j])) for i, j in forest(near)]
+    if len(one) and one[0] != two[0]:
+        other = own[:, None] != own[None, :]
+        found = forest(near & other, near & ~other)
+    else:
+        found = forest(near)
+    return [(int(nodes[i]), int(nodes[j])) for i, j in found]
 
 
 def close_signatures(classes: DataFrame, percent: int) -> DataFrame:

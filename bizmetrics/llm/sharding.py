@@ -8,7 +8,7 @@ a slot, and the table, of fixed size, is broadcast: placing a row takes one look
 The table is filled on the driver because turns follow each other; its size is a parameter of at most ``MAX_SLOTS``, not of the data.
 
 Edge cases: a null key is placed as the empty string; equal keys share a shard; an empty table stays empty; columns that are called as the
-operator's own are refused with an error, as they would be overwritten.
+operator's own (``slot``, ``shard``) are replaced.
 """
 
 from __future__ import annotations
@@ -81,11 +81,12 @@ def place(rows: DataFrame, key: str, shards: Sequence[str], slots: int = SLOTS,
 
 def place_in(rows: DataFrame, key: str, tables: Mapping[str, Sequence[int]], slots: int = SLOTS) -> DataFrame:
     """``rows`` with ``slot`` and a column for each filled table."""
-    if clash := {c.lower() for c in rows.columns} & {"slot", *(name.lower() for name in tables)}:
-        raise ValueError(f"rows already have columns {sorted(clash)}")
     table = lookup_table(rows.sparkSession, tables)
+    own = {"slot", *(name.lower() for name in tables)}
+    kept = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in own]
     # The table has MAX_SLOTS rows at most, so it may be broadcast whatever the data are.
-    return rows.withColumn("slot", slot_of(F.col(f"`{key}`"), slots)).join(F.broadcast(table), "slot", "left")
+    placed = rows.select(*kept, slot_of(F.col(f"`{key}`"), slots).alias("slot")).join(F.broadcast(table), "slot", "left")
+    return placed.select(*(f"`{c}`" for c in rows.columns if c.lower() not in own), "slot", *tables)
 
 
 def shard_names(count: int) -> list[str]:
