@@ -1,9 +1,10 @@
 """Column expressions: built-in Spark functions only, so they stay inside whole-stage codegen."""
 
-from bizmetrics.functions.arithmetic import growth_rate, least_strict, safe_divide
+from bizmetrics.functions.arithmetic import growth_rate, least_strict, safe_divide, scaled
 from bizmetrics.functions.dates import (
     as_date,
     hour_bucket,
+    hour_of_day,
     month_label,
     month_week_end,
     month_week_start,
@@ -16,6 +17,7 @@ __all__ = [
     "as_date",
     "growth_rate",
     "hour_bucket",
+    "hour_of_day",
     "least_strict",
     "month_label",
     "month_week_end",
@@ -23,5 +25,6 @@ __all__ = [
     "months_before",
     "pseudonym_key",
     "safe_divide",
+    "scaled",
     "years_before",
 ]

@@ -51,9 +51,12 @@ def hour_bucket(timestamp: Column) -> Column:
     ``date_trunc`` would pass through a zoned timestamp and move hours that the
     session zone skips.
     """
-    return F.make_timestamp_ntz(
-        F.year(timestamp), F.month(timestamp), F.dayofmonth(timestamp), F.hour(timestamp), F.lit(0), F.lit(0)
-    )
+    return hour_of_day(timestamp.cast("date"), F.hour(timestamp))
+
+
+def hour_of_day(day: Column, hour: Column) -> Column:
+    """The zone-less timestamp at which an hour of a day begins."""
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), hour, F.lit(0), F.lit(0))
 
 
 def month_label(day: Column) -> Column:

@@ -41,24 +41,30 @@ def membership_flags(df: DataFrame, members: Mapping[str, DataFrame], key: str)
     return join_member_counts(df, members, key).withColumns({name: F.col(name) > 0 for name in members})
 
 
-def repeat_rows(df: DataFrame, times: Column, chunk: int = 10_000) -> DataFrame:
+def repeat_rows(df: DataFrame, times: Column, chunk: int = 10_000, partitions: int | None = None) -> DataFrame:
     """Each row ``times`` times.
 
-    Rows are first cut into chunks of at most ``chunk`` repetitions, and these dealt out evenly,
-    so a row repeated billions of times is not written by one task. The number of
-    partitions is explicit, as AQE would judge chunks by their own size and merge them.
+    Rows of up to ``chunk`` repetitions are repeated where they are. Others are first cut into chunks, and these dealt out
+    evenly, so a row repeated billions of times is not written by one task. The number of partitions they are dealt to
+    is explicit, as AQE would judge chunks by their own size and merge them: ``partitions``, or the number that AQE starts from.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        conf = df.sparkSession.conf
+        default = conf.get("spark.sql.shuffle.partitions")
+        partitions = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or default)
     numbered = F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / chunk)))
     in_chunk = F.least(F.lit(chunk), F.col("_times") - F.col("_chunk") * chunk)
-    return (
-        df.withColumn("_times", times.cast("bigint"))
-        .where(F.col("_times") > 0)
+    counted = df.withColumn("_times", times.cast("bigint"))
+    few = counted.where((F.col("_times") > 0) & (F.col("_times") <= chunk)).withColumn("_part", F.col("_times"))
+    many = (
+        counted.where(F.col("_times") > chunk)
         .withColumn("_chunk", numbered)
         .repartition(partitions)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), in_chunk)))
-        .select(*df.columns)
+        .withColumn("_part", in_chunk.cast("bigint"))
+        .drop("_chunk")
     )
+    repeated = few.unionByName(many).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_part"))))
+    return repeated.select(*df.columns)
 
 
 def count_name(prefix: str, entity: str) -> str:
@@ -77,7 +83,8 @@ def rollup_distinct(
 
     ``entities`` maps an entity's name to its id column, ``flags`` a name to a boolean column.
     Returns ``label``, ``is_total`` (1 on the row over all labels), and the counts
-    ``total_<entity>`` and ``<flag name>_<entity>``. Without ``with_total`` there is no row over all labels.
+    ``total_<entity>`` and ``<flag name>_<entity>``. Without ``with_total`` there is no row over all labels;
+    with it there always is one, with zeros if there are no rows at all.
 
     Exact, in one pass. The first exchange is keyed on (label, id), so neither a label nor the
     total is ever gathered in one task, and an id that occurs in many rows is combined
@@ -95,6 +102,12 @@ def rollup_distinct(
         ],
         *[F.coalesce(F.bool_or(column), F.lit(False)).alias(f"_any_{name}") for name, column in flags.items()],
     )
+    if with_total:  # a row that counts as nothing keeps the total in the result when there are no rows
+        nothing = {"is_total": F.lit(1)} | {c: F.lit(False) for c in per_id.columns if c.startswith(("_is_", "_any_"))}
+        empty = df.sparkSession.range(1).select(
+            *[nothing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in per_id.schema]
+        )
+        per_id = per_id.unionAll(empty)
     counts: list[Column] = [
         F.count_if(F.col(f"_is_{entity}")).alias(count_name(total_prefix, entity)) for entity in entities
     ]

@@ -7,24 +7,29 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bizmetrics.functions import hour_of_day, scaled as scaled_value
+
 # Sketch size: percentiles are exact up to about this many values, beyond that within 1/10,000 of their rank.
 PERCENTILE_ACCURACY = 10_000
 
 
 def hourly_usage(
-    events: DataFrame, keys: Sequence[str], hour: Column, sums: Mapping[str, str], averages: Sequence[str]
+    events: DataFrame, keys: Sequence[str], timestamp: Column, sums: Mapping[str, str], averages: Sequence[str]
 ) -> DataFrame:
-    """Reduce an event log to one row per (keys, ``hour_bucket``).
+    """Reduce an event log to one row per (keys, ``hour_bucket``), the hour of ``timestamp``.
 
     ``sums`` maps output names to columns. For each column in ``averages`` a sum and a
     non-NULL count are kept, as those can be added up again while averages cannot. The rows
     are combined before the exchange, so the log is shuffled at hour grain at most, and a key
-    that holds a third of it is no larger than its number of hours.
+    that holds a third of it is no larger than its number of hours. They are grouped by day and
+    hour, two cheap integers per event; the bucket's timestamp is made of them afterwards.
     """
     partials = [F.sum(column).alias(name) for name, column in sums.items()]
     for column in averages:
         partials += [F.sum(column).alias(f"{column}_sum"), F.count(column).alias(f"{column}_count")]
-    return events.groupBy(*keys, hour.alias("hour_bucket")).agg(*partials)
+    hours = events.groupBy(*keys, timestamp.cast("date").alias("_day"), F.hour(timestamp).alias("_hour")).agg(*partials)
+    bucket = hour_of_day(F.col("_day"), F.col("_hour")).alias("hour_bucket")
+    return hours.select(*keys, bucket, *(c for c in hours.columns if c not in {*keys, "_day", "_hour"}))
 
 
 def merged_average(column: str) -> Column:
@@ -52,9 +57,10 @@ def usage_by_bucket(
     """Add up the hours of each key: percentiles and peak of ``volume`` over hours, and ``others``.
 
     Hours without events have no row and do not enter the percentiles. A key has as many rows as
-    its period has hours, 168 for a week, however much it is used. Such groups are small enough to
-    be sorted: percentiles are the values at the nearest rank, exact, and everything else is
-    added up in the same stage, with less to exchange than sketches would take.
+    it has different hours, however much it is used: 168 for a week whose events carry times of that week. Nothing
+    ties a log's times to its dates, so a log with wrong times may have more, up to the hours of all its
+    times. Such groups are small enough to be sorted: percentiles are the values at the nearest rank, exact
+    (the 0th is the smallest), and everything else is added up in the same stage, with less to exchange than sketches would take.
     """
     in_bucket = Window.partitionBy(*keys)
     by_volume = in_bucket.orderBy(F.col(volume).asc_nulls_last())
@@ -63,7 +69,7 @@ def usage_by_bucket(
     )
 
     def value_at(percent: int) -> Column:
-        rank = F.expr(f"(_hours * {percent} + 99) div 100")
+        rank = F.expr(f"greatest(1, (_hours * {percent} + 99) div 100)")
         return F.max(F.when(F.col("_rank") == rank, F.col(volume)))
 
     return ranked.groupBy(*keys).agg(
@@ -90,9 +96,11 @@ def join_segments(
 
     A key with several distinct attribute combinations yields a row for each; identical
     ``dim`` rows multiply the ``scaled`` columns. ``scaled`` may hold sums and anything that
-    scales with them: maxima and percentiles that are themselves values.
+    scales with them: maxima and percentiles that are themselves values. Decimals keep all their digits.
     """
     matched = df.join(segment_copies(dim, key, attributes), key, "left")
     copies = F.coalesce("copies", F.lit(1))
-    columns = [(F.col(c) * copies).alias(c) if c in scaled else F.col(c) for c in df.columns]
+    columns = [
+        scaled_value(F.col(c), copies, df.schema[c].dataType).alias(c) if c in scaled else F.col(c) for c in df.columns
+    ]
     return matched.select(*columns, *attributes)

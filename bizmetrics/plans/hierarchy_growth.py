@@ -66,7 +66,10 @@ def hierarchy_growth(
 ) -> DataFrame:
     """The report, latest month first."""
     metrics = with_prior_year(level_metrics(revenue_base(sources, category)), by_calendar)
-    growth = [growth_rate(F.col(m), F.col(m + "_prior_year")).alias(name) for name, m in GROWTH.items()]
+    growth = [
+        growth_rate(F.col(m), F.col(m + "_prior_year"), metrics.schema[m].dataType).alias(name)
+        for name, m in GROWTH.items()
+    ]
     return metrics.select("*", *growth).orderBy(
         F.col("month_end_date").desc(), "aggregation_level", "aggregation_object"
     )

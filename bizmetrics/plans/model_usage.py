@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizmetrics.functions import hour_bucket, month_label, pseudonym_key
+from bizmetrics.functions import month_label, pseudonym_key
 from bizmetrics.functions.dates import DateLike
 from bizmetrics.operators.periods import bucket_days, previous_month_days, with_bucket_end
 from bizmetrics.operators.usage import (
@@ -69,7 +69,7 @@ def calls_by_hour(
     return hourly_usage(
         calls.join(days, calls["event_date"] == days["date"]),
         GRAIN,
-        hour_bucket(F.col("event_timestamp")),
+        F.col("event_timestamp"),
         HOURLY_SUMS,
         list(AVERAGES.values()),
     )
@@ -128,7 +128,7 @@ def model_usage(
     measures = [*PERCENTILE_POINTS, PEAK]
     per_customer = usage_by_bucket(
         # Placed by account, hour rows are ready for their buckets and for the join that follows. An
-        # account has no more of them than hours in the month times models.
+        # account has no more of them than different hours times models.
         calls_by_hour(sources, as_of, prefixes).repartition("account_id"),
         GRAIN,
         "hourly_api_calls",

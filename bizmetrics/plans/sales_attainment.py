@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizmetrics.functions import as_date, safe_divide
+from bizmetrics.functions import as_date, safe_divide, scaled
 from bizmetrics.functions.dates import DateLike
 from bizmetrics.operators.periods import period_row
 from bizmetrics.operators.sums import attach_row, period_sums, row_value
@@ -18,16 +18,21 @@ VERTICAL_TIER = "Tier 2"
 STRATEGIC_TIER = "Tier 1"
 OPPORTUNITY_TYPES = ("New Business", "Upsell", "Cross-sell", "Renewal")
 WON = "Closed Won"
-ACTUALS = (
-    "prior_year_pipeline_acv",
-    "prior_year_closed_won_acv",
-    "ytd_pipeline_acv",
-    "ytd_closed_won_acv",
-    "qtd_pipeline_acv",
-    "qtd_closed_won_acv",
-    "mtd_pipeline_acv",
-    "mtd_closed_won_acv",
-)
+CREATED, CLOSED = "pipeline_creation_date", "close_date"
+YEAR, QUARTER, MONTH = (f"first_day_of_current_{period}" for period in ("year", "quarter", "month"))
+PRIOR_YEAR = "first_day_of_prior_year"
+PRIOR_YEAR_END = "last_day_of_prior_year"
+# Each sum: the date that counts, the period's first day, its last day if it has one, whether only won deals count.
+ACTUALS = {
+    "prior_year_pipeline_acv": (CREATED, PRIOR_YEAR, PRIOR_YEAR_END, False),
+    "prior_year_closed_won_acv": (CLOSED, PRIOR_YEAR, PRIOR_YEAR_END, True),
+    "ytd_pipeline_acv": (CREATED, YEAR, None, False),
+    "ytd_closed_won_acv": (CLOSED, YEAR, None, True),
+    "qtd_pipeline_acv": (CREATED, QUARTER, None, False),
+    "qtd_closed_won_acv": (CLOSED, QUARTER, None, True),
+    "mtd_pipeline_acv": (CREATED, MONTH, None, False),
+    "mtd_closed_won_acv": (CLOSED, MONTH, None, True),
+}
 ATTAINMENT = {
     "ytd_percent_to_annual_target": ("total_ytd_closed_won_acv", "total_annual_target_acv"),
     "qtd_percent_to_quarter_target": ("total_qtd_closed_won_acv", "current_quarter_target_acv"),
@@ -61,17 +66,11 @@ def period_conditions(refs: Column, bounded: bool = False) -> dict[str, Column]:
     unless ``bounded``.
     """
     conditions = {}
-    for name in ACTUALS:
-        is_pipeline = name.endswith("_pipeline_acv")
-        day = F.col("pipeline_creation_date" if is_pipeline else "close_date")
-        if name.startswith("prior_year"):
-            inside = day.between(refs["first_day_of_prior_year"], refs["last_day_of_prior_year"])
-        else:
-            start = {"y": "year", "q": "quarter", "m": "month"}[name[0]]
-            inside = day >= refs[f"first_day_of_current_{start}"]
-            if bounded:
-                inside = inside & (day <= refs["as_of_date"])
-        conditions[name] = inside if is_pipeline else inside & (F.col("stage_name") == WON)
+    for name, (date, first, last, won) in ACTUALS.items():
+        inside = F.col(date) >= refs[first]
+        if last or bounded:
+            inside = inside & (F.col(date) <= refs[last or "as_of_date"])
+        conditions[name] = inside & (F.col("stage_name") == WON) if won else inside
     return conditions
 
 
@@ -128,7 +127,7 @@ def sales_attainment(
     per_tier = (
         listed.join(actuals, "crm_account_id", "left")
         .groupBy("priority_level")
-        .agg(*[F.sum(F.col(a) * F.col("listed")).alias(f"total_{a}") for a in ACTUALS])
+        .agg(*[F.sum(scaled(F.col(a), F.col("listed"), actuals.schema[a].dataType)).alias(f"total_{a}") for a in ACTUALS])
     )
     with_targets = attach_row(per_tier, vertical_targets(sources["targets"], refs, as_of, vertical))
     return with_targets.select(

@@ -1,7 +1,9 @@
 import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bizmetrics.functions import (
     as_date,
@@ -14,6 +16,7 @@ from bizmetrics.functions import (
     months_before,
     pseudonym_key,
     safe_divide,
+    scaled,
     years_before,
 )
 
@@ -41,6 +44,23 @@ def test_growth_rate_subtracts_money_exactly(spark):
     assert value(spark, growth_rate(now, ago)) == 2.0
 
 
+@pytest.mark.parametrize("kind", ["decimal(38,9)", "decimal(18,2)"])
+def test_growth_rate_of_wide_money_is_exact(spark, kind):
+    scale = 9 if "9" in kind else 2
+    now, ago = (F.lit(x).cast(kind) for x in ("0.123456789", "0.100000000"))
+    exact = Decimal("0.123456789").quantize(Decimal(1).scaleb(-scale)) - Decimal("0.1")
+    assert value(spark, growth_rate(now, ago, T.DecimalType(38 if scale == 9 else 18, scale))) == float(exact) / 0.1
+
+
+def test_scaled_keeps_every_digit(spark):
+    wide = F.lit("0.123456789").cast("decimal(38,9)")
+    found = spark.range(1).select(scaled(wide, F.lit(3).cast("bigint"), T.DecimalType(38, 9)).alias("x"))
+    assert found.schema["x"].dataType == T.DecimalType(38, 9)
+    assert found.first()["x"] == Decimal("0.370370367")
+    assert value(spark, scaled(F.lit(2.5), F.lit(3), T.DoubleType())) == 7.5
+    assert value(spark, scaled(F.lit(7).cast("bigint"), F.lit(3), T.LongType())) == 21
+
+
 def test_least_strict_does_not_skip_nulls(spark):
     assert value(spark, least_strict(F.lit(3), F.lit(2))) == 2
     assert value(spark, least_strict(F.lit(3), F.expr("cast(null as int)"))) is None

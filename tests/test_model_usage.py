@@ -197,3 +197,23 @@ def test_percentiles_are_nested_below_the_peak(spark, small_dir):
     for r in known:
         p20, p50, p80 = (r[p] for p in usage.PERCENTILE_POINTS)
         assert p20 <= p50 <= p80 <= r[usage.PEAK] <= r["total_call_volume"]
+
+
+def test_wide_weights_keep_their_digits(spark):
+    """A dimension row that is there twice doubles volumes and percentiles, to the last digit."""
+    from decimal import Decimal
+
+    from bizmetrics.operators import join_segments
+
+    df = spark.createDataFrame([(1, Decimal("0.123456789"))], "account_id bigint, volume decimal(38,9)")
+    dim = spark.createDataFrame([(1, "V"), (1, "V")], "account_id bigint, vertical string")
+    joined = join_segments(df, dim, "account_id", ["vertical"], ["volume"])
+    assert joined.schema["volume"].dataType.scale == 9
+    assert str(joined.first()["volume"]) == "0.246913578"
+
+
+def test_the_zeroth_percentile_is_the_smallest(spark):
+    from bizmetrics.operators import usage_by_bucket
+
+    df = spark.createDataFrame([("k", v) for v in (5, 3, 9)], "key string, volume bigint")
+    assert usage_by_bucket(df, ["key"], "volume", {"p0": 0, "p100": 100}, "peak").first().asDict() == {"key": "k", "p0": 3, "p100": 9, "peak": 9}

@@ -216,10 +216,29 @@ def test_a_row_repeated_very_often_is_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) < 50_000
 
 
+def test_rows_repeated_seldom_are_not_exchanged(spark):
+    df = spark.createDataFrame([(i, i % 5) for i in range(100)], "id int, n int")
+    repeated = repeat_rows(df, F.col("n"), chunk=10)
+    assert repeated.count() == sum(i % 5 for i in range(100))
+    few = [r["task"] for r in repeated.select(F.spark_partition_id().alias("task")).distinct().collect()]
+    assert len(few) <= df.rdd.getNumPartitions()
+
+
+def test_the_number_of_chunk_partitions_follows_aqe(spark):
+    df = spark.createDataFrame([(1, 100)], "id int, n int")
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.set(key, "23")
+    try:
+        assert "Repartition 23, true" in repeat_rows(df, F.col("n"))._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset(key)
+    assert "Repartition 5, true" in repeat_rows(df, F.col("n"), partitions=5)._jdf.queryExecution().analyzed().toString()
+
+
 def test_a_hot_account_is_combined_before_the_exchange(spark, small_dir):
     """A task sends at most a row per (bucket, account, model, hour), however many calls the account has.
 
-    The second exchange is of those hour rows, of which an account has at most 168 per bucket and model.
+    The second exchange is of those hour rows, of which an account has one per bucket, model and different hour.
     """
     lines = physical(QUERIES["r2_partner_usage"](spark, small_dir)).splitlines()
     exchanges = [

@@ -265,3 +265,13 @@ def test_rows_as_values(spark):
     one = spark.createDataFrame([(7, "x")], "a int, b string")
     assert as_dicts(attach_row(df, one)) == [{"id": 0, "a": 7, "b": "x"}, {"id": 1, "a": 7, "b": "x"}]
     assert [r["v"] for r in df.select(row_value(one.limit(0))["a"].alias("v")).collect()] == [None, None]
+
+
+def test_wide_money_keeps_its_digits(spark):
+    """NUMERIC of nine decimal places, for an account that is listed three times."""
+    wide = "crm_account_id bigint, pipeline_creation_date date, close_date date, stage_name string, opportunity_type string, annual_contract_value decimal(38,9)"
+    src = sources(spark, strategic=[(1, "A", 2001)] * 3)
+    src["opportunity"] = spark.createDataFrame([(1, day("2001-05-01"), None, "Open", "Upsell", money("0.123456789"))], wide)
+    report = sales.sales_attainment(src, AS_OF)
+    assert report.schema["total_ytd_pipeline_acv"].dataType.scale == 9
+    assert str(report.first()["total_ytd_pipeline_acv"]) == "0.370370367"
