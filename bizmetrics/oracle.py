@@ -97,8 +97,7 @@ FIXTURES = {
 STEPS = {
     "base": f"""
         SELECT month_end_date, customer_id, product_category, product_group, product_name, acv, mrr
-        FROM revenue SEMI JOIN hierarchy USING (product_id)
-        JOIN hierarchy USING (product_id) WHERE product_category = '{CATEGORY}'""",
+        FROM revenue LEFT JOIN hierarchy USING (product_id) WHERE product_category = '{CATEGORY}'""",
     "levels": " UNION ALL ".join(
         f"""
         SELECT month_end_date, '{label}' AS aggregation_level, {column} AS aggregation_object,
@@ -120,6 +119,14 @@ STEPS = {
           ON now.aggregation_level = ago.aggregation_level
          AND now.aggregation_object IS NOT DISTINCT FROM ago.aggregation_object
          AND now.n = ago.n + 12""",
+    "yoy_by_calendar": """
+        SELECT now.month_end_date, now.aggregation_level, now.aggregation_object, now.num_customers,
+               now.acv, now.mrr, ago.num_customers AS customers_ago, ago.acv AS acv_ago, ago.mrr AS mrr_ago
+        FROM levels now LEFT JOIN levels ago
+          ON now.aggregation_level = ago.aggregation_level
+         AND now.aggregation_object IS NOT DISTINCT FROM ago.aggregation_object
+         AND year(now.month_end_date) = year(ago.month_end_date) + 1
+         AND month(now.month_end_date) = month(ago.month_end_date)""",
     "buckets": f"""
         SELECT date, make_date(year(date), month(date), ((day(date) - 1) // 7 * 7 + 1)::INTEGER) AS week_start
         FROM event_days
@@ -148,10 +155,10 @@ STEPS = {
         FROM calls GROUP BY ALL""",
     "active": """
         SELECT u.subscription_plan, u.user_id, a.account_id,
-               COALESCE((SELECT MAX(crm_organization_id) FROM orgs o
-                         WHERE o.organization_id = a.organization_id), a.account_id::VARCHAR) AS organization_id
-        FROM users u, accounts a
-        WHERE u.account_id = a.account_id AND u.is_active AND a.is_active""",
+               COALESCE(o.crm_organization_id, a.account_id::VARCHAR) AS organization_id
+        FROM users u JOIN accounts a ON u.account_id = a.account_id
+        LEFT JOIN orgs o ON a.organization_id = o.organization_id
+        WHERE u.is_active AND a.is_active""",
     "flagged": f"""
         SELECT b.*,
                COALESCE(user_id IN (SELECT user_id FROM rules
@@ -168,16 +175,23 @@ STEPS = {
                                       AND event_date < DATE '{ADOPTION_AS_OF}'), false)
                    AS is_adopted_security_dashboard_ui
         FROM active b""",
-    "adopted": """
-        SELECT metric_name, subscription_plan, COUNT(DISTINCT user_id) AS adopted_users,
-               COUNT(DISTINCT account_id) AS adopted_accounts, COUNT(DISTINCT organization_id) AS adopted_orgs
-        FROM (SELECT *, unnest([
+    "adopted_or_all": """
+        SELECT * FROM adopted
+        UNION ALL
+        SELECT metric_name, 'All', COUNT(DISTINCT user_id), COUNT(DISTINCT account_id), COUNT(DISTINCT organization_id)
+        FROM adopters GROUP BY metric_name""",
+    "adopters": """
+        SELECT * FROM (SELECT *, unnest([
                   {'metric_name': 'Heuristic Rule', 'flag': is_adopted_ai_powered_waf_rule},
                   {'metric_name': 'Analytics Dashboard', 'flag': is_adopted_volumetric_protection},
                   {'metric_name': 'Company Setting', 'flag': is_adopted_client_side_analysis},
                   {'metric_name': 'UI Interactions', 'flag': is_adopted_security_dashboard_ui}], recursive := true)
               FROM flagged)
-        WHERE flag GROUP BY ALL""",
+        WHERE flag""",
+    "adopted": """
+        SELECT metric_name, subscription_plan, COUNT(DISTINCT user_id) AS adopted_users,
+               COUNT(DISTINCT account_id) AS adopted_accounts, COUNT(DISTINCT organization_id) AS adopted_orgs
+        FROM adopters GROUP BY ALL""",
     "plans": """
         SELECT subscription_plan, COUNT(DISTINCT user_id) AS total_users,
                COUNT(DISTINCT account_id) AS total_accounts, COUNT(DISTINCT organization_id) AS total_orgs
@@ -187,7 +201,7 @@ STEPS = {
         FROM active""",
     "cohort": f"""
         SELECT crm_account_id, account_name, 'Tier 2' AS priority_level
-        FROM customers WHERE crm_account_id >= 0 AND industry_vertical = '{VERTICAL}' GROUP BY ALL
+        FROM customers WHERE crm_account_id IS NOT NULL AND industry_vertical = '{VERTICAL}' GROUP BY ALL
         UNION ALL
         SELECT crm_account_id, account_name, 'Tier 1' FROM strategic
         WHERE fiscal_year = year(DATE '{SALES_AS_OF}')""",
@@ -202,18 +216,8 @@ STEPS = {
     "deals": """
         SELECT crm_account_id, pipeline_creation_date AS created, close_date AS closed,
                annual_contract_value AS acv, stage_name = 'Closed Won' AS won, period.*
-        FROM opportunity, period WHERE opportunity_type NOT IN ('Internal')""",
-    "account_sums": """
-        SELECT crm_account_id,
-               COALESCE(SUM(acv) FILTER (year(created) = year(first_day_of_prior_year)), 0) AS prior_year_pipeline_acv,
-               COALESCE(SUM(acv) FILTER (won AND year(closed) = year(first_day_of_prior_year)), 0) AS prior_year_closed_won_acv,
-               COALESCE(SUM(acv) FILTER (created >= first_day_of_current_year), 0) AS ytd_pipeline_acv,
-               COALESCE(SUM(acv) FILTER (won AND closed >= first_day_of_current_year), 0) AS ytd_closed_won_acv,
-               COALESCE(SUM(acv) FILTER (created >= first_day_of_current_quarter), 0) AS qtd_pipeline_acv,
-               COALESCE(SUM(acv) FILTER (won AND closed >= first_day_of_current_quarter), 0) AS qtd_closed_won_acv,
-               COALESCE(SUM(acv) FILTER (created >= first_day_of_current_month), 0) AS mtd_pipeline_acv,
-               COALESCE(SUM(acv) FILTER (won AND closed >= first_day_of_current_month), 0) AS mtd_closed_won_acv
-        FROM deals GROUP BY crm_account_id""",
+        FROM opportunity, period
+        WHERE opportunity_type IN ('New Business', 'Upsell', 'Cross-sell', 'Renewal')""",
     "goal": f"""
         SELECT SUM(target_acv) AS annual,
                SUM(IF(quarter(target_month) = current_quarter_number, target_acv, 0)) AS quarterly,
@@ -228,6 +232,7 @@ NEEDS = {
     "levels": ["base"],
     "numbered": ["levels"],
     "yoy": ["numbered"],
+    "yoy_by_calendar": ["levels"],
     "buckets": ["event_days"],
     "calls": ["logs", "buckets"],
     "hours": ["calls", "accounts_dim"],
@@ -235,11 +240,14 @@ NEEDS = {
     "totals": ["calls"],
     "active": ["users", "accounts", "orgs"],
     "flagged": ["active", "rules", "analytics", "settings", "interactions"],
-    "adopted": ["flagged"],
+    "adopters": ["flagged"],
+    "adopted": ["adopters"],
+    "adopted_or_all": ["adopted"],
     "plans": ["active"],
     "cohort": ["customers", "strategic"],
     "deals": ["opportunity", "period"],
     "account_sums": ["deals"],
+    "account_sums_bounded": ["deals"],
     "goal": ["targets", "period"],
 }
 
@@ -285,33 +293,33 @@ def _level(label: str, column: str) -> Query:
     )
 
 
-ACTUALS = [
-    f"{period}_{kind}_acv" for period in ("prior_year", "ytd", "qtd", "mtd") for kind in ("pipeline", "closed_won")
-]
+# The names of the sums.
+ACTUALS = (
+    "prior_year_pipeline_acv",
+    "prior_year_closed_won_acv",
+    "ytd_pipeline_acv",
+    "ytd_closed_won_acv",
+    "qtd_pipeline_acv",
+    "qtd_closed_won_acv",
+    "mtd_pipeline_acv",
+    "mtd_closed_won_acv",
+)
 
-QUERIES: dict[str, Query | str] = {
-    "r1_business_metrics": Query(
-        "yoy",
+
+def _growth(step: str) -> Query:
+    return Query(
+        step,
         f"""SELECT {_YOY},
                    {_ratio("num_customers - customers_ago", "customers_ago")} AS yoy_growth_customers,
                    {_ratio("acv - acv_ago", "acv_ago")} AS yoy_growth_acv,
                    {_ratio("mrr - mrr_ago", "mrr_ago")} AS yoy_growth_mrr
-            FROM yoy""",
-    ),
-    "r2_partner_usage": Query(
-        "totals hour_stats",
-        """SELECT lower(strftime(m.week_start, '%B_%Y')) AS report_month, m.week_start AS report_week_start,
-                  m.week_end AS report_week_end, 'cloud_hosted' AS deployment_type, m.model,
-                  h.industry_vertical, h.billing_country, m.customer_uuid, m.calls AS total_call_volume,
-                  m.input_tokens AS total_input_tokens, m.output_tokens AS total_output_tokens,
-                  h.q[1] AS p20_hourly_call_volume, h.q[2] AS p50_hourly_call_volume,
-                  h.q[3] AS p80_hourly_call_volume, h.peak AS peak_hourly_call_volume,
-                  m.ttft AS avg_ttft_ms, m.duration AS avg_inference_time_ms
-           FROM totals m LEFT JOIN hour_stats h
-             ON m.week_start = h.week_start AND m.customer_uuid = h.customer_uuid AND m.model = h.model""",
-    ),
-    "r3_product_adoption": Query(
-        "adopted plans",
+            FROM {step}""",
+    )
+
+
+def _adoption(step: str) -> Query:
+    return Query(
+        f"{step} plans",
         f"""SELECT DATE '{ADOPTION_AS_OF}' - 1 AS report_date, 'Adopted vs. Total Active' AS scenario, *,
                    adopted_users::DOUBLE / NULLIF(total_users, 0) AS pct_adoption_users,
                    adopted_accounts::DOUBLE / NULLIF(total_accounts, 0) AS pct_adoption_accounts,
@@ -320,10 +328,13 @@ QUERIES: dict[str, Query | str] = {
                          COALESCE(a.adopted_accounts, 0) AS adopted_accounts,
                          COALESCE(a.adopted_orgs, 0) AS adopted_orgs,
                          t.total_users, t.total_accounts, t.total_orgs
-                  FROM plans t LEFT JOIN adopted a ON t.subscription_plan = a.subscription_plan)""",
-    ),
-    "r4_sales_performance": Query(
-        "cohort account_sums goal",
+                  FROM plans t LEFT JOIN {step} a ON t.subscription_plan = a.subscription_plan)""",
+    )
+
+
+def _attainment(step: str) -> Query:
+    return Query(
+        f"cohort {step} goal",
         f"""SELECT (SELECT as_of_date FROM period) AS report_date, priority_level,
                    {", ".join(f"total_{a}::DOUBLE AS total_{a}" for a in ACTUALS)},
                    annual::DOUBLE AS total_annual_target_acv, quarterly::DOUBLE AS current_quarter_target_acv,
@@ -332,8 +343,54 @@ QUERIES: dict[str, Query | str] = {
                    {_ratio("total_qtd_closed_won_acv", "quarterly")} AS qtd_percent_to_quarter_target,
                    {_ratio("total_mtd_closed_won_acv", "monthly")} AS mtd_percent_to_month_target
             FROM (SELECT priority_level, {", ".join(f"SUM({a}) AS total_{a}" for a in ACTUALS)}
-                  FROM cohort LEFT JOIN account_sums USING (crm_account_id) GROUP BY priority_level), goal""",
+                  FROM cohort LEFT JOIN {step} USING (crm_account_id) GROUP BY priority_level), goal""",
+    )
+
+
+def _account_sums(until: str) -> str:
+    """Sums per account; a to-date period's rows also meet ``until``, a condition on their date."""
+
+    def of(condition: str) -> str:
+        return f"SUM(CASE WHEN {condition} THEN acv ELSE 0 END)"
+
+    def to_date(column: str, first: str) -> str:
+        return f"{column} >= {first} AND {until.format(column)}"
+
+    return f"""
+        SELECT crm_account_id,
+               {of("year(created) = year(first_day_of_prior_year)")} AS prior_year_pipeline_acv,
+               {of("won AND year(closed) = year(first_day_of_prior_year)")} AS prior_year_closed_won_acv,
+               {of(to_date("created", "first_day_of_current_year"))} AS ytd_pipeline_acv,
+               {of("won AND " + to_date("closed", "first_day_of_current_year"))} AS ytd_closed_won_acv,
+               {of(to_date("created", "first_day_of_current_quarter"))} AS qtd_pipeline_acv,
+               {of("won AND " + to_date("closed", "first_day_of_current_quarter"))} AS qtd_closed_won_acv,
+               {of(to_date("created", "first_day_of_current_month"))} AS mtd_pipeline_acv,
+               {of("won AND " + to_date("closed", "first_day_of_current_month"))} AS mtd_closed_won_acv
+        FROM deals GROUP BY crm_account_id"""
+
+
+STEPS["account_sums"] = _account_sums("true")
+STEPS["account_sums_bounded"] = _account_sums("{} <= as_of_date")
+
+QUERIES: dict[str, Query | str] = {
+    "r1_business_metrics": _growth("yoy"),
+    "r1_by_calendar": _growth("yoy_by_calendar"),
+    "r2_partner_usage": Query(
+        "totals hour_stats",
+        """SELECT lower(strftime(m.week_start, '%B_%Y')) AS report_month, m.week_start AS report_week_start,
+                  m.week_end AS report_week_end, 'cloud_hosted' AS deployment_type, m.model,
+                  h.industry_vertical, h.billing_country, m.customer_uuid, m.calls AS total_call_volume,
+                  m.input_tokens AS total_input_tokens, m.output_tokens AS total_output_tokens,
+                  h.q[1] AS p20_hourly_call_volume, h.q[2] AS p50_hourly_call_volume,
+                  h.q[3] AS p80_hourly_call_volume, h.peak AS peak_hourly_call_volume,
+                  m.ttft AS avg_ttft_ms, m.duration AS avg_inference_time_ms
+           FROM totals m LEFT JOIN hour_stats h
+             ON m.week_start = h.week_start AND m.customer_uuid = h.customer_uuid AND m.model = h.model""",
     ),
+    "r3_product_adoption": _adoption("adopted"),
+    "r3_rollup_adoption": _adoption("adopted_or_all"),
+    "r4_sales_performance": _attainment("account_sums"),
+    "r4_bounded": _attainment("account_sums_bounded"),
     "s01_revenue_base": Query("base", "SELECT * REPLACE (acv::DOUBLE AS acv, mrr::DOUBLE AS mrr) FROM base"),
     "s02_group_metrics": _level("Product Group", "product_group"),
     "s03_name_metrics": _level("Product Name", "product_name"),
@@ -363,7 +420,7 @@ QUERIES: dict[str, Query | str] = {
                   calls AS total_call_volume, ttft AS avg_ttft_ms, duration AS avg_inference_time_ms
            FROM totals""",
     ),
-    "s11_report_date": "SELECT MAX(ts)::DATE AS report_date FROM events",
+    "s11_report_date": "SELECT DISTINCT o_orderdate::DATE AS as_of, o_orderdate::DATE - 1 AS report_date FROM orders",
     "s12_active_entities": Query("active", "SELECT * FROM active"),
     "s13_feature_flags": Query(
         "flagged",
@@ -430,7 +487,7 @@ QUERIES: dict[str, Query | str] = {
         FROM lineitem GROUP BY ALL""",
     "o_global_agg": """
         SELECT COUNT(*) AS n_rows, SUM(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sum_price,
-               (SUM(l_quantity::DECIMAL(18,2)) FILTER (l_returnflag = 'R'))::DOUBLE AS returned_qty
+               SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity::DECIMAL(18,2) ELSE 0 END)::DOUBLE AS returned_qty
         FROM lineitem""",
     "o_rollup_grouping": Query(
         "users",
@@ -449,8 +506,13 @@ QUERIES: dict[str, Query | str] = {
                    AS price_since_2001
         FROM orders GROUP BY o_orderpriority""",
     "o_avg": """
-        SELECT event_type, SUM(value::DECIMAL(18,2))::DOUBLE / NULLIF(COUNT(value), 0) AS avg_value
-        FROM events WHERE value > 50 GROUP BY event_type""",
+        SELECT event_type, SUM(v::DECIMAL(18,2))::DOUBLE / NULLIF(COUNT(v), 0) AS avg_value
+        FROM (SELECT event_type, CASE WHEN value > 50 THEN value END AS v FROM events) GROUP BY event_type""",
+    "o_scaled_sum": """
+        SELECT o_orderpriority, SUM(price * copies)::DECIMAL(38,9)::VARCHAR AS total_price
+        FROM (SELECT o_orderpriority, (o_orderkey % 7 + 1)::DECIMAL(4,0) AS copies,
+                     o_totalprice::DECIMAL(18,2)::DECIMAL(24,9) + (o_orderkey % 1000)::DECIMAL(9,0) * 0.000000001::DECIMAL(9,9) AS price
+              FROM orders) GROUP BY o_orderpriority""",
     "o_approx_quantiles": Query(
         "logs",
         """SELECT model_name, event_date, q[1] AS p20, q[2] AS p50, q[3] AS p80
@@ -474,7 +536,7 @@ QUERIES: dict[str, Query | str] = {
            FROM (SELECT product_group, month_end_date, SUM(acv)::DOUBLE AS total_acv FROM base GROUP BY ALL)""",
     ),
     "o_union_all_literal": f"""
-        SELECT c_custkey, 'rich' AS list FROM customer WHERE c_acctbal > 5000
+        SELECT c_custkey, 'customer' AS list FROM customer
         UNION ALL
         SELECT c_custkey, 'building' FROM customer WHERE c_mktsegment = '{VERTICAL}'""",
     "o_scalar_subquery_filter": """

@@ -17,6 +17,7 @@ from bizmetrics.functions import (
     months_before,
     pseudonym_key,
     safe_divide,
+    scaled,
     years_before,
 )
 from bizmetrics.operators import (
@@ -94,6 +95,24 @@ def r4_sales_performance(t: TestTables) -> DataFrame:
     return sales.sales_attainment(t.sources(), SALES_AS_OF, VERTICAL)
 
 
+@query
+def r1_by_calendar(t: TestTables) -> DataFrame:
+    """Compared with the same month of the year before, if that has data."""
+    return growth.hierarchy_growth(t.sources(), CATEGORY, by_calendar=True)
+
+
+@query
+def r3_rollup_adoption(t: TestTables) -> DataFrame:
+    """With adoption over all plans in the total's rows."""
+    return adoption.feature_adoption(t.sources(), ADOPTION_AS_OF, rollup_adoption=True)
+
+
+@query
+def r4_bounded(t: TestTables) -> DataFrame:
+    """With to-date periods that end on the report date."""
+    return sales.sales_attainment(t.sources(), SALES_AS_OF, VERTICAL, bounded=True)
+
+
 # --- stages --------------------------------------------------------------------------------
 
 
@@ -157,9 +176,9 @@ def s10_usage_summary(t: TestTables) -> DataFrame:
 
 @query
 def s11_report_date(t: TestTables) -> DataFrame:
-    """The report date when the report runs on the day after the last event."""
-    last = t.read("events").agg(F.max(F.col("ts").cast("date")).alias("last_day"))
-    return last.select(report_date(F.date_add("last_day", 1)).alias("report_date"))
+    """For each day with orders, the report date when the report runs on that day."""
+    days = t.read("orders").select(F.col("o_orderdate").cast("date").alias("as_of")).distinct()
+    return days.select("as_of", report_date(F.col("as_of")).alias("report_date"))
 
 
 @query
@@ -308,18 +327,19 @@ def o_global_agg(t: TestTables) -> DataFrame:
 
 @query
 def o_rollup_grouping(t: TestTables) -> DataFrame:
-    """Users per plan and over all plans; the NULL plan is not the total."""
+    """Users per plan and over all plans; the NULL plan is not the total, and the total is there without users too."""
+    return users_per_plan(t.users())
+
+
+def users_per_plan(users: DataFrame) -> DataFrame:
     label = F.when(F.grouping("subscription_plan") == 1, "All").otherwise(F.col("subscription_plan"))
-    return (
-        t.users()
-        .rollup("subscription_plan")
-        .agg(
-            label.alias("plan"),
-            F.grouping("subscription_plan").cast("int").alias("is_total"),
-            F.count("*").alias("n_users"),
-        )
-        .drop("subscription_plan")
+    rolled = users.rollup("subscription_plan").agg(
+        label.alias("plan"),
+        F.grouping("subscription_plan").cast("int").alias("is_total"),
+        F.count("*").alias("n_users"),
     )
+    nobody = users.sparkSession.range(1).select(F.lit("All").alias("plan"), F.lit(1).alias("is_total"), F.lit(0).cast("bigint").alias("n_users"))
+    return rolled.drop("subscription_plan").unionByName(nobody).groupBy("plan", "is_total").agg(F.sum("n_users").alias("n_users"))
 
 
 @query
@@ -339,6 +359,15 @@ def o_conditional_sum(t: TestTables) -> DataFrame:
     return period_sums(orders, ["o_orderpriority"], "price", conditions)
 
 
+@query
+def o_scaled_sum(t: TestTables) -> DataFrame:
+    """Amounts of nine decimal places, each counted several times, summed to the last digit; as text, to be compared so."""
+    price = money("o_totalprice").cast("decimal(24,9)") + (F.col("o_orderkey") % 1000).cast("decimal(9,0)") * F.lit("0.000000001").cast("decimal(9,9)")
+    orders = t.read("orders").select("o_orderpriority", price.cast("decimal(38,9)").alias("price"), (F.col("o_orderkey") % 7 + 1).alias("copies"))
+    total = F.sum(scaled(F.col("price"), F.col("copies"), orders.schema["price"].dataType))
+    return orders.groupBy("o_orderpriority").agg(total.cast("string").alias("total_price"))
+
+
 @query
 def o_avg(t: TestTables) -> DataFrame:
     """Average value per event type, over values above 50 only: the others are NULL and not counted."""
@@ -353,7 +382,7 @@ def o_approx_quantiles(t: TestTables) -> DataFrame:
     hours = hourly_usage(
         t.logs(),
         ["model_name", "event_date"],
-        hour_bucket(F.col("event_timestamp")),
+        F.col("event_timestamp"),
         {"calls": "call_weight_from_sampling"},
         [],
     )
@@ -394,10 +423,11 @@ def o_lag_12(t: TestTables) -> DataFrame:
 
 @query
 def o_union_all_literal(t: TestTables) -> DataFrame:
+    """Every customer, and those of one segment again, each with the name of its list."""
     customers = t.read("customer")
-    rich = customers.where(F.col("c_acctbal") > 5000).select("c_custkey", F.lit("rich").alias("list"))
+    everyone = customers.select("c_custkey", F.lit("customer").alias("list"))
     building = customers.where(F.col("c_mktsegment") == VERTICAL).select("c_custkey", F.lit("building"))
-    return rich.union(building)
+    return everyone.union(building)
 
 
 @query

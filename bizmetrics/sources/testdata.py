@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ ADOPTION_AS_OF = "2024-01-31"
 SALES_AS_OF = "2001-05-15"
 VERTICAL = "BUILDING"
 STRATEGIC_YEAR = 2001
-SALT = "a_secret_salt_for_reporting"
+SALT = "pepper-for-tests"
 
 MODELS = {
     "click": "partner-a/model-family-x-1",
@@ -110,7 +112,8 @@ class TestTables:
         )
 
     def calendar(self) -> DataFrame:
-        return calendar(self.spark, "1995-01-01", "2024-12-31")
+        """Every day from 1995 to the end of the current year, so that any report date up to today has its row."""
+        return calendar(self.spark, "1995-01-01", f"{datetime.date.today().year}-12-31")
 
     def event_calendar(self) -> DataFrame:
         return calendar_of(self.read("events"), F.col("ts"))

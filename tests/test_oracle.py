@@ -13,7 +13,7 @@ import __spark_entry__ as entry_points
 from bizmetrics import oracle
 from bizmetrics.operators import period_row
 from bizmetrics.plans import feature_adoption, hierarchy_growth, model_usage, sales_attainment
-from bizmetrics.queries import QUERIES, decimals_as_doubles
+from bizmetrics.queries import QUERIES, decimals_as_doubles, users_per_plan
 from bizmetrics.sources import Sources, calendar
 from bizmetrics.sources.testdata import (
     ADOPTION_AS_OF,
@@ -37,7 +37,8 @@ def duckdb_small(small_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(oracle.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) and set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -79,6 +80,11 @@ class Random:
             return None
         return 1 if self.r.random() < 1 / 3 else self.r.randrange(1, n + 1)
 
+    def signed(self, n):
+        """As ``key``, with some negative ids; the sign follows from the key."""
+        key = self.key(n)
+        return -key if key and key % 4 == 0 else key
+
     def pick(self, values, nulls=0.1):
         return None if self.r.random() < nulls else self.r.choice(list(values))
 
@@ -181,7 +187,7 @@ def random_tables(seed):
         "accounts_dim": [[g.key(4), g.pick(["V1", "V2"]), g.pick(["C1", "C2"])] for _ in range(7)],
         "users": [[g.key(60), g.key(6), g.pick(["P1", "P2", "P3"]), g.pick(flags)] for _ in range(150)],
         "accounts": [[a, g.pick([1, 2, 3]), g.pick([True, True, False])] for a in [1, 2, 3, 4, 5, 2]],
-        "orgs": [[1, "O1"], [2, None], [4, "O4"]],
+        "orgs": [[1, "O1"], [2, None], [4, "O4"], [1, "O1b"], [4, "O4"]],
         "rules": [[g.key(60), g.between(seen_low, seen_high), g.pick(flags)] for _ in range(200)],
         "analytics": [[g.key(60), g.between(seen_low, seen_high), g.pick(flags)] for _ in range(200)],
         "settings": [[g.key(60), g.pick(flags)] for _ in range(40)],
@@ -192,15 +198,15 @@ def random_tables(seed):
             ]
             for _ in range(60)
         ],
-        "customers": [[g.key(20), g.pick(["A", "B"]), g.pick([VERTICAL, "Other"])] for _ in range(50)],
-        "strategic": [[g.key(20), g.pick(["A", "B"]), g.pick([2001, 2000])] for _ in range(25)],
+        "customers": [[g.signed(20), g.pick(["A", "B"]), g.pick([VERTICAL, "Other"])] for _ in range(50)],
+        "strategic": [[g.signed(20), g.pick(["A", "B"]), g.pick([2001, 2000])] for _ in range(25)],
         "opportunity": [
             [
-                g.key(25),
+                g.signed(25),
                 g.between(sales_low, sales_high),
                 g.between(sales_low, sales_high),
                 g.pick(STAGES.values()),
-                g.pick(OPPORTUNITY_TYPES.values()),
+                g.pick([*OPPORTUNITY_TYPES.values(), "Partner"]),
                 g.amount(),
             ]
             for _ in range(400)
@@ -258,3 +264,38 @@ def random_sources(request, spark, tmp_path_factory):
 def test_random_parity(random_sources, small_dir, name):
     sources, sql = random_sources
     assert differences(decimals_as_doubles(REPORTS[name](sources)), connect(small_dir), sql[name]) == []
+
+
+@pytest.mark.parametrize("name", ["s16_cohort", "r4_sales_performance"])
+def test_text_ids(spark, small_dir, tmp_path, name):
+    """Ids of a customer system may be text, negative numbers among them."""
+    schemas = {n: {c: pa.string() if c == "crm_account_id" else t for c, t in columns.items()} for n, columns in SCHEMAS.items()}
+    rows = random_tables(4)
+    for table in ("customers", "strategic", "opportunity"):
+        rows[table] = [[None if r[0] is None else f"crm{r[0]}", *r[1:]] for r in rows[table]]
+    files = {}
+    for table, columns in schemas.items():
+        files[table] = str(tmp_path / f"{table}.parquet")
+        pq.write_table(pa.table({c: pa.array([r[i] for r in rows[table]], columns[c]) for i, c in enumerate(columns)}), files[table])
+    opened = Sources.from_parquet(spark, **files)
+    sources = {table: opened[table] for table in SCHEMAS} | {"calendar": calendar(spark, "1995-01-01", "2024-12-31")}
+    sql = oracle.oracle_sql({**oracle.FIXTURES, **{table: f"SELECT * FROM '{path}'" for table, path in files.items()}})
+    assert differences(decimals_as_doubles(REPORTS[name](sources)), connect(small_dir), sql[name]) == []
+
+
+@pytest.mark.parametrize("users, accounts", [([], []), ([[1, 1, "P1", False]], [[1, 1, True]]), ([[1, 1, "P1", True]], [[1, 1, False]])])
+def test_nobody_is_active(spark, tmp_path, users, accounts):
+    """The total is there in both engines, with zeros."""
+    import duckdb
+
+    connection, sources, fixtures = duckdb.connect(), {}, {}
+    for name in ("users", "accounts", "orgs", "rules", "analytics", "settings", "interactions"):
+        rows = {"users": users, "accounts": accounts}.get(name, [])
+        columns = SCHEMAS[name]
+        path = tmp_path / f"{name}.parquet"
+        pq.write_table(pa.table({c: pa.array([r[i] for r in rows], columns[c]) for i, c in enumerate(columns)}), path)
+        sources[name], fixtures[name] = spark.read.parquet(str(path)), f"SELECT * FROM '{path}'"
+    sql = oracle.oracle_sql({**oracle.FIXTURES, **fixtures})
+    for name in ("s15_plan_totals", "r3_product_adoption"):
+        assert differences(REPORTS[name](sources), connection, sql[name]) == []
+    assert [(r["plan"], r["is_total"], r["n_users"]) for r in users_per_plan(sources["users"].where("user_id < 0")).collect()] == [("All", 1, 0)]
