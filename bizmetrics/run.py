@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bizmetrics.plans.feature_adoption import feature_adoption
 from bizmetrics.plans.hierarchy_growth import DEFAULT_CATEGORY, hierarchy_growth
-from bizmetrics.plans.model_usage import model_usage
+from bizmetrics.plans.model_usage import MODEL_PREFIXES, model_usage
 from bizmetrics.plans.sales_attainment import DEFAULT_VERTICAL, sales_attainment
 from bizmetrics.session import SETTINGS
 from bizmetrics.sources import TABLES, Sources
@@ -24,7 +24,9 @@ from bizmetrics.sources import TABLES, Sources
 Options = argparse.Namespace
 REPORTS: dict[str, Callable[[Mapping[str, DataFrame], Options], DataFrame]] = {
     "hierarchy-growth": lambda s, o: hierarchy_growth(s, o.category, o.by_calendar),
-    "model-usage": lambda s, o: model_usage(s, Path(o.salt_file).read_text().strip(), o.as_of),
+    "model-usage": lambda s, o: model_usage(
+        s, Path(o.salt_file).read_text().strip(), o.as_of, o.prefix or MODEL_PREFIXES
+    ),
     "feature-adoption": lambda s, o: feature_adoption(s, o.as_of, o.rollup_adoption),
     "sales-attainment": lambda s, o: sales_attainment(s, o.as_of, o.vertical, o.bounded),
 }
@@ -40,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--category", default=DEFAULT_CATEGORY)
     p.add_argument("--by-calendar", action="store_true", help="compare with 12 months ago, not 12 rows")
     p.add_argument("--salt-file", help="file that holds the salt of the customer keys")
+    p.add_argument("--prefix", action="append", help="models whose names begin so; may be repeated")
     p.add_argument("--rollup-adoption", action="store_true", help="adoption counts for the 'All' row too")
     p.add_argument("--vertical", default=DEFAULT_VERTICAL)
     p.add_argument("--bounded", action="store_true", help="end the to-date periods on the report date")

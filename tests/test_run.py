@@ -40,8 +40,26 @@ def test_a_report_runs_for_today_by_default(spark, tmp_path, small_dir):
     from bizmetrics.sources.testdata import TestTables
 
     sources = TestTables(spark, small_dir).sources()
-    rows = run.REPORTS["sales-attainment"](sources, run.parser().parse_args(["sales-attainment", "--out", "x"]))
-    assert "report_date" in rows.columns
+    options = ["sales-attainment", "--out", "x", "--vertical", "BUILDING"]
+    rows = run.REPORTS["sales-attainment"](sources, run.parser().parse_args(options)).collect()
+    yesterday = spark.sql("SELECT current_date() - 1 AS day").first()["day"]
+    assert rows and {r["report_date"] for r in rows} == {yesterday}
+
+
+def test_prefixes_are_an_option(spark, small_dir, tmp_path):
+    from bizmetrics.sources.testdata import TestTables
+
+    (tmp_path / "salt").write_text("pepper")
+    sources = TestTables(spark, small_dir).sources()
+    options = ["model-usage", "--out", "x", "--as-of", "2024-02-15", "--salt-file", str(tmp_path / "salt")]
+
+    def models(*more):
+        rows = run.REPORTS["model-usage"](sources, run.parser().parse_args([*options, *more])).collect()
+        return {r["model"] for r in rows}
+
+    assert models("--prefix", "partner-b/") == {"partner-b/other-1"}
+    assert models("--prefix", "partner-b/", "--prefix", "partner-a/model-family-y") == {"partner-b/other-1", "partner-a/model-family-y-1"}
+    assert models() == {"partner-a/model-family-x-1", "partner-a/model-family-x-2", "partner-a/model-family-y-1"}
 
 
 def test_bad_options_are_refused(spark, tmp_path):
