@@ -1,0 +1,37 @@
+"""Inputs that every operator must take: nulls, empty and long texts, repeated rows, no rows, columns with clashing names."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use inside.
+CLASHES = ("id", "node", "key", "words", "features", "label", "size", "hits", "slot", "shard", "n", "digest", "component", "page", "hash", "path", "part", "model", "fold", "sample")
+
+
+def frame(spark: SparkSession, rows: list[tuple], schema: str = SCHEMA) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+def documents(spark: SparkSession, texts: dict) -> DataFrame:
+    return frame(spark, [(i, t, "en", None, None if t is None else len(t)) for i, t in texts.items()])
+
+
+def odd_documents(spark: SparkSession) -> DataFrame:
+    """Null id, null text, empty text, white space, a very long text, repeated rows, and columns with clashing names."""
+    long = " ".join(f"word{i % 7919} the of and" for i in range(30_000))
+    rows = [(None, "no id here"), (1, None), (2, ""), (3, " \n\t "), (4, long), (5, "twice the same row"), (5, "twice the same row"), (6, "x"), (7, "é\u0000\U0001f600 ça und")]
+    given = frame(spark, [(i, t, None, None, None) for i, t in rows])
+    for name in CLASHES:
+        given = given.selectExpr("*", f"'{name}' AS {name}")
+    return given
+
+
+def no_documents(spark: SparkSession) -> DataFrame:
+    return frame(spark, [])
+
+
+def rows_of(df: DataFrame) -> list[dict]:
+    return [r.asDict(recursive=True) for r in df.collect()]
+
+
+def by_id(df: DataFrame, key: str = "doc_id") -> dict:
+    return {r[key]: r for r in rows_of(df)}

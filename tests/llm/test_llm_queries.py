@@ -1,0 +1,36 @@
+"""Every query against its SQL on the smallest tables, and the shape of what has none."""
+
+import duckdb
+import pytest
+
+from bizmetrics.llm.oracle import oracle_sql
+from bizmetrics.llm.queries import QUERIES
+
+TABLES = ["documents", "benchmark", "pages", "labels"]
+
+
+@pytest.fixture(scope="module")
+def duck(small_dir):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small_dir}/{table}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_equals_sql(spark, small_dir, duck, name):
+    df = QUERIES[name](spark, small_dir)
+    columns = sorted(df.columns)
+    found = sorted((tuple(map(str, (r[c] for c in columns))) for r in df.collect()))
+    wanted = duck.execute(f"SELECT {', '.join(columns)} FROM ({oracle_sql()[name]})").fetchall()
+    assert found == sorted(tuple(map(str, r)) for r in wanted)
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["op1_token_blocks", "op8_toxicity", "op10_license_scans"])
+def test_a_row_per_document(spark, small_dir, name):
+    ids = sorted(r["doc_id"] for r in spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id").collect())
+    assert sorted(r["doc_id"] for r in QUERIES[name](spark, small_dir).select("doc_id").collect()) == ids

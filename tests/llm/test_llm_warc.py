@@ -1,0 +1,109 @@
+import base64
+import hashlib
+import io
+import random
+
+import pytest
+from llm_cases import frame, rows_of
+
+from bizmetrics.llm import warc as W
+from bizmetrics.llm.common import file_system, scratch_dir
+
+
+class Source(io.BytesIO):
+    def size(self):
+        return len(self.getbuffer())
+
+
+def pages(spark, rows):
+    return frame(spark, rows, "page_id long, url string, html string")
+
+
+def archive(count, packed=True):
+    parts = [W.record(i, f"http://x/{i}", f"payload {i} ".encode() * (i + 1), None if i % 3 else 0) for i in range(count)]
+    return [W.member(p) if packed else p for p in parts]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_whole_archives_have_no_gaps(packed):
+    found = list(W.salvage(Source(b"".join(archive(20, packed)))))
+    assert [f.headers["warc-record-id"] for f in found] == [f"<urn:page:{i}>" for i in range(20)]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+@pytest.mark.parametrize("seed", range(12))
+def test_records_after_damage_are_recovered_and_gaps_logged(packed, seed):
+    r = random.Random(seed)
+    parts = archive(30, packed)
+    hurt = sorted(r.sample(range(30), 3))
+    offsets = [sum(map(len, parts[:i])) for i in range(31)]
+    data = bytearray(b"".join(parts))
+    for i in hurt:
+        at = offsets[i] + r.randrange(len(parts[i]) // 3, 2 * len(parts[i]) // 3)
+        data[at] ^= 0x55
+    found = list(W.salvage(Source(bytes(data))))
+    gaps = [(f.start, f.end) for f in found if isinstance(f, W.Gap)]
+    kept = [f.start for f in found if isinstance(f, W.Record)]
+    whole = [offsets[i] for i in range(30) if i not in hurt]
+    assert set(whole) <= set(kept)
+    # What is neither kept nor a hurt record's is nothing; a hurt record may pass if the flipped byte changes no meaning.
+    assert all(any(offsets[i] <= a < offsets[i + 1] for i in hurt) for a, _ in gaps)
+    covered = sum(f.end - f.start for f in found)
+    assert covered == len(data)
+
+
+def test_cut_off_and_foreign_bytes():
+    parts = archive(5)
+    data = b"garbage" + parts[0] + b"\x1f\x8b\x08not gzip" + parts[1] + b"WARC/1.1\r\nbroken" + parts[2] + parts[3][:-9]
+    found = list(W.salvage(Source(data)))
+    assert sum(isinstance(f, W.Record) for f in found) == 3
+    assert sum(f.end - f.start for f in found) == len(data)
+    assert list(W.salvage(Source(b""))) == []
+
+
+def test_query_equals_brute_force(spark):
+    r = random.Random(3)
+    rows = [(i, f"http://h/{i}?q=é \n", r.choice([None, "", "a", "é😀", "long " * 500, f"own {i}"])) for i in r.sample(range(1000), 120)]
+    found = {x["page_id"]: x for x in rows_of(W.page_records(pages(spark, rows)))}
+    first = {}
+    for i, _, html in sorted(rows):
+        first.setdefault((html or "").encode(), i)
+    assert len(found) == len(rows)
+    for i, _, html in rows:
+        data = (html or "").encode()
+        lead = first[data]
+        assert found[i] == {
+            "page_id": i,
+            "payload_bytes": len(data),
+            "payload_digest": base64.b32encode(hashlib.sha1(data).digest()).decode(),
+            "record_type": "response" if lead == i else "revisit",
+            "refers_to": None if lead == i else lead,
+        }
+
+
+def test_small_payloads_are_responses(spark):
+    manifest = W.write(pages(spark, [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")]), scratch_dir(spark), min_bytes=3)
+    assert {r["page_id"]: r["refers_to"] for r in rows_of(W.read(manifest))} == {1: None, 2: None, 3: None, 4: 3}
+
+
+def test_damaged_archive_through_spark(spark):
+    manifest = W.write(pages(spark, [(i, "u", f"page {i}" * 50) for i in range(40)]).coalesce(1), scratch_dir(spark))
+    (row,) = rows_of(manifest)
+    files, path = file_system(row["path"])
+    with files.open_input_file(path) as source:
+        data = bytearray(source.read())
+    data[len(data) // 2] ^= 0xFF
+    with files.open_output_stream(path) as sink:
+        sink.write(bytes(data))
+    found = rows_of(W.read(manifest, payloads=True))
+    assert sum(r["gap"] is not None for r in found) == 1
+    assert sum(r["gap"] is None and r["payload"] == (f"page {r['page_id']}" * 50).encode() for r in found) == 39
+
+
+def test_odd_rows(spark):
+    given = pages(spark, [(None, None, "x"), (1, "u", None), (2, None, ""), (3, "u", "y"), (3, "u", "y"), (4, "u", "z" * 300_000)]).selectExpr("*", "'a' AS hash", "'b' AS page", "1 AS size", "'c' AS payload")
+    found = rows_of(W.page_records(given))
+    assert sorted((r["page_id"] or 0, r["record_type"], r["refers_to"]) for r in found) == [
+        (0, "response", None), (1, "response", None), (2, "revisit", 1), (3, "response", None), (3, "response", None), (4, "response", None)
+    ]
+    assert W.page_records(pages(spark, [])).count() == 0
