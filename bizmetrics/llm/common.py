@@ -97,6 +97,10 @@ def slices(table, text_column: str, max_chars: int) -> Iterator:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    with np.errstate(over="ignore"):
+        x = x ^ (x >> np.uint64(30))
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return x

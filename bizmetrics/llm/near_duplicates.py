@@ -6,7 +6,7 @@ r"""MinHash near-duplicates by a multi-index Hamming join, confirmed on full set
    principle, a chunk with at most one error. So each chunk is indexed five times, with each symbol left out, and such pairs share a key:
    all of them, for sure. m is the smallest number with which sets of just the wanted similarity exceed that distance with a probability under ``MISS``.
 3. **Buckets.** Keys of a single class are dropped; keys with the same classes are one bucket. In a bucket the
-   distances of signatures are computed, and what is emitted is not every pair but a forest with the same components. Buckets above ``BLOCK`` rows are
+   distances of signatures are computed, and what is emitted is not every pair but a forest with the same components. Buckets above ``SIGNATURE_BLOCK`` rows are
    cut into blocks, and every pair of blocks is a group of its own, so that the hottest bucket spreads over many tasks and no pair is left out.
 4. **Confirmation.** Pairs within the distance lie in one component of these forests. In each, again in pairs of blocks, all pairs are compared on
    their full sets, and a forest of the links is emitted. Its components are the result.
@@ -36,7 +36,8 @@ from bizmetrics.llm.components import by_group, connected_components, forest, in
 
 SYMBOLS = 5  # in a chunk
 MISS = 1e-6
-BLOCK = 256
+SIGNATURE_BLOCK = 1024  # rows of a few hundred bytes
+SET_BLOCK = 256  # rows of whole sets
 SLICE_BYTES = 2_000_000
 
 
@@ -158,7 +159,7 @@ def close_signatures(classes: DataFrame, percent: int) -> DataFrame:
     pairs = buckets.where("size = 2")
     pairs = pairs.select("key", F.explode(F.array("low", "high")).alias("node"), F.lit(2).cast("long").alias("size"))
     larger = keys.join(buckets.where("size > 2").select("key", "size"), "key").select("key", "node", "size")
-    members = in_blocks(pairs.unionByName(larger), "size", "node", BLOCK).join(classes.select("node", "n", "signature"), "node")
+    members = in_blocks(pairs.unionByName(larger), "size", "node", SIGNATURE_BLOCK).join(classes.select("node", "n", "signature"), "node")
 
     def near(table: pa.Table) -> Iterable[tuple[int, int]]:
         rows = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, symbols)
@@ -222,7 +223,7 @@ def links(texts: DataFrame, candidates: DataFrame, shingle: int, percent: int, i
         np.fill_diagonal(near, False)
         return _across(table, near)
 
-    return by_group(in_blocks(sets, "size", "node", BLOCK), ["component", "one", "two"], similar, EDGES)
+    return by_group(in_blocks(sets, "size", "node", SET_BLOCK), ["component", "one", "two"], similar, EDGES)
 
 
 def near_duplicates(texts: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

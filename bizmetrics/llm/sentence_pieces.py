@@ -13,7 +13,7 @@ The (k + 1)-th value is the threshold; a path's inclusion score is the probabili
 All random numbers are hashes of the row's key, the sample and the place, so results do not depend on batches, partitions or attempts.
 
 Paths cross no border between segments (runs of letters or of other characters, each with the spaces before it), which the model's pieces do not
-either; that is checked when the model is loaded. So the lattice is built once per different segment of a slice, and all its segments advance together.
+either; that is checked when the model is loaded. So a worker builds the lattice of a segment once and keeps it for later texts, up to a bound, and all segments of a slice advance together.
 BPE models have ranks, not probabilities: the weight of rank r is (r + 1) ** -``POWER``. Characters without a piece are bytes.
 
 Edge cases: null and empty texts have one segmentation, without pieces; a text with fewer than k segmentations returns them all, with score 0 (certain); rows with
@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -40,7 +40,8 @@ SAMPLES = 2
 POWER = 0.5
 BEYOND = 45.0
 SPACE = "▁"
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 1_000_000
+KEPT_CHARACTERS = 2_000_000  # of different segments; what a worker keeps of lattices grows to some 200 MB
 #: Runs of letters or of other characters, with the spaces before them.
 SEGMENT = re.compile(f"{SPACE}*(?:[^\\W\\d_¹²³¼½¾]+|(?:[^\\w{SPACE}]|[\\d_¹²³¼½¾])+|$)")
 _LOADED: dict[tuple[str, float], Model] = {}
@@ -60,6 +61,7 @@ class Model:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         count = sp.get_piece_size()
+        self.lattice: Lattice | None = None
         self.byte_ids = np.full(256, -1, np.int64)
         pieces: dict[str, int] = {}
         self.texts: list[bytes] = []
@@ -126,6 +128,15 @@ class Model:
             open_ = open_[~found & (held >= 0)]
         return out
 
+    def lattice_of(self, words: Iterable[str]) -> Lattice:
+        """A lattice that has these segments: the worker's, or a new one when that is full. Neither changes what a segment's own lattice is."""
+        new = [word for word in words if self.lattice is None or word not in self.lattice.numbers]
+        if self.lattice is None or self.lattice.characters and self.lattice.characters + sum(map(len, new)) > KEPT_CHARACTERS:
+            self.lattice = Lattice(self)
+            new = list(words)
+        self.lattice.add(new)
+        return self.lattice
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of ids, and how many each has; a text's first space is the model's own."""
         sizes = self.byte_count[ids]
@@ -147,16 +158,58 @@ def segments(text: str | None) -> list[str]:
     return found if found[-1] else found[:-1]  # at the end the pattern also matches nothing
 
 
-class Lattice:
-    """The lattices of some segments, laid one after another: a node per character, edges by node, the longest piece first."""
+class Growing:
+    """An array that is added to at its end."""
+
+    def __init__(self, kind) -> None:
+        self.held, self.size = np.empty(1 << 16, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.held):
+            larger = np.empty(max(2 * len(self.held), self.size + len(values)), self.held.dtype)
+            larger[: self.size] = self.held[: self.size]
+            self.held = larger
+        self.held[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+    @property
+    def array(self) -> np.ndarray:
+        return self.held[: self.size]
 
-    def __init__(self, model: Model, words: Sequence[str]) -> None:
+
+class Lattice:
+    """The lattices of the segments seen so far, laid one after another: a node per character, edges by node, the longest piece first."""
+
+    PARTS = {
+        "begins": np.int64, "ends": np.int64, "first": np.int64, "chance": np.float64, "total": np.float64,
+        "length": np.int8, "id_count": np.int8, "id_start": np.int32, "ids": np.int32, "only": np.bool_,
+    }
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.numbers: dict[str, int] = {}
+        self.parts = {name: Growing(kind) for name, kind in self.PARTS.items()}
+        self.parts["first"].extend(np.zeros(1, np.int64))
+        self.parts["ids"].extend(np.arange(len(model.final_weight)))
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        if name in Lattice.PARTS:
+            return self.parts[name].array
+        raise AttributeError(name)
+
+    @property
+    def characters(self) -> int:
+        return self.parts["first"].size - 1
+
+    def add(self, words: Sequence[str]) -> None:
+        """Lay the lattices of new segments behind those that are there."""
+        model = self.model
+        self.numbers.update(zip(words, range(len(self.numbers), len(self.numbers) + len(words)), strict=True))
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        self.ends = np.cumsum(lengths)
-        self.begins = self.ends - lengths
+        ends = np.cumsum(lengths)
         characters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         nodes = len(characters)
-        left = np.repeat(self.ends, lengths) - np.arange(nodes)
+        left = np.repeat(ends, lengths) - np.arange(nodes)
         # Pieces that match, by length: all nodes walk down the trie together.
         found: list[tuple[np.ndarray, np.ndarray]] = []
         at, states, size = np.arange(nodes), np.zeros(nodes, np.int64), 0
@@ -181,45 +234,57 @@ class Lattice:
         for own, _ in found:
             degree[own] += 1
         degree[lost] += 1
-        self.first = np.concatenate([[0], np.cumsum(degree)])
-        edges = int(self.first[-1])
-        self.length, self.id_count = np.ones(edges, np.int8), np.ones(edges, np.int8 if not len(raw) or byte_counts.max() < 100 else np.int64)
-        weight, self.id_start = np.empty(edges), np.empty(edges, np.int32)
-        self.ids = np.concatenate([np.arange(len(model.final_weight)), model.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]])
-        free = self.first[:-1].copy()
+        first = np.concatenate([[0], np.cumsum(degree)])
+        edges = int(first[-1])
+        length, id_count = np.ones(edges, np.int64), np.ones(edges, np.int64)
+        weight, id_start = np.empty(edges), np.empty(edges, np.int64)
+        free = first[:-1].copy()
         for size, (own, piece) in reversed(list(enumerate(found, 1))):
             place = free[own]
-            self.length[place], weight[place], self.id_start[place] = size, model.final_weight[piece], piece
+            length[place], weight[place], id_start[place] = size, model.final_weight[piece], piece
             free[own] += 1
         place = free[lost]
-        weight[place], self.id_count[place] = model.byte_weight * byte_counts, byte_counts
-        self.id_start[place] = len(model.final_weight) + np.cumsum(byte_counts) - byte_counts
+        weight[place], id_count[place] = model.byte_weight * byte_counts, byte_counts
+        id_start[place] = self.parts["ids"].size + np.cumsum(byte_counts) - byte_counts
         # Backward sums: the log mass of all paths from a node to its segment's end, nearest the end first.
-        mass, self.chance = np.zeros(nodes), np.empty(edges)
+        mass, chance = np.zeros(nodes), np.empty(edges)
         by_left = np.argsort(left.astype(np.int16 if nodes and left.max() < 1 << 15 else np.int64), kind="stable")
         cuts = np.searchsorted(left[by_left], np.arange(1, int(left.max()) + 2)) if nodes else []
         for begin, stop in zip(cuts, cuts[1:], strict=False):
             own = by_left[begin:stop]
             many = degree[own]
-            which, starts = _ranges(self.first[own], many), np.cumsum(many) - many
+            which, starts = _ranges(first[own], many), np.cumsum(many) - many
             source = np.repeat(own, many)
-            to = source + self.length[which]
-            value = weight[which] + np.where(self.length[which] < left[source], mass[np.minimum(to, nodes - 1)], 0.0)
+            to = source + length[which]
+            value = weight[which] + np.where(length[which] < left[source], mass[np.minimum(to, nodes - 1)], 0.0)
             top = np.maximum.reduceat(value, starts) if len(own) else value
             shares = np.exp(value - np.repeat(top, many))
             total = np.add.reduceat(shares, starts) if len(own) else shares
             mass[own] = top + np.log(total)
-            self.chance[which] = shares / np.repeat(total, many)
+            chance[which] = shares / np.repeat(total, many)
         # Cumulative chances of a node's edges; the last is beyond every random number.
-        self.total = self.chance.copy()
+        total = chance.copy()
         more, rank = np.flatnonzero(degree > 1), 1
         while len(more):
-            own = self.first[more] + rank
-            self.total[own] += self.total[own - 1]
+            own = first[more] + rank
+            total[own] += total[own - 1]
             rank += 1
             more = more[degree[more] > rank]
-        self.total[self.first[1:] - 1] = np.inf
-        self.only = np.repeat(degree == 1, degree)
+        total[first[1:] - 1] = np.inf
+        made = {
+            "begins": ends - lengths + self.characters,
+            "ends": ends + self.characters,
+            "first": first[1:] + self.parts["chance"].size,
+            "chance": chance,
+            "total": total,
+            "length": length,
+            "id_count": id_count,
+            "id_start": id_start,
+            "ids": model.byte_ids[np.frombuffer(b"".join(raw), np.uint8)],
+            "only": np.repeat(degree == 1, degree),
+        }
+        for name, values in made.items():
+            self.parts[name].extend(values)
 
     def log_others(self, edges: np.ndarray) -> np.ndarray:
         """The log mass of the other edges of each edge's node."""
@@ -328,13 +393,8 @@ class Sampler:
 
     def __init__(self, model: Model, keys: Sequence[str | None], texts: Sequence[str | None], k: int, salt: int = 0) -> None:
         self.model, self.k = model, k
-        words = [segments(t) for t in texts]
-        self.n_words = np.fromiter(map(len, words), np.int64, len(words))
+        self.word, self.n_words = self._words(texts)
         self.word_ends = np.cumsum(self.n_words)
-        flat = list(chain.from_iterable(words))
-        numbers = {word: i for i, word in enumerate(dict.fromkeys(flat))}
-        self.lattice = Lattice(model, list(numbers))
-        self.word = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
         self.order = np.argsort(self.word, kind="stable")
         seeds = _seeds(keys, salt)
         self.path_seed = [mix64(seeds + np.uint64(4 * s + 1)) for s in range(k)]
@@ -343,6 +403,13 @@ class Sampler:
         with np.errstate(over="ignore"):
             self.found = self._search(seeds)
 
+    def _words(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' segments by number, and how many each has."""
+        words = list(map(segments, texts))
+        flat = list(chain.from_iterable(words))
+        self.lattice = self.model.lattice_of(dict.fromkeys(flat))
+        return np.fromiter(map(self.lattice.numbers.__getitem__, flat), np.int64, len(flat)), np.fromiter(map(len, words), np.int64, len(words))
+
     def _fresh(self, sample: int, texts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number, seed and text of the segments from each text's ``first`` on."""
         many = self.n_words[texts] - first

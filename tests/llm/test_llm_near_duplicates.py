@@ -54,7 +54,8 @@ def test_equals_brute_force(spark):
 
 def test_blocks_lose_no_link(spark, monkeypatch):
     texts = families(3, 2, 60, 100)
-    monkeypatch.setattr(N, "BLOCK", 7)
+    monkeypatch.setattr(N, "SIGNATURE_BLOCK", 9)
+    monkeypatch.setattr(N, "SET_BLOCK", 7)
     found = by_id(N.near_duplicates(documents(spark, texts), 5, 80))
     assert {i: r["component_id"] for i, r in found.items()} == {i: low for i, (_, low) in brute_force(texts, 5, 80).items()}
 
