@@ -36,7 +36,7 @@ from bizmetrics.llm.components import by_group, connected_components, forest, in
 
 SYMBOLS = 5  # in a chunk
 MISS = 1e-6
-SIGNATURE_BLOCK = 1024  # rows of a few hundred bytes
+SIGNATURE_BLOCK = 2048  # rows of a few hundred bytes
 SET_BLOCK = 256  # rows of whole sets
 SLICE_BYTES = 2_000_000
 

@@ -38,8 +38,8 @@ def test_each_stage_decides_on_its_own_input(spark, kept, small_dir):
     assert set(ids["sentencepiece"]) == set(ids["secret_scan"])
 
 
-def test_secrets_are_masked_and_nothing_else_changes(kept):
-    before, after = ({r["doc_id"]: r for r in rows_of(kept[n])} for n in ("decontamination", "secret_scan"))
+def test_secrets_are_masked_and_nothing_else_changes(spark, kept, small_dir):
+    before, after = ({r["doc_id"]: r for r in rows_of(df)} for df in (kept["documents"], corpus_pipeline.mask_secrets(spark, kept["documents"], small_dir)))
     changed = [i for i in before if before[i]["text"] != after[i]["text"]]
     assert changed and all(secret_scan.MASK in after[i]["text"] for i in changed)
     assert all(after[i]["n_chars"] == len(after[i]["text"]) for i in changed)

@@ -93,7 +93,7 @@ def test_damaged_archive_through_spark(spark):
     with files.open_input_file(path) as source:
         data = bytearray(source.read())
     data[len(data) // 2] ^= 0xFF
-    with files.open_output_stream(path) as sink:
+    with files.open_output_stream(path, compression=None) as sink:
         sink.write(bytes(data))
     found = rows_of(W.read(manifest, payloads=True))
     assert sum(r["gap"] is not None for r in found) == 1
