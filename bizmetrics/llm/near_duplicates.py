@@ -158,7 +158,8 @@ def close_signatures(classes: DataFrame, percent: int) -> DataFrame:
     buckets = stored(buckets.where("size > 1").groupBy("size", "low", "high", "who").agg(F.min("key").alias("key")), "buckets")
     pairs = buckets.where("size = 2")
     pairs = pairs.select("key", F.explode(F.array("low", "high")).alias("node"), F.lit(2).cast("long").alias("size"))
-    larger = keys.join(buckets.where("size > 2").select("key", "size"), "key").select("key", "node", "size")
+    # Both sides by key at any size: what is exchanged then grows in proportion to the classes, and the adaptive join splits hot keys.
+    larger = keys.join(buckets.where("size > 2").select("key", "size").hint("merge"), "key").select("key", "node", "size")
     members = in_blocks(pairs.unionByName(larger), "size", "node", SIGNATURE_BLOCK).join(classes.select("node", "n", "signature"), "node")
 
     def near(table: pa.Table) -> Iterable[tuple[int, int]]:
