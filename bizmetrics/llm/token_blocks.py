@@ -16,7 +16,7 @@ Layout, little-endian:
 only files named by the manifest, which Spark commits, are read: lost executors and repeated attempts leave unnamed files, but no wrong ones.
 Files are ordered by range, so their order is that of the ids.
 
-Edge cases: null and empty texts are the end id alone; null ids come first; rows with the same id follow each other in no fixed order and keep a row each;
+Edge cases: null and empty texts are the end id alone; null ids come first; rows with the same id follow each other in the order of their texts' hashes and keep a row each;
 an empty table has no files and no rows; columns besides id and text are ignored; ids are 32-bit.
 """
 
@@ -322,7 +322,8 @@ def write(texts: DataFrame, folder: str, tokenizer: str, id_column: str = "doc_i
     ship_package(spark)
     kind = texts.schema[id_column].dataType.simpleString()
     given = texts.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    dealt = given.repartitionByRange("id").sortWithinPartitions("id")
+    order = ["id", F.xxhash64("text")]  # the texts' hashes part rows that share an id
+    dealt = given.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe_encoder(tokenizer)

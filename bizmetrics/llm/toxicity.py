@@ -34,6 +34,7 @@ VOCABULARY = 1 << 16
 MIN_DOCUMENTS = 10
 PENALTY = 0.0002
 ITERATIONS = 300
+TOLERANCE = 1e-4  # of a step in any weight
 THRESHOLD = 0.5
 #: Lengths of word beginnings that are features too: inflected and compound languages share stems, not words.
 BEGINNINGS = (4, 5, 6, 7)
@@ -99,6 +100,8 @@ def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray, features:
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * shrink, 0.0)
         if float(((look - new) * (new - weights)).sum()) > 0:  # overshot: start the acceleration again
             pace = 1.0
+        if float(np.abs(new - weights).max()) < TOLERANCE:
+            return new
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         look = new + (pace - 1) / faster * (new - weights)
         weights, pace = new, faster
