@@ -13,7 +13,7 @@ The (k + 1)-th value is the threshold; a path's inclusion score is the probabili
 All random numbers are hashes of the row's key, the sample and the place, so results do not depend on batches, partitions or attempts.
 
 Paths cross no border between segments (runs of letters or of other characters, each with the spaces before it), which the model's pieces do not
-either; that is checked when the model is loaded. So a worker builds the lattice of a segment once and keeps it for later texts, up to a bound, and all segments of a slice advance together.
+either; that is checked when the model is loaded. So a task builds the lattice of a segment once and keeps it for later texts, up to a bound, and all segments of a slice advance together.
 BPE models have ranks, not probabilities: the weight of rank r is (r + 1) ** -``POWER``. Characters without a piece are bytes.
 
 Edge cases: null and empty texts have one segmentation, without pieces; a text with fewer than k segmentations returns them all, with score 0 (certain); rows with
@@ -41,7 +41,7 @@ POWER = 0.5
 BEYOND = 45.0
 SPACE = "▁"
 SLICE_BYTES = 1_000_000
-KEPT_CHARACTERS = 2_000_000  # of different segments; what a worker keeps of lattices grows to some 200 MB
+KEPT_CHARACTERS = 1_500_000  # of different segments; what a task keeps of lattices grows to some 150 MB
 #: Runs of letters or of other characters, with the spaces before them.
 SEGMENT = re.compile(f"{SPACE}*(?:[^\\W\\d_¹²³¼½¾]+|(?:[^\\w{SPACE}]|[\\d_¹²³¼½¾])+|$)")
 _LOADED: dict[tuple[str, float], Model] = {}
@@ -129,7 +129,7 @@ class Model:
         return out
 
     def lattice_of(self, words: Iterable[str]) -> Lattice:
-        """A lattice that has these segments: the worker's, or a new one when that is full. Neither changes what a segment's own lattice is."""
+        """A lattice that has these segments: the one at hand, or a new one when that is full. Neither changes what a segment's own lattice is."""
         new = [word for word in words if self.lattice is None or word not in self.lattice.numbers]
         if self.lattice is None or self.lattice.characters and self.lattice.characters + sum(map(len, new)) > KEPT_CHARACTERS:
             self.lattice = Lattice(self)
@@ -571,6 +571,7 @@ def sample(texts: DataFrame, model: str, k: int = SAMPLES, salt: int = 0, power:
                         columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32())))
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(columns, names=names)
+        pieces.lattice = None  # the worker may go on to other work
 
     schema = f"id {kind}, {SCHEMA}" + ", ids array<int>" * ids
     return given.mapInArrow(run, schema).withColumnRenamed("id", id_column)

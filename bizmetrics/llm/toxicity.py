@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bizmetrics.llm.common import ship_package, stored
 
@@ -39,7 +40,7 @@ THRESHOLD = 0.5
 #: Lengths of word beginnings that are features too: inflected and compound languages share stems, not words.
 BEGINNINGS = (4, 5, 6, 7)
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[!#$%&*|<>]+")
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 #: The chain over the columns of ``labels``: category, and the value that stands for it.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
@@ -81,27 +82,31 @@ def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray, features:
 
     Each coordinate has a step of its own: for binary rows, the squares of a sum are at most the row's size times the sum of squares.
     """
-    counts = np.fromiter(map(len, rows), np.int64, len(rows)) + extra.shape[1] + 1
-    flat = np.concatenate([np.concatenate([r, np.arange(features, features + extra.shape[1] + 1)]) for r in rows]).astype(np.int64)
-    value = np.ones(len(flat))
-    ends = np.cumsum(counts)
-    for k in range(extra.shape[1]):
-        value[ends - extra.shape[1] - 1 + k] = extra[:, k]
-    starts, size, n = ends - counts, features + extra.shape[1] + 1, len(rows)
-    step = 1.0 / np.maximum(np.bincount(flat, weights=value * value * np.repeat(counts, counts), minlength=size) / (4 * n), 1e-12)
-    shrink = np.full(size, penalty)
+    counts = np.fromiter(map(len, rows), np.int64, len(rows))
+    flat = np.concatenate(rows).astype(np.intp) if len(rows) else np.empty(0, np.intp)
+    # Dense columns: the extra ones and the bias. A row without features has no slot for a sum, so it gets none.
+    dense = np.hstack([extra, np.ones((len(rows), 1))])
+    some = np.flatnonzero(counts)
+    starts, n = (np.cumsum(counts) - counts)[some], len(rows)
+    sizes = (counts + dense.shape[1]).astype(np.float64)
+    bound = np.concatenate([np.bincount(flat, weights=np.repeat(sizes, counts), minlength=features), (dense**2 * sizes[:, None]).sum(axis=0)])
+    step = 1.0 / np.maximum(bound / (4 * n), 1e-12)
+    shrink = np.full(features + dense.shape[1], penalty)
     shrink[-1] = 0.0
-    weights = look = np.zeros(size)
+    weights = look = np.zeros(features + dense.shape[1])
     pace = 1.0
     for _ in range(iterations):
-        margin = np.add.reduceat(look[flat] * value, starts)
-        slope = np.bincount(flat, weights=value * np.repeat(_sigmoid(margin) - labels, counts), minlength=size) / n
+        margin = dense @ look[features:]
+        if len(some):
+            margin[some] += np.add.reduceat(look[flat], starts)
+        error = _sigmoid(margin) - labels
+        slope = np.concatenate([np.bincount(flat, weights=np.repeat(error, counts), minlength=features), dense.T @ error]) / n
         moved = look - step * slope
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * shrink, 0.0)
-        if float(((look - new) * (new - weights)).sum()) > 0:  # overshot: start the acceleration again
-            pace = 1.0
         if float(np.abs(new - weights).max()) < TOLERANCE:
             return new
+        if float(((look - new) * (new - weights)).sum()) > 0:  # overshot: start the acceleration again
+            pace = 1.0
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         look = new + (pace - 1) / faster * (new - weights)
         weights, pace = new, faster
@@ -196,16 +201,15 @@ def constant(rate: float, size: int) -> np.ndarray:
     return weights
 
 
-def score(texts: DataFrame, chain: Chain, id_column: str = "doc_id", text_column: str = "text", *kept: Column) -> DataFrame:
-    """The id, ``kept`` columns, and ``p_<category>`` of each text."""
+def score(texts: DataFrame, chain: Chain, id_column: str = "doc_id", text_column: str = "text", *kept: Column, with_text: bool = False) -> DataFrame:
+    """The id, ``kept`` columns, and ``p_<category>`` of each text; ``_text``, the text itself, if it is wanted."""
     spark = texts.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(chain)  # at most VOCABULARY weights per category
     text = F.col(f"`{text_column}`").cast("string").alias("_text")
     given = texts.select(F.col(f"`{id_column}`").alias(id_column), *kept, text)
-    out = given.drop("_text").schema
-    for name in chain.categories:
-        out = out.add(f"p_{name}", "double")
+    columns = [f for f in given.schema if with_text or f.name != "_text"]
+    out = T.StructType(columns + [T.StructField(f"p_{name}", T.DoubleType()) for name in chain.categories])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Chain = shared.value
@@ -226,7 +230,7 @@ def score(texts: DataFrame, chain: Chain, id_column: str = "doc_id", text_column
                         found.update(held)
                 rows.append(own.probabilities(weights[sorted(found)].sum(axis=0).tolist()))
             columns = np.array(rows).reshape(len(rows), len(own.categories))
-            names = [n for n in batch.schema.names if n != "_text"]
+            names = [n for n in batch.schema.names if with_text or n != "_text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c) for c in columns.T.copy())], names=[*names, *(f"p_{n}" for n in own.categories)])
 
     return given.mapInArrow(run, out)
