@@ -24,8 +24,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not call toxic."""
     chain = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")
-    return toxicity.score(docs, chain, "doc_id", "text", whole).where(F.col("p_toxic") <= toxicity.THRESHOLD).select("document.*")
+    rest = F.struct(F.col("`doc_id`"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text"))).alias("_rest")
+    scored = toxicity.score(docs, chain, "doc_id", "text", rest, with_text=True).where(F.col("p_toxic") <= toxicity.THRESHOLD)
+    return scored.select(*(F.col("_text").alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
