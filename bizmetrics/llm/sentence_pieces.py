@@ -40,8 +40,8 @@ SAMPLES = 2
 POWER = 0.5
 BEYOND = 45.0
 SPACE = "▁"
-SLICE_BYTES = 1_000_000
-KEPT_CHARACTERS = 1_500_000  # of different segments; what a task keeps of lattices grows to some 150 MB
+SLICE_BYTES = 700_000
+KEPT_CHARACTERS = 300_000  # of different segments; what a task keeps of lattices grows to some 30 MB
 #: Runs of letters or of other characters, with the spaces before them.
 SEGMENT = re.compile(f"{SPACE}*(?:[^\\W\\d_¹²³¼½¾]+|(?:[^\\w{SPACE}]|[\\d_¹²³¼½¾])+|$)")
 _LOADED: dict[tuple[str, float], Model] = {}
