@@ -152,7 +152,9 @@ def close_signatures(classes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of classes within the distance."""
     m = chunks(percent)
     symbols, distance = SYMBOLS * m, 2 * m - 1
-    keys = _keys(classes, symbols)
+    # A class has very many keys, so the classes are dealt to as many tasks as their keys will be: what a task sums up stays small.
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = _keys(classes.select("node", "signature").repartition(tasks, "node"), symbols)
     buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
     # Keys with the same members are one bucket: size, ends and the sum of hashes tell.
     buckets = stored(buckets.where("size > 1").groupBy("size", "low", "high", "who").agg(F.min("key").alias("key")), "buckets")

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,7 +141,9 @@ def _fitter(place: int, name: str, earlier: list[dict[int, np.ndarray]], size: i
 
     def fit_model(table: pa.Table) -> pa.Table:
         model = table.column("model")[0].as_py()
-        features = [np.asarray(x, np.int64) for x in table.column("features").to_pylist()]
+        lists = table.column("features").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+        features = np.split(pc.list_flatten(lists).to_numpy(zero_copy_only=False), ends[:-1]) if len(lists) else []
         folds = table.column("fold").to_numpy()
         extra = np.zeros((len(features), place))
         for i, own in enumerate(features):  # out of fold: by the models that have not seen the row
