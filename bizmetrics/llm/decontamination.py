@@ -170,10 +170,20 @@ class Shard:
         return found
 
     def near(self, query: np.ndarray, slop: int, begins: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the rarest term, moved back by its offset, around which every other term is within ``slop`` of its own place; their documents."""
+        """Every start around which each term is within ``slop`` of its own place, and its document.
+
+        The rarest term may itself be off, so each of its places stands for 2 * slop + 1 starts.
+        """
         order = np.argsort(self.counts[query], kind="stable")
         anchors = self.list_of(query[order[0]])
-        starts, document = anchors - order[0], np.searchsorted(begins, anchors, side="right") - 1
+        # Starts may lie before their document, so a start alone doesn't tell it.
+        document = np.repeat(np.searchsorted(begins, anchors, side="right") - 1, 2 * slop + 1)
+        starts = (anchors[:, None] - order[0] + np.arange(-slop, slop + 1)).ravel()
+        if len(starts):
+            by = np.lexsort((starts, document))
+            starts, document = starts[by], document[by]
+            new = np.concatenate([[True], (starts[1:] != starts[:-1]) | (document[1:] != document[:-1])])
+            starts, document = starts[new], document[new]
         for offset in order[1:]:
             own, place = self.list_of(query[offset]), starts + offset
             first = np.searchsorted(own, np.maximum(place - slop, begins[document]))

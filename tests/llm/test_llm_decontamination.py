@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from llm_cases import by_id, documents, frame, no_documents, odd_documents, rows_of
 
 from bizmetrics.llm import decontamination as D
@@ -67,6 +68,30 @@ def test_matches_and_proximity_equal_brute_force(spark):
     assert found <= wanted and len(found) > len({w for w in wanted if w[4]})
 
 
+@pytest.mark.parametrize("slop", [1, 2, 3])
+def test_every_proximity_match_is_found(spark, slop):
+    texts, items, size = made(7, 40, 25) | {100: "b a c", 101: "e e e e", 102: None, 103: "A"}, made(8, 8, 6) | {50: "a b c", 51: "c"}, 3
+    index = D.build_index(documents(spark, texts))
+    (block,) = D.blocks(items_frame(spark, items), "item_id", "text", size)
+    found = [(r["id"], r["item"], r["window"], r["start"]) for r in rows_of(D.matches(index, block, slop))]
+    wanted = set()
+    for d, text in texts.items():
+        own = words(text)
+        for item, item_text in items.items():
+            for k, window in enumerate(D.windows(words(item_text), size)):
+                for s in range(-size - slop, len(own) + size + slop):
+                    if all(any(own[p] == w for p in range(max(0, s + j - slop), min(len(own), s + j + slop + 1))) for j, w in enumerate(window)):
+                        wanted.add((d, str(item), k, s))
+    assert sorted(found) == sorted(wanted)
+
+
+def test_proximity_matches_do_not_depend_on_the_shard(spark):
+    (block,) = D.blocks(items_frame(spark, {1: "a b c"}), "item_id", "text", 3)
+    for others in ("a a", "b b", "c c", "a a b b", "a a c c", "b b c c"):
+        found = rows_of(D.matches(D.build_index(documents(spark, {1: "b a c", 2: others}).coalesce(1)), block, 1))
+        assert 0 in [r["start"] for r in found if r["id"] == 1]
+
+
 def test_no_phrase_spans_two_documents(spark):
     found = by_id(D.decontaminate(documents(spark, {1: "x one two", 2: "three four y"}), items_frame(spark, {1: "one two three four"}), window=4))
     assert not found[1]["contaminated"] and not found[2]["contaminated"]
