@@ -40,7 +40,10 @@ class Rule:
 
 @dataclass(frozen=True)
 class Family:
-    """A family of licenses; ``name`` and ``notice`` are regular expressions over lower-case text."""
+    """A family of licenses; ``name`` and ``notice`` are regular expressions over lower-case text.
+
+    ``keyword`` has, between bars, as many words as it takes for every alternative of ``name`` to hold one.
+    """
 
     label: str
     name: str
@@ -94,12 +97,12 @@ FAMILIES = (
     Family("odbl", r"open\s+(?:data\s+commons\s+open\s+)?database\s+licen[sc]e", "database", ("1.0",), "odbl", r"opendatacommons\.org/licenses/odbl"),
     Family("odc-by", r"open\s+data\s+commons\s+attribution\s+licen[sc]e", "attribution", ("1.0",), "odc-by", r"opendatacommons\.org/licenses/by"),
     Family("pddl", r"public\s+domain\s+dedication\s+and\s+licen[sc]e", "dedication", ("1.0",), "pddl", r"opendatacommons\.org/licenses/pddl"),
-    Family("cc0", r"\bcc0\b|creative\s+commons\s+zero", "cc0", ("1.0",), "cc0", r"creativecommons\.org/publicdomain/zero"),
+    Family("cc0", r"\bcc0\b|creative\s+commons\s+zero", "cc0|zero", ("1.0",), "cc0", r"creativecommons\.org/publicdomain/zero"),
     Family("upl", r"universal\s+permissive\s+licen[sc]e", "universal", ("1.0",), "upl"),
     Family("vim", r"\bvim\s+licen[sc]e", "vim", (), "vim"),
     Family("openssl", r"openssl\s+licen[sc]e", "openssl", (), "openssl"),
     Family("cecill", r"\bcecill(?:-[bc])?\b", "cecill", ("1.0", "2.0", "2.1"), "cecill", r"cecill\.info"),
-    Family("rail", r"(?:open)?rail(?:-m)?\s+licen[sc]e|responsible\s+ai\s+licen[sc]e", "rail", (), ""),
+    Family("rail", r"(?:open)?rail(?:-m)?\s+licen[sc]e|responsible\s+ai\s+licen[sc]e", "rail|responsible", (), ""),
 )
 #: The elements of Creative Commons licenses, and their versions.
 CC_ELEMENTS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
@@ -130,10 +133,11 @@ def rules() -> tuple[Rule, ...]:
         return re.escape(version) if not version.endswith(".0") else re.escape(version[:-2]) + r"(?:\.0)?(?![.\d])"
 
     for f in FAMILIES:
+        keywords = tuple(f.keyword.split("|"))
         for v in f.versions:
             label = f"{f.label}-{v}"
-            made.append(Rule(label, rf"(?:{f.name})[,;]?\s+(?:version\s+|v\.?\s*){number(v)}", (f.keyword,), 60, 0.95))
-            made.append(Rule(label, rf"version\s+{number(v)}\s+of\s+the\s+(?:{f.name})", (f.keyword,), 60, 0.95))
+            made.append(Rule(label, rf"(?:{f.name})[,;]?\s+(?:version\s+|v\.?\s*){number(v)}", keywords, 60, 0.95))
+            made.append(Rule(label, rf"version\s+{number(v)}\s+of\s+the\s+(?:{f.name})", keywords, 60, 0.95))
             if f.spdx:
                 made.append(Rule(label, rf"spdx-license-identifier:\s*{f.spdx}-{re.escape(v)}(?:-only)?\b", ("spdx",), 90, 1.0))
                 made.append(Rule(f"{label}-or-later", rf"spdx-license-identifier:\s*{f.spdx}-{re.escape(v)}(?:-or-later|\+)", ("spdx",), 95, 1.0))
@@ -141,14 +145,14 @@ def rules() -> tuple[Rule, ...]:
             if f.url:
                 made.append(Rule(label, rf"{f.url}[-/]?{number(v)}", (f.url.split("\\")[0].split("(")[0],), 70, 0.95))
             if f.label.endswith("gpl"):
-                made.append(Rule(f"{label}-or-later", rf"(?:{f.name})\s.{{0,120}}?version\s+{number(v)},?\s+or\s+(?:\(at\s+your\s+option\)\s+)?any\s+later", (f.keyword,), 80, 1.0))
+                made.append(Rule(f"{label}-or-later", rf"(?:{f.name})\s.{{0,120}}?version\s+{number(v)},?\s+or\s+(?:\(at\s+your\s+option\)\s+)?any\s+later", keywords, 80, 1.0))
         if f.spdx and not f.versions:
             made.append(Rule(f.label, rf"spdx-license-identifier:\s*{re.escape(f.spdx)}\b", ("spdx",), 90, 1.0))
         if f.url:
             made.append(Rule(f.label, f.url, (f.url.split("\\")[0].split("(")[0],), 50, 0.9))
         if f.notice:
             made.append(Rule(f.label, f.notice, (f.notice_keyword,), 50, 0.9))
-        made.append(Rule(f.label, f"(?:{f.name})", (f.keyword,), 30, 0.8))
+        made.append(Rule(f.label, f"(?:{f.name})", keywords, 30, 0.8))
     for e in CC_ELEMENTS:
         words = r"[\s,-]+".join(CC_WORDS[part] for part in e.split("-"))
         plain = e.replace("-", r"[\s-]")

@@ -39,6 +39,80 @@ def test_the_keyword_gate_loses_nothing():
         assert L.scan_text(text)[2] == L.resolve(every, L.rules())
 
 
+def written(parsed, longest=40):
+    """Texts that a parsed pattern matches, such that every alternative and every optional part, present and absent, is in one."""
+    texts = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "NOT_LITERAL":
+            more = [" "]
+        elif name == "ANY":
+            more = ["q"]
+        elif name == "IN":
+            more = [character(value)]
+        elif name == "BRANCH":
+            more = [t for branch in value[1] for t in written(branch)]
+        elif name == "SUBPATTERN":
+            more = written(value[-1])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = value
+            more = [t * n for n in dict.fromkeys((least, min(most, max(1, least)))) for t in written(inner)]
+        else:
+            assert name in ("AT", "ASSERT_NOT"), name
+            more = [""]
+        # All ways for few parts; for many, each part's ways at least once.
+        if len(texts) * len(more) <= longest:
+            texts = [a + b for a in texts for b in more]
+        else:
+            texts = [texts[i % len(texts)] + more[i % len(more)] for i in range(max(len(texts), len(more)))]
+    return texts
+
+
+def character(ways):
+    """One that a class holds."""
+    if str(ways[0][0]) == "NEGATE":
+        return " "
+    kind, value = ways[0]
+    if str(kind) == "LITERAL":
+        return chr(value)
+    if str(kind) == "RANGE":
+        return chr(value[0])
+    return {"CATEGORY_SPACE": " ", "CATEGORY_DIGIT": "1", "CATEGORY_NOT_SPACE": "q", "CATEGORY_WORD": "q"}[str(value)]
+
+
+def test_every_alternative_of_every_rule_passes_the_gate():
+    tried = 0
+    for rule in L.rules():
+        pattern = re.compile(rule.pattern, re.DOTALL)
+        matched = [m[0] for t in written(re._parser.parse(rule.pattern, re.DOTALL)) if (m := pattern.search(f" {t} "))]
+        assert matched, rule.pattern
+        for text in matched:
+            assert any(k in text for k in rule.keywords), (rule.label, rule.pattern, text)
+        tried += len(matched)
+    assert tried > len(L.rules())
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Creative Commons Zero", "cc0"),
+        ("Creative Commons Zero v1.0 Universal", "cc0-1.0"),
+        ("CC0", "cc0"),
+        ("version 1.0 of the Creative Commons Zero", "cc0-1.0"),
+        ("Responsible AI License", "rail"),
+        ("OpenRAIL-M License", "rail"),
+        ("University of Illinois/NCSA", "ncsa"),
+    ],
+)
+def test_the_gate_loses_no_alternative(text, label):
+    low = text.lower()
+    every = [(-r.priority, m.start() - m.end(), i, m.start(), m.end()) for i, r in enumerate(L.rules()) for m in re.finditer(r.pattern, low, re.DOTALL) if m.end() > m.start()]
+    found = L.scan_text(text)[2]
+    assert found == L.resolve(every, L.rules()) and label in {d[2] for d in found}
+
+
 def test_resolution_equals_brute_force():
     r = random.Random(1)
     for _ in range(200):
