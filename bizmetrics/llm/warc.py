@@ -6,8 +6,8 @@ before they are exchanged; where a copied payload's rows meet their group again,
 files of one gzip member per record. A file's name is new for every attempt at a task, and only files in the manifest, which Spark commits, count.
 
 **Reading.** Every record is checked: the member's own checksum, version line, headers, lengths, block and payload digests. After a failed check the reader
-looks for the next gzip member that opens with a version line (in plain archives: the next version line), goes on there, and
-logs the bytes in between as a quarantined gap with the reason. The reader holds one record and one chunk of the file.
+looks for the next gzip member that opens with a version line (in plain archives and inside members: the next version line), goes on there, and
+logs the bytes in between as a quarantined gap with the reason. A member may hold any number of records. The reader holds one record and one chunk of the file.
 
 Edge cases: null and empty payloads are 0 bytes and equal; rows repeated with the smallest id are all responses; a null id is
 written as such, refers to nothing and is read as null; an empty table gives no archives and no rows; columns besides id, address and payload are ignored;
@@ -38,7 +38,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROTATE_BYTES = 256_000_000
 CHUNK = 1 << 20
 GZIP_MAGIC = b"\x1f\x8b\x08"
-MOST_HEADERS = 1 << 16
+PIECE = 1 << 14  # of a member, unpacked at a time
+HEADER_CHUNK = 1 << 16
+BLANK = b"\r\n\r\n"
 
 
 def digest(data: bytes) -> str:
@@ -100,6 +102,10 @@ class Damage(ValueError):
     """A check failed."""
 
 
+class Unreadable(Damage):
+    """A member cannot be unpacked any further."""
+
+
 class _Bytes:
     """A file by offset, a chunk at a time."""
 
@@ -164,42 +170,118 @@ def _checked(start: int, end: int, headers: dict[str, str], block: bytes) -> Rec
     return Record(start, end, headers, payload, size)
 
 
-def _member_at(data: _Bytes, start: int) -> Record:
-    """The record in the gzip member at ``start``."""
-    unpacker, at, parts = zlib.decompressobj(31), start, []
+def _unpacked(data: _Bytes, start: int) -> Iterator[tuple[bytes, int]]:
+    """Pieces of what the member at ``start`` holds, each with the place up to which the file is read; the last is the member's end."""
+    unpacker, at, rest = zlib.decompressobj(31), start, b""
     try:
         while not unpacker.eof:
-            if not (chunk := data.read(at)):
-                raise Damage("cut off")
-            parts.append(unpacker.decompress(chunk))
-            at += len(chunk)
-            if len(parts) == 1 and not parts[0].startswith(b"WARC/1.") and len(parts[0]) >= 7:
-                raise Damage("no version line")
+            if not rest:
+                if not (rest := data.read(at, PIECE)):
+                    raise Unreadable("cut off")
+                at += len(rest)
+            piece = unpacker.decompress(rest, 4 * PIECE)
+            rest = unpacker.unconsumed_tail
+            yield piece, at - len(unpacker.unused_data if unpacker.eof else rest)
     except zlib.error as error:
-        raise Damage("member checksum" if "incorrect" in str(error) else "bad member") from None
-    end, whole = at - len(unpacker.unused_data), b"".join(parts)
-    head, separator, rest = whole.partition(b"\r\n\r\n")
-    if not separator:
-        raise Damage("no end of headers")
-    headers = _parse(head)
-    size = int(headers["content-length"])
-    if len(rest) != size + 4 or rest[size:] != b"\r\n\r\n":
-        raise Damage("length")
-    return _checked(start, end, headers, rest[:size])
+        raise Unreadable("member checksum" if "incorrect" in str(error) else "bad member") from None
+
+
+def _sound(data: _Bytes, start: int) -> bool:
+    """Whether the member at ``start`` has the checksum it names."""
+    try:
+        for _ in _unpacked(data, start):
+            pass
+    except Unreadable:
+        return False
+    return True
+
+
+def _member_at(data: _Bytes, start: int) -> Iterator[Record | Gap]:
+    """The records in the gzip member at ``start``, one after another, and what lies between them.
+
+    Where a member has several, a record's place is what was read of the file for it. A record that others follow is given before the member's checksum is
+    reached, on its own block digest; without one, the whole member is unpacked first.
+    """
+    pieces, held, here, read, sound, count = _unpacked(data, start), bytearray(), start, start, None, 0
+
+    def more() -> bool:
+        nonlocal read
+        piece, read = next(pieces, (None, read))
+        held.extend(piece or b"")
+        return piece is not None
+
+    def take() -> tuple[dict[str, str], int, int]:
+        """The headers of what is held, and where its block begins and ends."""
+        while len(held) < 7 and more():
+            pass
+        if not held.startswith(b"WARC/1.") and held:
+            raise Damage("no version line")
+        searched = 0
+        while (length := held.find(BLANK, max(0, searched - 3))) < 0:
+            searched = len(held)
+            if not more():
+                raise Damage("no end of headers")
+        headers = _parse(bytes(held[:length]))
+        begin, end = length + 4, length + 4 + int(headers["content-length"])
+        while len(held) < end + 4:
+            if not more():
+                raise Damage("length")
+        if held[end : end + 4] != BLANK:
+            raise Damage("length")
+        return headers, begin, end
+
+    while True:
+        try:
+            headers, begin, end = take()
+            count += 1
+            while len(held) == end + 4 and more():
+                pass
+            alone = count == 1 and len(held) == end + 4
+            if not alone and not headers.get("warc-block-digest", "").lower().startswith("sha1:"):
+                sound = _sound(data, start) if sound is None else sound
+                if not sound:
+                    raise Damage("member checksum")
+            found: Record | Gap = _checked(here, read, headers, bytes(held[begin:end]))
+            del held[: end + 4]
+        except Unreadable:
+            raise
+        except Damage as damage:
+            if not count and not held.startswith(b"WARC/1."):
+                raise  # nothing of an archive
+            count += 1
+            at = held.find(b"WARC/1.", 1)
+            while at < 0:
+                del held[:-6]
+                if not more():
+                    at = len(held)
+                    break
+                at = held.find(b"WARC/1.")
+            del held[:at]
+            found = Gap(here, read, str(damage))
+        here = read
+        yield found
+        while len(held) < 7 and more():
+            pass
+        if not held:
+            return
 
 
 def _plain_at(data: _Bytes, start: int) -> Record:
     """The record that stands at ``start`` without compression."""
-    head = data.exactly(start, MOST_HEADERS)
-    length = head.find(b"\r\n\r\n")
-    if length < 0:
-        raise Damage("no end of headers")
-    headers = _parse(head[:length])
+    if not re.match(rb"WARC/1\.\d+\r\n", data.exactly(start, 32)):
+        raise Damage("no version line")
+    head, searched = bytearray(), 0
+    while (length := head.find(BLANK, max(0, searched - 3))) < 0:
+        searched = len(head)
+        if not (part := data.read(start + searched, HEADER_CHUNK)):
+            raise Damage("no end of headers")
+        head += part
+    headers = _parse(bytes(head[:length]))
     size, at = int(headers["content-length"]), start + length + 4
     if at + size + 4 > data.size:
         raise Damage("cut off")
     block = data.exactly(at, size + 4)
-    if block[size:] != b"\r\n\r\n":
+    if block[size:] != BLANK:
         raise Damage("length")
     return _checked(start, at + size + 4, headers, block[:size])
 
@@ -211,21 +293,24 @@ def salvage(source) -> Iterator[Record | Gap]:
         try:
             opening = data.exactly(at, 7)
             if opening.startswith(GZIP_MAGIC):
-                found = _member_at(data, at)
+                several = _member_at(data, at)
             elif opening == b"WARC/1.":
-                found = _plain_at(data, at)
+                several = iter((_plain_at(data, at),))
             else:
                 raise Damage("neither member nor version line")
+            for found in several:
+                at = found.end
+                if isinstance(found, Gap):
+                    gap = gap or found
+                    continue
+                if gap:
+                    gap.end = found.start
+                    yield gap
+                    gap = None
+                yield found
         except Damage as damage:
             gap = gap or Gap(at, at, str(damage))
             at = data.find((GZIP_MAGIC, b"WARC/1."), at + 1)
-            continue
-        if gap:
-            gap.end = at
-            yield gap
-            gap = None
-        yield found
-        at = found.end
     if gap:
         gap.end = data.size
         yield gap

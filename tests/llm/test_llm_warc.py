@@ -52,6 +52,56 @@ def test_records_after_damage_are_recovered_and_gaps_logged(packed, seed):
     assert covered == len(data)
 
 
+def names(found):
+    return [f.headers["warc-record-id"] for f in found if isinstance(f, W.Record)]
+
+
+def undigested(part):
+    return b"\r\n".join(line for line in part.split(b"\r\n") if b"-Digest: " not in line)
+
+
+@pytest.mark.parametrize("change", [bytes, undigested])
+@pytest.mark.parametrize("per_member", [2, 7, 300])
+def test_members_of_several_records(per_member, change):
+    parts = [change(p) for p in archive(300, packed=False)]
+    data = b"".join(W.member(b"".join(parts[i : i + per_member])) for i in range(0, 300, per_member))
+    found = list(W.salvage(Source(data)))
+    assert [f.headers["warc-record-id"] for f in found] == [f"<urn:page:{i}>" for i in range(300)]
+    alone = [r for p in parts for r in W.salvage(Source(W.member(p)))]
+    assert [(r.payload, r.payload_bytes) for r in found] == [(r.payload, r.payload_bytes) for r in alone]
+    assert sum(f.end - f.start for f in found) == len(data) and all(a.end == b.start for a, b in zip(found, found[1:]))
+
+
+def test_a_damaged_record_inside_a_member_costs_only_itself():
+    parts = archive(9, packed=False)
+    parts[4] = parts[4].replace(b"payload 4", b"pay-oad 4")
+    parts[6] = parts[6].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    data = W.member(b"".join(parts)) + W.member(archive(1, packed=False)[0])
+    found = list(W.salvage(Source(data)))
+    assert names(found) == [f"<urn:page:{i}>" for i in (0, 1, 2, 3, 5, 7, 8, 0)] and sum(f.end - f.start for f in found) == len(data)
+    assert sum(isinstance(f, W.Gap) for f in found) == 2
+
+
+def test_records_before_the_damage_of_a_member_need_a_digest():
+    r = random.Random(1)
+    whole = [W.record(i, "http://x", r.randbytes(50_000), None) for i in range(12)]
+    for change, least in ((bytes, 4), (undigested, 0)):
+        data = bytearray(W.member(b"".join(map(change, whole))))
+        data[-6] ^= 1  # in the checksum
+        found = list(W.salvage(Source(bytes(data) + W.member(whole[0]))))
+        kept = names(found)
+        assert len(kept) > least and kept[:-1] == [f"<urn:page:{i}>" for i in range(len(kept) - 1)] and (least or len(kept) == 1)
+        assert any(isinstance(f, W.Gap) for f in found) and sum(f.end - f.start for f in found) == len(data) + len(W.member(whole[0]))
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_headers_of_any_length(packed):
+    parts = archive(3, packed=False)
+    parts[1] = parts[1].replace(b"WARC-Type", b"X-Long: " + b"x" * 3_000_000 + b"\r\nWARC-Type", 1)
+    found = list(W.salvage(Source(b"".join(W.member(p) if packed else p for p in parts))))
+    assert [f.headers["warc-record-id"] for f in found] == [f"<urn:page:{i}>" for i in range(3)]
+
+
 def test_cut_off_and_foreign_bytes():
     parts = archive(5)
     data = b"garbage" + parts[0] + b"\x1f\x8b\x08not gzip" + parts[1] + b"WARC/1.1\r\nbroken" + parts[2] + parts[3][:-9]
