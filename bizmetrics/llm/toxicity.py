@@ -118,8 +118,9 @@ def training_rows(texts: DataFrame, labels: DataFrame, categories=CATEGORIES, sa
     """id, text, a 0/1 column per category and the fold, of at most ``sample`` labelled rows."""
     known = labels.select(F.col(f"`{id_column}`").alias("id"), *((F.col(f"`{column}`") == value).cast("double").alias(f"is_{name}") for name, column, value in categories))
     known = known.dropna().groupBy("id").agg(*(F.max(f"is_{name}").alias(f"is_{name}") for name, *_ in categories))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample)
     given = texts.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")).dropna()
+    # Labels of other texts take no place in the sample.
+    chosen = known.join(given.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
     joined = given.join(F.broadcast(chosen), "id")  # ``sample`` rows at most
     return joined.dropDuplicates(["id"]).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
 

@@ -50,6 +50,13 @@ def test_held_out_accuracy(spark):
         assert right >= 0.97 * 300, column
 
 
+def test_labels_of_other_texts_take_no_place_in_the_sample(spark):
+    labels = frame(spark, [(i, 1, i % 2) for i in range(1000)], LABELS)
+    texts = {i: f"text {i}" for i in range(500, 540)} | {540: None}
+    found = [r["id"] for r in rows_of(T.training_rows(documents(spark, texts), labels, sample=30))]
+    assert len(found) == len(set(found)) == 30 and set(found) <= set(range(500, 540))
+
+
 def test_later_models_see_earlier_probabilities(spark):
     texts, labels = corpus(3, 400)
     # The second category is the first one's negative, so the first probability tells it.
