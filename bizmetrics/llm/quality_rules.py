@@ -3,8 +3,8 @@ r"""Quality rules: a table of thresholds compiled into one projection of built-i
 ``RULES`` states each rule as a ratio of two measures and the range in which a text is kept. ``compile_rules`` turns the table
 into boolean columns, so a new rule is a new line of the table. All measures come from the row itself: nothing is shuffled.
 
-Words are ``[^\x20\x09-\x0D]+``. Windows of three words are found twice by sorting their 64-bit hashes, each tagged with its place in the low
-bits (as many as the text needs), so a text of n words costs n log n, however repetitive it is.
+Words are ``[^\x20\x09-\x0D]+``. Windows of three words are found twice by sorting their 64-bit hashes and places, and comparing the words of
+neighbours with equal hashes, so a text of n words costs n log n, however repetitive it is.
 
 Edge cases: null and empty texts have no words, fail the base and are not kept; repeated rows give repeated results;
 columns besides the id and the text are ignored; a ratio with denominator 0 counts as 0.
@@ -79,26 +79,25 @@ def _repeated_words(words: Column) -> Column:
     """Words of the array that lie in a window of three words found twice or more."""
     size = F.size(words)
 
-    def count(high: Column) -> Column:
-        def tagged(word: Column, place: Column) -> Column:
-            return F.xxhash64(word, F.get(words, place + 1), F.get(words, place + 2)).bitwiseAND(high).bitwiseOR(place.cast("long"))
+    def tagged(word: Column, place: Column) -> Column:
+        return F.struct(F.xxhash64(word, F.get(words, place + 1), F.get(words, place + 2)).alias("key"), place.alias("place"))
 
-        def starts(windows: Column) -> Column:
-            def same(key: Column, at: Column) -> Column:
-                return F.coalesce(F.get(windows, at).bitwiseAND(high) == key.bitwiseAND(high), F.lit(False))
+    def starts(windows: Column) -> Column:
+        def same(window: Column, at: Column) -> Column:
+            other = F.get(windows, at)
+            equal = other["key"] == window["key"]
+            for k in range(3):
+                equal = equal & (F.get(words, other["place"] + k) == F.get(words, window["place"] + k))
+            return F.coalesce(equal, F.lit(False))
 
-            repeated = F.filter(windows, lambda key, i: same(key, i - 1) | same(key, i + 1))
-            return F.sort_array(F.transform(repeated, lambda key: key.bitwiseAND(F.bitwise_not(high))))
+        repeated = F.filter(windows, lambda window, i: same(window, i - 1) | same(window, i + 1))
+        return F.sort_array(F.transform(repeated, lambda window: window["place"].cast("long")))
 
-        def covered(places: Column) -> Column:
-            widths = F.transform(places, lambda place, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(places, i + 1) - place, F.lit(3).cast("long"))))
-            return F.aggregate(widths, F.lit(0).cast("long"), lambda total, width: total + width)
+    def covered(places: Column) -> Column:
+        widths = F.transform(places, lambda place, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(places, i + 1) - place, F.lit(3).cast("long"))))
+        return F.aggregate(widths, F.lit(0).cast("long"), lambda total, width: total + width)
 
-        return let(let(F.sort_array(F.transform(F.slice(words, 1, size - 2), tagged)), starts), covered)
-
-    # The low bits that hold a window's place: as many as the number of words has.
-    low = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(size.cast("long")))) - 1
-    return F.when(size >= 3, let(F.bitwise_not(low), count)).otherwise(F.lit(0).cast("long"))
+    return F.when(size >= 3, let(let(F.sort_array(F.transform(F.slice(words, 1, size - 2), tagged)), starts), covered)).otherwise(F.lit(0).cast("long"))
 
 
 def measures(texts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

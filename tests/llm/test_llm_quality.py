@@ -37,6 +37,15 @@ def test_a_text_that_repeats_one_word(spark):
     assert found["n_repeat_words"] == 5000 and found["base_failed"] and not found["kept"]
 
 
+def test_windows_whose_hashes_nearly_agree_are_not_equal(spark):
+    # The hashes of these two windows differ in their low 20 bits only, and a text of so many words needs 20 bits for a place.
+    words = ["a", "b", "2811354", "a", "b", "8190362", *(f"w{i}" for i in range(530_000))]
+    text = " ".join(words)
+    assert brute_force(text)["n_repeat_words"] == 0
+    found = by_id(Q.measures(documents(spark, {1: text, 2: text + " w0 w1 w2"})))
+    assert [found[i]["n_repeat_words"] for i in (1, 2)] == [0, 6]
+
+
 def test_rules(spark):
     plain = "The words of this text are all as they should be and it is kept by every rule that we have for it today".split()
     plain = " ".join(plain + [f"new{i}" for i in range(60)])
