@@ -3,12 +3,12 @@
 Each stage is a function of (spark, docs, sf_dir) over all that its predecessor kept. ``run`` writes each stage's rows as
 Parquet in the shared folder and reads them again, so a lost executor costs a stage's tasks at most.
 
-Rows without an id are kept by the stages that compare documents, since nothing can name them.
+The stages that compare documents judge each text by itself, also where it has no id or shares one with other texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizmetrics.llm import decontamination, near_duplicates, secret_scan, sentence_pieces, toxicity
@@ -29,22 +29,49 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.select(*(F.col("_text").alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns))
 
 
+def _text_key(text: Column) -> Column:
+    """What tells texts apart; null for no text."""
+    return F.unhex(F.sha2(text.cast("string").cast("binary"), 256))
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with a number per document as ``_key``, and whether any isn't its id.
+
+    The id is the key, except where it is null or different texts share it; there, it is a hash of both.
+    """
+    h = F.coalesce(_text_key(F.col("text")), F.lit(b""))
+    texts = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min(h).alias("_low"), F.max(h).alias("_high"))
+    shared = stored(texts.where("_low != _high").select("_id"), "shared")
+    if not shared.limit(1).count() and not docs.where("doc_id is null").limit(1).count():
+        return docs.withColumn("_key", F.col("doc_id").cast("long")), False
+    key = F.when(F.col("doc_id").isNull() | F.col("_id").isNotNull(), F.xxhash64("doc_id", h)).otherwise(F.col("doc_id").cast("long"))
+    return docs.join(shared, docs["doc_id"] == shared["_id"], "left").withColumn("_key", key).drop("_id"), True
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group at five words and 80 percent; of repeated rows, one."""
-    groups = stored(near_duplicates.near_duplicates(docs, shingle=5, percent=80).select("doc_id", "kept"), "groups")
-    ids = groups.where("doc_id is not null")
-    kept = docs.join(ids.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    if ids.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        unnamed = kept.where("doc_id is null")
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(unnamed)
-    return kept
+    """The document with the smallest id of each group at five words and 80 percent; of repeated rows, one.
+
+    Rows without an id go if their group has a row with one; if not, nothing names the one to keep, so all stay.
+    """
+    keyed, mixed = _keyed(docs)
+    found = stored(near_duplicates.near_duplicates(keyed, shingle=5, percent=80, id_column="_key").select("_key", "component_id", "kept"), "groups")
+    gone = found.where("not kept").select("_key").distinct()
+    if mixed:
+        members = stored(found.select("_key", "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key"), "members")
+        first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")).alias("_first"))
+        gone = members.join(first, "component_id").where("not _first.unnamed and _key != _first._key").select("_key").distinct()
+    kept = keyed.join(gone, "_key", "left_anti")
+    if found.groupBy("_key").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id is not null").dropDuplicates(["_key"]).unionByName(kept.where("doc_id is null"))
+    return kept.select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
-    found = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    hit = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    """Documents without a window of a benchmark item. The text alone decides, whatever its id."""
+    keyed = docs.withColumn("_key", _text_key(F.col("text")))
+    found = decontamination.decontaminate(keyed, _table(spark, sf_dir, "benchmark"), id_column="_key")
+    hit = stored(found.where("contaminated").select("_key").distinct(), "contaminated")
+    return keyed.join(hit, "_key", "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,25 @@ def test_odd_rows(spark, small_dir):
     assert empty.count() == 0
 
 
+def text_of(seed):
+    return " ".join(f"s{seed}w{i}" for i in range(40))
+
+
+def test_each_text_has_its_own_verdict_on_copies(spark, small_dir):
+    rows = [(1, text_of(1)), (7, text_of(2)), (7, text_of(3)), (7, text_of(1)), (7, text_of(3)), (None, text_of(1)), (None, text_of(1) + " more"), (None, text_of(4)), (9, text_of(3)), (9, None)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in rows])
+    found = [(r["doc_id"], r["text"]) for r in rows_of(corpus_pipeline.drop_near_duplicates(spark, docs, small_dir))]
+    wanted = [(1, text_of(1)), (7, text_of(2)), (7, text_of(3)), (None, text_of(4)), (9, None)]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
+def test_each_text_has_its_own_verdict_on_leaks(spark, small_dir):
+    leak = spark.read.parquet(f"{small_dir}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in [(None, leak), (None, "clean"), (5, leak), (5, "clean too"), (5, None), (6, f"x {leak}")]])
+    found = [(r["doc_id"], r["text"]) for r in rows_of(corpus_pipeline.drop_contaminated(spark, docs, small_dir))]
+    assert sorted(found, key=str) == sorted([(None, "clean"), (5, "clean too"), (5, None)], key=str)
+
+
 def test_extra_columns_are_kept(spark, small_dir):
     docs = documents(spark, {1: "token = 'abcdefgh'"}).selectExpr("*", "7 AS id", "'a' AS words", "1 AS _before_me")
     for _, stage in corpus_pipeline.STAGES[:-1]:
