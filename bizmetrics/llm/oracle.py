@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bizmetrics.llm import decontamination, quality_rules, secret_scan, sharding
+from bizmetrics.llm import decontamination, quality_rules, secret_scan, sharding, source_divergence
 
 
 def _filled(count: int) -> list[int]:
@@ -162,5 +162,45 @@ def _warc() -> str:
         FROM marked"""
 
 
+def _divergence() -> str:
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def share(count: str, total: str) -> str:
+        return f"1 + (({source_divergence.SCALE}::HUGEINT * ({count} + 2)) // ({total} + 2 * v))"
+
+    def f(p: str, q: str) -> str:
+        return f"(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+    # Dense: every kept term of a language for each of its sources.
+    return rf"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all({lowered}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        placed AS (SELECT rid, lang, source, unnest(words) AS term FROM texts),
+        kept AS (SELECT lang, term, count(*) AS n FROM placed GROUP BY lang, term HAVING count(DISTINCT rid) >= {source_divergence.MIN_DOCUMENTS}),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM placed JOIN kept USING (lang, term) GROUP BY ALL),
+        totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+        named AS (SELECT DISTINCT lang, source FROM texts),
+        shares AS (
+            SELECT named.lang, named.source, kept.term, coalesce(counts.n, 0) AS n, {share("coalesce(counts.n, 0)", "coalesce(totals.total, 0)")} AS p, {share("kept.n", "langs.total")} AS q
+            FROM named JOIN langs USING (lang) JOIN kept USING (lang)
+            LEFT JOIN totals ON totals.lang = named.lang AND totals.source = named.source
+            LEFT JOIN counts ON counts.lang = named.lang AND counts.source = named.source AND counts.term = kept.term),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum({f("a.p", "b.p")}) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM named a JOIN named b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, {f("p", "q")} FROM shares WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= {source_divergence.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets(), "op7_warc": _warc(), "op9_minhash_near_dedup": _groups()}
+    return {"op2_benchmark_decontamination": _contamination(), "op3_sharding": _sharding(), "op5_quality_rules": _quality(), "op6_secret_scans": _secrets(), "op7_warc": _warc(), "op9_minhash_near_dedup": _groups(), "op13_source_divergence": _divergence()}

@@ -27,7 +27,7 @@ def test_equals_sql(spark, small_dir, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op1_token_blocks", "op8_toxicity", "op10_license_scans"])
