@@ -13,6 +13,7 @@ from bizmetrics.llm.quality_rules import document_quality
 from bizmetrics.llm.secret_scan import document_secrets
 from bizmetrics.llm.sentence_pieces import document_samples
 from bizmetrics.llm.sharding import document_shards
+from bizmetrics.llm.simhash_groups import document_simhash
 from bizmetrics.llm.source_divergence import source_audit
 from bizmetrics.llm.token_blocks import document_tokens
 from bizmetrics.llm.toxicity import document_toxicity
@@ -41,5 +42,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": _over(document_toxicity, "documents", "labels"),
     "op9_minhash_near_dedup": _over(document_groups, "documents"),
     "op10_license_scans": _over(document_licenses, "documents"),
+    "op12_simhash_near_dedup": _over(document_simhash, "documents"),
     "op13_source_divergence": _over(source_audit, "documents"),
 }
