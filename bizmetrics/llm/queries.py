@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bizmetrics.llm.conversation_repair import conversation_audit
 from bizmetrics.llm.decontamination import document_contamination
 from bizmetrics.llm.license_scan import document_licenses
 from bizmetrics.llm.near_duplicates import document_groups
@@ -42,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": _over(document_toxicity, "documents", "labels"),
     "op9_minhash_near_dedup": _over(document_groups, "documents"),
     "op10_license_scans": _over(document_licenses, "documents"),
+    "op11_conversation_repair": _over(conversation_audit, "conversations"),
     "op12_simhash_near_dedup": _over(document_simhash, "documents"),
     "op13_source_divergence": _over(source_audit, "documents"),
 }

@@ -1,0 +1,221 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from llm_cases import frame, rows_of
+
+from bizmetrics.llm import conversation_repair as R
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+LANGUAGE = re.compile(r"(s?(ua)+)?")
+BEGINNING = re.compile(r"(s?(ua)*u?)?")  # of a word of the language
+
+
+def every_repair(rows):
+    """(cost, initials, repaired rows) of the best of all edits, at most two rows inserted at a place."""
+    best = [(10**9,)]
+
+    def go(i, cost, audit, built, inserted):
+        initials = "".join(role[:1] or "-" for role, _ in built)
+        if cost > best[0][0] or not BEGINNING.fullmatch(initials):
+            return
+        if i == len(rows) and LANGUAGE.fullmatch(initials):
+            best[0] = min(best[0], (cost, audit, built))
+        if inserted < 2:
+            for role in ("user", "assistant"):
+                go(i, cost + 2, audit + "I", (*built, (role, "")), inserted + 1)
+        if i < len(rows):
+            _, role, text, fault = rows[i]
+            go(i + 1, cost + 3, audit + "D", built, 0)
+            if fault not in ("blank", "duplicate"):
+                more = fault == "truncated"
+                go(i + 1, cost + more, audit + "K", (*built, (role, text)), 0)
+                for made in ("user", "assistant"):
+                    go(i + 1, cost + 2 + more, audit + "R", (*built, (made, text)), 0)
+
+    go(0, 0, "", (), 0)
+    return best[0]
+
+
+def viterbi(rows):
+    """Costs and whole initials per state, without tree, ranks or pruning."""
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    def inserts(best):
+        for _ in range(2):
+            for state, (cost, audit) in list(best.items()):
+                for made in "ua":
+                    if (state, made) in step:
+                        to = step[state, made]
+                        best[to] = min(best.get(to, (10**9, "")), (cost + 2, audit + "I"))
+        return best
+
+    best = inserts({"": (0, "")})
+    for _, role, _, fault in rows:
+        new = {}
+        for state, (cost, audit) in best.items():
+            ways = [(state, cost + 3, "D")]
+            if fault not in ("blank", "duplicate"):
+                more = fault == "truncated"
+                ways += [(step[state, role[:1]], cost + more, "K")] if (state, role[:1]) in step else []
+                ways += [(step[state, made], cost + 2 + more, "R") for made in "ua" if (state, made) in step]
+            for to, total, edit in ways:
+                new[to] = min(new.get(to, (10**9, "")), (total, audit + edit))
+        best = inserts(new)
+    return min(best[s] for s in ("", "a") if s in best)
+
+
+def found(rows):
+    edits = list(R.repaired(rows))
+    cost = sum({"K": 0, "R": 2, "D": 3, "I": 2}[e[0]] + (e[5] == "truncated" and e[0] != "D") for e in edits)
+    return cost, "".join(e[0] for e in edits), tuple((e[3], e[4]) for e in edits if e[3] is not None)
+
+
+def some_rows(rng, count, roles=("system", "user", "assistant", "tool", ""), sound=0.6):
+    faults = ["blank", "duplicate", "truncated"]
+    return [(i, rng.choice(roles), f"t{i}", None if rng.random() < sound else rng.choice(faults)) for i in range(count)]
+
+
+def test_equals_every_repair():
+    rng = random.Random(1)
+    for _ in range(400):
+        rows = some_rows(rng, rng.randrange(6))
+        assert found(rows) == every_repair(rows)
+
+
+@pytest.mark.parametrize("roles", [("system", "user", "assistant"), ("user",), ("assistant", "user"), ("assistant",), ("system",), ("tool", "user")])
+def test_equals_whole_strings(roles):
+    rng = random.Random(2)
+    for count in (1, 2, 3, 10, 40, 150):
+        for sound in (1, 0.9, 0.5, 0):
+            rows = some_rows(rng, count, roles, sound)
+            assert found(rows)[:2] == viterbi(rows)
+
+
+def test_edits_are_emitted_early_and_the_rest_is_freed():
+    rng = random.Random(3)
+    search, given, emitted, most = R.Search(), 0, 0, 0
+    for row in some_rows(rng, 20_000, ("user", "assistant"), 0.8):
+        emitted += sum(e[0] != "I" for e in search.take(row))
+        given += 1
+        assert given - emitted == search.open_rows
+        most = max(most, search.open_rows)
+    assert most < 200
+
+    def size(node):
+        return 1 + sum(map(size, node.kids))
+
+    assert size(search.root) <= 4 * (search.open_rows + 1)
+
+
+def test_long_ties_stay_exact():
+    """User rows alone leave two ways open to the end; memory is two nodes a row, and time in proportion."""
+    rows = [(i, "user", "t.", None) for i in range(3_000)]
+    assert found(rows)[:2] == viterbi(rows)
+
+
+def test_unsettled_first_row():
+    for rows in ([(0, "assistant", "x.", None)], [(0, "system", "x.", None)], [(0, "system", "x.", None), (1, "user", "y.", None)], []):
+        assert found(rows) == every_repair(rows)
+
+
+# --- The whole query
+
+
+def plain(given):
+    """conv_id -> result, by the definitions."""
+    conversations = defaultdict(list)
+    for conv, turn, role, text in given:
+        rows = conversations[conv]
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        rows += [(turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    out = {}
+    for conv, rows in conversations.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, judged = set(), []
+        for turn, role, text in rows:
+            chars = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = "blank" if not chars else "duplicate" if (role, text) in seen else "truncated" if chars[-1] not in ".!?" else None
+            seen.add((role, text))
+            judged.append((turn, role, text, fault))
+        turns = {t for t, *_ in rows if t is not None}
+        cost, audit = viterbi(judged)
+        _, _, kept = found(judged)
+        out[conv] = {
+            "gaps": max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+            **{f: sum(r[3] == f for r in judged) for f in ("blank", "duplicate", "truncated")},
+            "illegal": sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(judged, judged[1:], strict=False)),
+            "cost": cost,
+            "audit": audit,
+            "repaired_sha256": hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest(),
+        }
+    return out
+
+
+def by_conversation(df):
+    rows = rows_of(df)
+    out = {r.pop("conv_id"): r for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def generated(count=300, seed=5):
+    rng = random.Random(seed)
+    texts = ["Hello there.", "What?", "no end", " \n", "", None, "é! ", "So. \t", "\U0001f600", "fin. "]
+    for _ in range(count):
+        conv = rng.choice([None, *range(-3, 30)])
+        yield conv, rng.choice([None, *range(9)]), rng.choice(["system", "user", "user", "assistant", "assistant", None, "", "tool"]), rng.choice(texts)
+
+
+def test_equals_definitions(spark):
+    rows = list(generated())
+    assert by_conversation(R.conversation_audit(frame(spark, rows, SCHEMA))) == plain(rows)
+
+
+def test_whole_table(spark, small_dir):
+    table = spark.read.parquet(f"{small_dir}/conversations.parquet")
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    assert by_conversation(R.conversation_audit(table)) == plain(rows)
+
+
+def test_small_batches_give_the_same(spark, monkeypatch):
+    rows = list(generated(200, 8))
+    monkeypatch.setattr(R, "OUT_ROWS", 3)
+    monkeypatch.setattr(R, "SLICE_BYTES", 1)
+    assert by_conversation(R.conversation_audit(frame(spark, rows, SCHEMA))) == plain(rows)
+
+
+def test_lost_repeated_and_huge(spark):
+    lost = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    rows = [(lost, 0, "user", "gone."), (-1, None, None, None), (-2, 2**62, "user", "word " * 300_000 + "."), (-2, -(2**40), "system", "x.")] + [(-3, 5, "user", "same.")] * 4
+    result = by_conversation(R.conversation_audit(frame(spark, rows, SCHEMA)))
+    assert result == plain(rows)
+    assert result[lost] == {"gaps": 0, "blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "cost": 0, "audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()}
+
+
+def test_empty_table_and_clashing_columns(spark):
+    empty = R.conversation_audit(frame(spark, [], SCHEMA))
+    assert rows_of(empty) == []
+    assert empty.dtypes[0] == ("conv_id", "bigint") and [t for _, t in empty.dtypes[1:]] == ["bigint"] * 6 + ["string"] * 2
+    rows = list(generated(60, 9))
+    clashing = frame(spark, rows, SCHEMA)
+    for name in ("conv", "gone", "blank", "truncated", "again", "digest", "at", "first", "kind", "copies", "fault", "edit", "its_conv"):
+        clashing = clashing.selectExpr("*", f"'{name}' AS {name}")
+    assert by_conversation(R.conversation_audit(clashing)) == plain(rows)
+
+
+def test_repairs_give_the_repaired_rows(spark):
+    rows = [("c", 1, "user", "Hi.", False), ("c", 2, "user", "Still me.", False), ("c", 3, "assistant", "", False), ("d", 1, "system", "Rule.", False), ("d", 2, "user", "Q?", False), ("d", 3, "assistant", "A", False), ("e", 1, "user", "x", True)]
+    edits = rows_of(R.repairs(frame(spark, rows, "conv string, turn long, role string, text string, gone boolean")))
+    got = defaultdict(list)
+    for r in edits:
+        got[r["conv"]].append((r["edit"], r["role"], r["text"], r["fault"]))
+    assert got == {
+        "c": [("K", "user", "Hi.", None), ("R", "assistant", "Still me.", None), ("D", None, None, "blank")],
+        "d": [("K", "system", "Rule.", None), ("K", "user", "Q?", None), ("K", "assistant", "A", "truncated")],
+    }
