@@ -374,6 +374,7 @@ STEPS["account_sums_bounded"] = _account_sums("{} <= as_of_date")
 
 QUERIES: dict[str, Query | str] = {
     "r1_business_metrics": _growth("yoy"),
+    "r1_from_state": _growth("yoy"),
     "r1_by_calendar": _growth("yoy_by_calendar"),
     "r2_partner_usage": Query(
         "totals hour_stats",

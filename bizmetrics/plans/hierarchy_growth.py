@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizmetrics.functions import growth_rate
 from bizmetrics.operators.hierarchy import hierarchy_metrics, prior_period
+from bizmetrics.sinks.state import PeriodState, content_mark
+from bizmetrics.sources.catalog import conform
 
 # Labels of the levels and output names.
 LEVELS = {
@@ -61,11 +63,9 @@ def with_prior_year(metrics: DataFrame, by_calendar: bool = False) -> DataFrame:
     )
 
 
-def hierarchy_growth(
-    sources: Mapping[str, DataFrame], category: str = DEFAULT_CATEGORY, by_calendar: bool = False
-) -> DataFrame:
-    """The report, latest month first."""
-    metrics = with_prior_year(level_metrics(revenue_base(sources, category)), by_calendar)
+def growth_report(metrics: DataFrame, by_calendar: bool = False) -> DataFrame:
+    """The report from monthly metrics, latest month first."""
+    metrics = with_prior_year(metrics, by_calendar)
     growth = [
         growth_rate(F.col(m), F.col(m + "_prior_year"), metrics.schema[m].dataType).alias(name)
         for name, m in GROWTH.items()
@@ -73,3 +73,33 @@ def hierarchy_growth(
     return metrics.select("*", *growth).orderBy(
         F.col("month_end_date").desc(), "aggregation_level", "aggregation_object"
     )
+
+
+def hierarchy_growth(
+    sources: Mapping[str, DataFrame], category: str = DEFAULT_CATEGORY, by_calendar: bool = False
+) -> DataFrame:
+    """The report, latest month first."""
+    return growth_report(level_metrics(revenue_base(sources, category)), by_calendar)
+
+
+def metrics_state(
+    spark: SparkSession, path: str, revenue: str, hierarchy: DataFrame, category: str = DEFAULT_CATEGORY
+) -> PeriodState:
+    """Monthly metrics kept at ``path``, from the directory ``revenue``, which is partitioned by ``month_end_date``.
+
+    A month's metrics depend on its own revenue and on the category's products; when a product changes, all months are made anew.
+    """
+    products = conform(hierarchy, "hierarchy").where(F.col("product_category") == category)
+
+    def compute(rows: DataFrame) -> DataFrame:
+        metrics = level_metrics(revenue_base({"revenue": conform(rows, "revenue"), "hierarchy": products}, category))
+        return metrics.select(*[c for c in metrics.columns if c != "month_end_date"], "month_end_date")
+
+    return PeriodState(spark, path, revenue, "month_end_date", compute, f"{category}|{content_mark(products)}")
+
+
+def growth_from_state(state: PeriodState, by_calendar: bool = False) -> DataFrame:
+    """The report from kept metrics, after bringing them up to date."""
+    state.refresh()
+    metrics = state.rows()
+    return growth_report(metrics.select("month_end_date", *[c for c in metrics.columns if c != "month_end_date"]), by_calendar)

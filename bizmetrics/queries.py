@@ -37,6 +37,7 @@ from bizmetrics.plans import feature_adoption as adoption
 from bizmetrics.plans import hierarchy_growth as growth
 from bizmetrics.plans import model_usage as usage
 from bizmetrics.plans import sales_attainment as sales
+from bizmetrics.sinks import scratch_folder
 from bizmetrics.sources.testdata import (
     ADOPTION_AS_OF,
     CATEGORY,
@@ -101,6 +102,19 @@ def r1_by_calendar(t: TestTables) -> DataFrame:
     return growth.hierarchy_growth(t.sources(), CATEGORY, by_calendar=True)
 
 
+@query
+def r1_from_state(t: TestTables) -> DataFrame:
+    """From metrics kept per month: made of the years up to 1997 and half of the later revenue, and brought up to date when the rest is there."""
+    folder, hierarchy = scratch_folder(t.spark), t.sources()["hierarchy"]
+    early = (F.year("month_end_date") <= 1997) | (F.col("customer_id") % 2 == 0)
+    for rows in (early, ~early):
+        revenue = t.revenue().where(rows).hint("rebalance", "month_end_date")
+        revenue.write.partitionBy("month_end_date").mode("append").parquet(f"{folder}/revenue")
+        state = growth.metrics_state(t.spark, f"{folder}/state", f"{folder}/revenue", hierarchy, CATEGORY)
+        report = growth.growth_from_state(state)
+    return report
+
+
 @query
 def r3_rollup_adoption(t: TestTables) -> DataFrame:
     """With adoption over all plans in the total's rows."""

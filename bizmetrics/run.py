@@ -15,7 +15,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from bizmetrics.plans.feature_adoption import feature_adoption
-from bizmetrics.plans.hierarchy_growth import DEFAULT_CATEGORY, hierarchy_growth
+from bizmetrics.plans.hierarchy_growth import DEFAULT_CATEGORY, growth_from_state, hierarchy_growth, metrics_state
 from bizmetrics.plans.model_usage import MODEL_PREFIXES, model_usage
 from bizmetrics.plans.sales_attainment import DEFAULT_VERTICAL, sales_attainment
 from bizmetrics.session import SETTINGS
@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--parquet", action="append", default=[], metavar="NAME=PATH")
     p.add_argument("--category", default=DEFAULT_CATEGORY)
     p.add_argument("--by-calendar", action="store_true", help="compare with 12 months ago, not 12 rows")
+    p.add_argument("--state", help="directory of kept monthly metrics; hierarchy-growth then recomputes changed months only")
     p.add_argument("--salt-file", help="file that holds the salt of the customer keys")
     p.add_argument("--prefix", action="append", help="models whose names begin so; may be repeated")
     p.add_argument("--rollup-adoption", action="store_true", help="adoption counts for the 'All' row too")
@@ -58,15 +59,28 @@ def sources(spark: SparkSession, options: Options) -> Sources:
     return Sources({**Sources.warehouse_readers(spark, **named), **Sources.parquet_readers(spark, **paths)})
 
 
+def incremental_growth(spark: SparkSession, options: Options) -> DataFrame:
+    paths = dict(pair.split("=", 1) for pair in options.parquet)
+    hierarchy = sources(spark, options)["hierarchy"]
+    state = metrics_state(spark, options.state, paths["revenue"], hierarchy, options.category)
+    return growth_from_state(state, options.by_calendar)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     options = parser().parse_args(argv)
     if options.report == "model-usage" and not options.salt_file:
         raise SystemExit("model-usage needs --salt-file")
+    if options.state and (options.report != "hierarchy-growth" or not any(p.startswith("revenue=") for p in options.parquet)):
+        raise SystemExit("--state is for hierarchy-growth, with --parquet revenue=<directory partitioned by month_end_date>")
     builder = SparkSession.builder.appName(f"bizmetrics {options.report}")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    REPORTS[options.report](sources(spark, options), options).write.parquet(options.out)
+    if options.state:
+        report = incremental_growth(spark, options)
+    else:
+        report = REPORTS[options.report](sources(spark, options), options)
+    report.write.parquet(options.out)
 
 
 if __name__ == "__main__":
