@@ -17,6 +17,7 @@ from bizmetrics.operators.periods import (
     report_date,
     with_bucket_end,
 )
+from bizmetrics.operators.sets import dense_numbers, levels_of, member_sets, set_sizes, trailing_months, united
 from bizmetrics.operators.sums import attach_row, period_sums, row_value
 from bizmetrics.operators.usage import (
     approx_percentiles,
@@ -31,12 +32,15 @@ __all__ = [
     "approx_percentiles",
     "attach_row",
     "bucket_days",
+    "dense_numbers",
     "flags_to_long",
     "hierarchy_metrics",
     "hourly_usage",
     "join_member_counts",
     "join_segments",
+    "levels_of",
     "member_counts",
+    "member_sets",
     "membership_flags",
     "merged_average",
     "metric_rows",
@@ -49,6 +53,9 @@ __all__ = [
     "rollup_distinct",
     "row_value",
     "segment_copies",
+    "set_sizes",
+    "trailing_months",
+    "united",
     "usage_by_bucket",
     "with_bucket_end",
 ]

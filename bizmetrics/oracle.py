@@ -499,6 +499,21 @@ QUERIES: dict[str, Query | str] = {
     "o_count_distinct": """
         SELECT o_orderpriority, COUNT(*) AS n_customers
         FROM (SELECT DISTINCT o_orderpriority, o_custkey FROM orders) GROUP BY o_orderpriority""",
+    "o_distinct_levels": Query(
+        "levels",
+        """SELECT month_end_date, aggregation_level, aggregation_object, num_customers FROM levels
+           WHERE aggregation_level IN ('Product Group', 'Product Category')""",
+    ),
+    "o_distinct_trailing": Query(
+        "base",
+        """SELECT months.month_end_date, level AS aggregation_level, object AS aggregation_object, COUNT(DISTINCT customer_id) AS num_customers
+           FROM (SELECT month_end_date AS month, customer_id, unnest(['Product Group', 'Product Category']) AS level,
+                        unnest([product_group, product_category]) AS object FROM base) AS members
+           JOIN (SELECT last_day(m::DATE) AS month_end_date
+                 FROM (SELECT unnest(generate_series(date_trunc('month', min(month_end_date)), max(month_end_date), INTERVAL 1 MONTH)) AS m FROM base)) AS months
+             ON month <= months.month_end_date AND month > last_day(months.month_end_date - INTERVAL 12 MONTH)
+           GROUP BY ALL""",
+    ),
     "o_conditional_sum": """
         SELECT o_orderpriority,
                SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice::DECIMAL(18,2) ELSE 0 END)::DOUBLE AS finished_price,

@@ -23,14 +23,19 @@ from bizmetrics.functions import (
 from bizmetrics.operators import (
     approx_percentiles,
     attach_row,
+    dense_numbers,
     hourly_usage,
     join_member_counts,
+    levels_of,
+    member_sets,
     membership_flags,
     period_row,
     period_sums,
     prior_period,
     report_date,
     row_value,
+    set_sizes,
+    trailing_months,
     with_bucket_end,
 )
 from bizmetrics.plans import feature_adoption as adoption
@@ -361,6 +366,35 @@ def o_count_distinct(t: TestTables) -> DataFrame:
     return t.read("orders").groupBy("o_orderpriority").agg(F.count_distinct("o_custkey").alias("n_customers"))
 
 
+def _monthly_customers(t: TestTables) -> DataFrame:
+    """The set of customers per month, product group and category, kept in the scratch folder."""
+    folder, base = scratch_folder(t.spark), growth.revenue_base(t.sources(), CATEGORY)
+    numbers = dense_numbers(base, "customer_id", f"{folder}/keys")
+    numbers.write.parquet(f"{folder}/numbers")
+    numbered = base.join(t.spark.read.parquet(f"{folder}/numbers"), "customer_id", "left")
+    member_sets(numbered, ["month_end_date", "product_group", "product_category"]).write.parquet(f"{folder}/sets")
+    return t.spark.read.parquet(f"{folder}/sets")
+
+
+_SET_LEVELS = {label: growth.LEVELS[label] for label in ("Product Group", "Product Category")}
+
+
+@query
+def o_distinct_levels(t: TestTables) -> DataFrame:
+    """Customers per month of groups and categories, the latter as unions of the groups' sets."""
+    sets = levels_of(_monthly_customers(t), ["month_end_date"], _SET_LEVELS)
+    return set_sizes(sets, ["month_end_date", "aggregation_level", "aggregation_object"], "num_customers")
+
+
+@query
+def o_distinct_trailing(t: TestTables) -> DataFrame:
+    """Customers of the twelve months up to each month, as unions of the months' sets: the fact is not read again for a window."""
+    monthly = _monthly_customers(t)
+    last = monthly.agg(F.max("month_end_date").alias("last"))
+    sets = levels_of(trailing_months(monthly, "month_end_date", 12, row_value(last)["last"]), ["month_end_date"], _SET_LEVELS)
+    return set_sizes(sets, ["month_end_date", "aggregation_level", "aggregation_object"], "num_customers")
+
+
 @query
 def o_conditional_sum(t: TestTables) -> DataFrame:
     """Order value per priority, by status and for 2001."""
