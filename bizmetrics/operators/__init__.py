@@ -18,6 +18,7 @@ from bizmetrics.operators.periods import (
     with_bucket_end,
 )
 from bizmetrics.operators.sets import dense_numbers, levels_of, member_sets, set_sizes, trailing_months, united
+from bizmetrics.operators.sketches import merged_sketches, quantile_sketches, rank_error, sketch_percentiles, sketch_size
 from bizmetrics.operators.sums import attach_row, period_sums, row_value
 from bizmetrics.operators.usage import (
     approx_percentiles,
@@ -43,17 +44,22 @@ __all__ = [
     "member_sets",
     "membership_flags",
     "merged_average",
+    "merged_sketches",
     "metric_rows",
     "period_row",
     "period_sums",
     "previous_month_days",
     "prior_period",
+    "quantile_sketches",
+    "rank_error",
     "repeat_rows",
     "report_date",
     "rollup_distinct",
     "row_value",
     "segment_copies",
     "set_sizes",
+    "sketch_percentiles",
+    "sketch_size",
     "trailing_months",
     "united",
     "usage_by_bucket",

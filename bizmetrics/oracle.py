@@ -529,6 +529,14 @@ QUERIES: dict[str, Query | str] = {
         FROM (SELECT o_orderpriority, (o_orderkey % 7 + 1)::DECIMAL(4,0) AS copies,
                      o_totalprice::DECIMAL(18,2)::DECIMAL(24,9) + (o_orderkey % 1000)::DECIMAL(9,0) * 0.000000001::DECIMAL(9,9) AS price
               FROM orders) GROUP BY o_orderpriority""",
+    "s20_model_volumes": Query(
+        "calls",
+        """SELECT week_start AS first_day_of_week, model_name, n AS customer_hours, q[1] AS p20_hourly_call_volume,
+                  q[2] AS p50_hourly_call_volume, q[3] AS p80_hourly_call_volume
+           FROM (SELECT week_start, model_name, COUNT(*) AS n, quantile_disc(calls, [0.2, 0.5, 0.8]) AS q
+                 FROM (SELECT week_start, model_name, account_id, date_trunc('hour', event_timestamp) AS h,
+                              SUM(call_weight_from_sampling)::BIGINT AS calls FROM calls GROUP BY ALL) GROUP BY ALL)""",
+    ),
     "o_approx_quantiles": Query(
         "logs",
         """SELECT model_name, event_date, q[1] AS p20, q[2] AS p50, q[3] AS p80

@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizmetrics.functions import month_label, pseudonym_key
 from bizmetrics.functions.dates import DateLike
 from bizmetrics.operators.periods import bucket_days, previous_month_days, with_bucket_end
+from bizmetrics.operators.sketches import merged_sketches, quantile_sketches, sketch_percentiles, sketch_size
 from bizmetrics.operators.usage import (
     hourly_usage,
     join_segments,
     merged_average,
     usage_by_bucket,
 )
+from bizmetrics.sinks.state import PeriodState
+from bizmetrics.sources.catalog import conform
 
 # Model prefixes, percentile points, constant column, and output names.
 MODEL_PREFIXES = ("partner-a/model-family-x-", "partner-a/model-family-y-")
@@ -157,3 +160,26 @@ def model_usage(
         )
         .orderBy("report_week_start", "customer_uuid")
     )
+
+
+def volume_sketches(spark: SparkSession, path: str, logs: str, prefixes: Sequence[str] = MODEL_PREFIXES) -> PeriodState:
+    """Sketches of customers' hourly volumes per day, model and hour, kept at ``path``; from the directory ``logs``, partitioned by ``event_date``.
+
+    A day is sketched when its files arrive or change, and never read again for a week or a month that it is part of. A customer's hour
+    is taken within a day's log: one whose times lie on two log days counts on both.
+    """
+
+    def compute(rows: DataFrame) -> DataFrame:
+        calls = successful_calls(conform(rows, "logs"), prefixes)
+        volume = {"hourly_api_calls": HOURLY_SUMS["hourly_api_calls"]}
+        hours = hourly_usage(calls, ["event_date", "model_name", "account_id"], F.col("event_timestamp"), volume, [])
+        return quantile_sketches(hours, ["event_date", "model_name", "hour_bucket"], "hourly_api_calls")
+
+    return PeriodState(spark, path, logs, "event_date", compute, "|".join(prefixes))
+
+
+def model_volumes(sketches: DataFrame, days: DataFrame) -> DataFrame:
+    """Percentiles of customers' hourly volumes per week and model, over all customers and hours, from kept sketches."""
+    daily = sketches.join(days, sketches["event_date"] == days["date"])
+    weekly = merged_sketches(daily, ["first_day_of_week", "model_name"])
+    return weekly.select("first_day_of_week", "model_name", sketch_size().alias("customer_hours"), *sketch_percentiles(PERCENTILE_POINTS))

@@ -243,6 +243,18 @@ def s19_vertical_targets(t: TestTables) -> DataFrame:
     return sales.vertical_targets(sources["targets"], refs, SALES_AS_OF, VERTICAL)
 
 
+@query
+def s20_model_volumes(t: TestTables) -> DataFrame:
+    """Percentiles per week and model from sketches per hour, kept day by day: half of the days' logs first, then the others and more rows for some."""
+    folder, logs = scratch_folder(t.spark), t.logs()
+    early = (F.dayofmonth("event_date") <= 15) & (F.col("input_tokens") % 7 != 0)
+    for rows in (early, ~early):
+        logs.where(rows).hint("rebalance", "event_date").write.partitionBy("event_date").mode("append").parquet(f"{folder}/logs")
+        state = usage.volume_sketches(t.spark, f"{folder}/state", f"{folder}/logs")
+        state.refresh()
+    return usage.model_volumes(state.rows(), usage.eligible_dates(t.event_calendar(), USAGE_AS_OF))
+
+
 # --- joins ---------------------------------------------------------------------------------
 
 

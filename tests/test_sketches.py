@@ -1,0 +1,87 @@
+"""Sketches: within the stated rank error on skewed, constant and sorted values, however they are merged and kept."""
+
+import datetime
+
+import numpy as np
+import pytest
+from builders import table
+from pyspark.sql import functions as F
+
+from bizmetrics.operators import merged_sketches, quantile_sketches, rank_error, sketch_percentiles, sketch_size
+from bizmetrics.plans import model_usage as usage
+
+POINTS = {"p0": 0, "p1": 1, "p20": 20, "p50": 50, "p80": 80, "p99": 99, "p100": 100}
+N = 120_000
+VALUES = {
+    "constant": lambda i: np.full(len(i), 7),
+    "sorted": lambda i: i,
+    "skewed": lambda i: (1e9 / (1 + i % 9973) ** 1.5).astype(np.int64),
+    "two values": lambda i: np.where(i % 10 < 3, -5, 2**62),
+    "hot": lambda i: np.where(i % 3 == 0, 1000, i * 7919 % 100_003),
+}
+
+
+def off(values, found, percent):
+    """By how much of the size the rank of ``found`` misses the wanted one."""
+    below, upto = (values < found).mean(), (values <= found).mean()
+    assert upto > below, "not one of the values"
+    return max(0.0, below - percent / 100, percent / 100 - upto)
+
+
+@pytest.mark.parametrize("name", list(VALUES))
+@pytest.mark.parametrize("order", ["few", "many", "steps", "backwards"])
+def test_rank_error(spark, name, order):
+    k = 256
+    i = np.arange(N, dtype=np.int64)
+    values = VALUES[name](i).astype(np.int64)
+    rows = spark.createDataFrame(list(zip(i.tolist(), values.tolist(), strict=True)), "i bigint, v bigint").repartition(16 if order == "many" else 3, "i")
+    part = (F.col("i") % 37 if order != "backwards" else F.lit(N) - F.col("i")).alias("part")
+    sketches = quantile_sketches(rows.select((part % 37).alias("part"), "v"), ["part"], "v", k)
+    if order == "steps":
+        sketches = merged_sketches(sketches.select((F.col("part") % 5).alias("part"), "sketch"), ["part"], k=k)
+    row = merged_sketches(sketches, [], k=k).select(sketch_size().alias("n"), *sketch_percentiles(POINTS)).first()
+    assert row["n"] == N
+    worst = max(off(values, row[p], percent) for p, percent in POINTS.items())
+    assert worst <= rank_error(k) < 0.016
+
+
+def test_small_groups_are_exact(spark):
+    rows = spark.range(4_000).select((F.col("id") % 4).alias("g"), (F.col("id") * 7919 % 1009).alias("v"))
+    found = {r["g"]: r for r in quantile_sketches(rows, ["g"], "v").select("g", *sketch_percentiles(POINTS)).collect()}
+    for g in range(4):
+        values = np.sort([i * 7919 % 1009 for i in range(g, 4_000, 4)])
+        for name, percent in POINTS.items():
+            assert found[g][name] == values[max(0, -(-percent * 1000 // 100) - 1)]
+
+
+def test_nulls_doubles_and_empty_groups(spark):
+    rows = spark.createDataFrame([("a", 1.5), ("a", None), ("a", 2.5), ("b", None), ("c", float("nan")), (None, -0.5)], "g string, v double")
+    sketches = quantile_sketches(rows, ["g"], "v")
+    found = {r["g"]: r for r in sketches.select("g", sketch_size("double").alias("n"), *sketch_percentiles({"p50": 50, "p100": 100}, "double")).collect()}
+    assert (found["a"]["n"], found["a"]["p50"], found["a"]["p100"]) == (2, 1.5, 2.5)
+    assert (found["b"]["n"], found["b"]["p50"]) == (0, None) and found[None]["p50"] == -0.5
+    assert quantile_sketches(rows.limit(0), ["g"], "v").collect() == []
+
+
+def test_a_later_run_merges_what_is_kept(spark, tmp_path):
+    """Days that are there already are not read again, and the week's percentiles take them in."""
+
+    def logs(day, calls):
+        at = datetime.datetime(2024, 1, day, 5)
+        row = (at, at.date(), "partner-a/model-family-x-1", 0)
+        return table(spark, "logs", [(a, *row, c, 1, 1, None, None) for a, c in enumerate(calls)])
+
+    def put(df):
+        df.coalesce(1).write.partitionBy("event_date").mode("append").parquet(str(tmp_path / "logs"))
+
+    days = spark.createDataFrame([(datetime.date(2024, 1, d), datetime.date(2024, 1, 1)) for d in range(1, 8)], "date date, first_day_of_week date")
+    state = usage.volume_sketches(spark, str(tmp_path / "state"), str(tmp_path / "logs"))
+    put(logs(1, [1, 2, 3]))
+    put(logs(2, [10]))
+    assert len(state.refresh()) == 2
+    kept = {f: f.stat().st_mtime_ns for f in (tmp_path / "state").rglob("*.parquet")}
+    put(logs(3, [100, 200]))
+    assert state.refresh() == [datetime.date(2024, 1, 3)]
+    assert all(f.stat().st_mtime_ns == at for f, at in kept.items())
+    (row,) = usage.model_volumes(state.rows(), days).collect()
+    assert (row["customer_hours"], row["p20_hourly_call_volume"], row["p50_hourly_call_volume"], row["p80_hourly_call_volume"]) == (6, 2, 3, 100)
