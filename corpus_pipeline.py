@@ -4,6 +4,9 @@ Each stage is a function of (spark, docs, sf_dir) over all that its predecessor
 Parquet in the shared folder and reads them again, so a lost executor costs a stage's tasks at most.
 
 The stages that compare documents judge each text by itself, also where it has no id or shares one with other texts.
+
+Edge cases: null and empty texts stay; of repeated rows one stays; columns may have any name, and all but the last stage return them as they are; no column
+keeps an unmasked text but by the input's own choice; ``n_chars`` may be missing; texts may have any length; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,56 +32,70 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.select(*(F.col("_text").alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Whole rows in one column, so that no name of theirs can meet one of a stage's own."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def _text_key(text: Column) -> Column:
     """What tells texts apart; null for no text."""
     return F.unhex(F.sha2(text.cast("string").cast("binary"), 256))
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """``docs`` with a number per document as ``_key``, and whether any isn't its id.
+    """Rows packed as ``row``, with a number per document as ``key``, and whether any isn't its id.
 
     The id is the key, except where it is null or different texts share it; there, it is a hash of both.
     """
-    h = F.coalesce(_text_key(F.col("text")), F.lit(b""))
-    texts = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min(h).alias("_low"), F.max(h).alias("_high"))
-    shared = stored(texts.where("_low != _high").select("_id"), "shared")
-    if not shared.limit(1).count() and not docs.where("doc_id is null").limit(1).count():
-        return docs.withColumn("_key", F.col("doc_id").cast("long")), False
-    key = F.when(F.col("doc_id").isNull() | F.col("_id").isNotNull(), F.xxhash64("doc_id", h)).otherwise(F.col("doc_id").cast("long"))
-    return docs.join(shared, docs["doc_id"] == shared["_id"], "left").withColumn("_key", key).drop("_id"), True
+    rows = _packed(docs).select("row", F.col("row.doc_id").alias("id"))
+    h = F.coalesce(_text_key(F.col("row.text")), F.lit(b""))
+    texts = rows.where("id is not null").groupBy("id").agg(F.min(h).alias("low"), F.max(h).alias("high"))
+    shared = stored(texts.where("low != high").select(F.col("id").alias("shared")), "shared")
+    if not shared.limit(1).count() and not rows.where("id is null").limit(1).count():
+        return rows.select("row", F.col("id").cast("long").alias("key")), False
+    key = F.when(F.col("id").isNull() | F.col("shared").isNotNull(), F.xxhash64("id", h)).otherwise(F.col("id").cast("long"))
+    return rows.join(shared, rows["id"] == shared["shared"], "left").select("row", key.alias("key")), True
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group at five words and 80 percent; of repeated rows, one.
+    """The document with the smallest id of each group at five words and 80 percent; of repeated rows, the first by their columns.
 
     Rows without an id go if their group has a row with one; if not, nothing names the one to keep, so all stay.
     """
     keyed, mixed = _keyed(docs)
-    found = stored(near_duplicates.near_duplicates(keyed, shingle=5, percent=80, id_column="_key").select("_key", "component_id", "kept"), "groups")
-    gone = found.where("not kept").select("_key").distinct()
+    found = near_duplicates.near_duplicates(keyed.select("key", F.col("row.text").alias("text")), shingle=5, percent=80, id_column="key")
+    found = stored(found.select("key", "component_id", "kept"), "groups")
+    gone = found.where("not kept").select("key").distinct()
     if mixed:
-        members = stored(found.select("_key", "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key"), "members")
-        first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")).alias("_first"))
-        gone = members.join(first, "component_id").where("not _first.unnamed and _key != _first._key").select("_key").distinct()
-    kept = keyed.join(gone, "_key", "left_anti")
-    if found.groupBy("_key").count().where("count > 1").limit(1).count():
-        kept = kept.where("doc_id is not null").dropDuplicates(["_key"]).unionByName(kept.where("doc_id is null"))
-    return kept.select(docs.columns)
+        ids = keyed.select("key", F.col("row.doc_id").alias("id")).distinct()
+        members = stored(found.select("key", "component_id").distinct().join(ids, "key"), "members")
+        first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("first"))
+        gone = members.join(first, "component_id").where("not first.unnamed and key != first.key").select("key").distinct()
+    kept = keyed.join(gone, "key", "left_anti")
+    repeated = stored(found.groupBy("key").count().where("count > 1").select("key"), "repeated")
+    if repeated.limit(1).count():
+        several = kept.where("row.doc_id is not null").join(repeated, "key", "left_semi")
+        one = several.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row", "key")
+        alone = kept.join(repeated, "key", "left_anti").unionByName(kept.where("row.doc_id is null").join(repeated, "key", "left_semi"))
+        kept = alone.unionByName(one)
+    return kept.select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item. The text alone decides, whatever its id."""
-    keyed = docs.withColumn("_key", _text_key(F.col("text")))
-    found = decontamination.decontaminate(keyed, _table(spark, sf_dir, "benchmark"), id_column="_key")
-    hit = stored(found.where("contaminated").select("_key").distinct(), "contaminated")
-    return keyed.join(hit, "_key", "left_anti").select(docs.columns)
+    keyed = _packed(docs).withColumn("key", _text_key(F.col("row.text")))
+    found = decontamination.decontaminate(keyed.select("key", F.col("row.text").alias("text")), _table(spark, sf_dir, "benchmark"), id_column="key")
+    hit = stored(found.where("contaminated").select("key").distinct(), "contaminated")
+    return keyed.join(hit, "key", "left_anti").select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets masked, and their number of characters as it is then."""
-    masked = secret_scan.redact(docs.withColumn("_before", F.col("text")))
-    n_chars = F.when(F.col("text") != F.col("_before"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return masked.withColumn("n_chars", n_chars).select(docs.columns)
+    """Documents with their secrets masked and, where they have ``n_chars``, their number of characters as it is then."""
+    masked = secret_scan.redact(_packed(docs).withColumn("text", F.col("row.text")))
+    own = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("text") != F.col("row.text"), F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
+    return masked.select(*(column.alias(name) for name, column in own.items()))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
