@@ -136,15 +136,30 @@ def test_small_payloads_are_responses(spark):
     assert {r["page_id"]: r["refers_to"] for r in rows_of(W.read(manifest))} == {1: None, 2: None, 3: None, 4: 3}
 
 
+def flipped(data, at):
+    return data[:at] + bytes([data[at] ^ 0xFF]) + data[at + 1 :]
+
+
+def test_each_byte_of_a_member():
+    """Bytes 4 to 9 of a member (time, the packer's flags, system) are under no checksum and cost nothing; any other costs the one record."""
+    parts = archive(5)
+    data, start = b"".join(parts), len(parts[0]) + len(parts[1])
+    for at in range(len(parts[2])):
+        found = list(W.salvage(Source(flipped(data, start + at))))
+        free = 4 <= at <= 9
+        assert names(found) == [f"<urn:page:{i}>" for i in (range(5) if free else (0, 1, 3, 4))]
+        assert sum(isinstance(f, W.Gap) for f in found) == (0 if free else 1)
+
+
 def test_damaged_archive_through_spark(spark):
     manifest = W.write(pages(spark, [(i, "u", f"page {i}" * 50) for i in range(40)]).coalesce(1), scratch_dir(spark))
     (row,) = rows_of(manifest)
     files, path = file_system(row["path"])
     with files.open_input_file(path) as source:
-        data = bytearray(source.read())
-    data[len(data) // 2] ^= 0xFF
+        data = source.read()
+    hurt = list(W.salvage(Source(data)))[20]
     with files.open_output_stream(path, compression=None) as sink:
-        sink.write(bytes(data))
+        sink.write(flipped(data, (hurt.start + hurt.end) // 2))  # in the member's packed data
     found = rows_of(W.read(manifest, payloads=True))
     assert sum(r["gap"] is not None for r in found) == 1
     assert sum(r["gap"] is None and r["payload"] == (f"page {r['page_id']}" * 50).encode() for r in found) == 39
