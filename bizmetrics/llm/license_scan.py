@@ -117,7 +117,7 @@ NOTICES = (
     Rule("proprietary", r"may\s+not\s+be\s+(?:copied|reproduced|redistributed)\s+without", ("without",), 15, 0.7),
     Rule("reserved", r"\ball\s+rights\s+(?:are\s+)?reserved\b", ("reserved",), 10, 0.7),
     Rule("reserved", r"\bsome\s+rights\s+reserved\b", ("reserved",), 10, 0.5),
-    Rule("copyright", r"(?:copyright|\(c\)|©)\s*(?:\(c\)|©)?\s*(?:19|20)\d\d", ("copyright", "(c)", "©"), 5, 0.4),
+    Rule("copyright", r"(?:copyright|\(c\)|©)\s*(?:(?:\(c\)|©)\s*)?(?:19|20)\d\d", ("copyright", "(c)", "©"), 5, 0.4),
     Rule("license-file", r"\bsee\s+(?:the\s+)?(?:accompanying\s+)?licen[sc]e(?:\.txt|\.md)?\s+(?:file\s+)?for\s+(?:details|the\s+full)", ("licen",), 5, 0.3),
     Rule("warranty", r"without\s+warrant(?:y|ies)\s+(?:or\s+conditions\s+)?of\s+any\s+kind", ("warrant",), 5, 0.3),
     Rule("warranty", r"\bprovided\s+\"?as\s+is\"?,?\s+without\s+warranty", ("warrant",), 5, 0.3),

@@ -92,3 +92,39 @@ def test_extra_columns_are_kept(spark, small_dir):
         docs = stored(stage(spark, docs, small_dir))
     (row,) = rows_of(docs)
     assert row["id"] == 7 and row["words"] == "a" and secret_scan.MASK in row["text"]
+
+
+OWN_NAMES = ("_before", "_key", "_id", "_rest", "_text", "_low", "_high", "_first", "row", "key", "id", "shared", "low", "first", "component_id", "kept")
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark, small_dir):
+    secret = "x token = 'abcdefgh' y"
+    docs = documents(spark, {1: secret, 2: text_of(1), 3: text_of(1), 4: None}).unionByName(documents(spark, {2: text_of(5), None: "no id"}))
+    for name in OWN_NAMES:
+        docs = docs.selectExpr("*", f"concat('{name}', doc_id) AS {name}")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, docs, small_dir))
+        assert after.columns == docs.columns
+        docs = after
+    rows = rows_of(docs)
+    assert sorted((r["doc_id"] or 0 for r in rows)) == [0, 1, 2, 2, 4]
+    for r in rows:
+        assert all(r[name] == (None if r["doc_id"] is None else f"{name}{r['doc_id']}") for name in OWN_NAMES)
+        assert not any("abcdefgh" in str(value) for value in r.values())
+
+
+def test_without_a_number_of_characters(spark, small_dir):
+    docs = documents(spark, {1: "x token = 'abcdefgh' y"}).select("text", "doc_id")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, small_dir))
+    (row,) = rows_of(docs)
+    assert docs.columns == ["text", "doc_id"] and secret_scan.MASK in row["text"]
+
+
+def test_of_repeated_rows_the_first_stays(spark, small_dir):
+    rows = [(1, "same words here", "en", lang, 1) for lang in ("c", "a", None, "b")]
+    for order in (rows, rows[::-1]):
+        kept = rows_of(corpus_pipeline.drop_near_duplicates(spark, frame(spark, order).repartition(3), small_dir))
+        assert [r["source"] for r in kept] == [None] or [r["source"] for r in kept] == ["a"]
+    once = {str(rows_of(corpus_pipeline.drop_near_duplicates(spark, frame(spark, order).repartition(2), small_dir))) for order in (rows, rows[::-1], rows[1:] + rows[:1])}
+    assert len(once) == 1
