@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -25,10 +27,12 @@ ALNUM_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in bytes(
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is absent (a local session) is it a temporary folder of this machine.
+    Only where that setting is absent in a local session is it a temporary folder of this machine; on a cluster its absence is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         if "dir" not in _OWN or not os.path.isdir(_OWN["dir"]):
             _OWN["dir"] = tempfile.mkdtemp(prefix="bizmetrics-")
         base = "file://" + _OWN["dir"]
@@ -56,6 +60,30 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches; at its end, memory that it no longer uses goes back to the system.
+
+    Workers go on to other tasks, and what one operator needed at its height would else stay with them.
+    """
+
+    @wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def file_system(uri: str):
     """The file system of a URI, and the path in it; for code in tasks."""
     from pyarrow import fs

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizmetrics.llm.common import mix64, ship_package, slices, utf8
+from bizmetrics.llm.common import give_back, mix64, ship_package, slices, utf8
 from bizmetrics.llm.token_blocks import _ranges
 
 SAMPLES = 2
@@ -41,7 +41,7 @@ POWER = 0.5
 BEYOND = 45.0
 SPACE = "▁"
 SLICE_BYTES = 700_000
-KEPT_CHARACTERS = 300_000  # of different segments; what a task keeps of lattices grows to some 30 MB
+KEPT_CHARACTERS = 300_000  # of different segments; what a task keeps of lattices grows to some 30 MB, until its end
 #: Runs of letters or of other characters, with the spaces before them.
 SEGMENT = re.compile(f"{SPACE}*(?:[^\\W\\d_¹²³¼½¾]+|(?:[^\\w{SPACE}]|[\\d_¹²³¼½¾])+|$)")
 _LOADED: dict[tuple[str, float], Model] = {}
@@ -572,6 +572,7 @@ def sample(texts: DataFrame, model: str, k: int = SAMPLES, salt: int = 0, power:
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(columns, names=names)
         pieces.lattice = None  # the worker may go on to other work
+        give_back()
 
     schema = f"id {kind}, {SCHEMA}" + ", ids array<int>" * ids
     return given.mapInArrow(run, schema).withColumnRenamed("id", id_column)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bizmetrics.llm.common import ship_package, stored
+from bizmetrics.llm.common import give_back, ship_package, slices, stored, tidy
 
 SAMPLE = 12_000
 FOLDS = 3
@@ -41,7 +41,10 @@ THRESHOLD = 0.5
 #: Lengths of word beginnings that are features too: inflected and compound languages share stems, not words.
 BEGINNINGS = (4, 5, 6, 7)
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[!#$%&*|<>]+")
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
+#: Features that a step of the fit handles at a time.
+PART = 500_000
+SLICE_BYTES = 2_000_000
 
 #: The chain over the columns of ``labels``: category, and the value that stands for it.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
@@ -78,19 +81,40 @@ def words_of(text: str | None) -> set[str]:
     return set(TOKEN.findall(text.lower())) if text else set()
 
 
+def _parts(rows: list[np.ndarray], counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows that have features, in parts of about ``PART`` features: their places, features, where each row's begin, and how many it has.
+
+    A step's arrays are those of a part, whatever the sample's size.
+    """
+    some = np.flatnonzero(counts)
+    out = []
+    for own in np.split(some, np.searchsorted(np.cumsum(counts[some]), np.arange(PART, counts.sum(), PART))):
+        if len(own):
+            many = counts[own]
+            out.append((own, np.concatenate([rows[i] for i in own]).astype(np.int32), np.cumsum(many) - many, many))
+    return out
+
+
 def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray, features: int, penalty: float, iterations: int = ITERATIONS) -> np.ndarray:
     """Weights of the features, the extra columns and the bias, by accelerated proximal steps.
 
     Each coordinate has a step of its own: for binary rows, the squares of a sum are at most the row's size times the sum of squares.
     """
     counts = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.concatenate(rows).astype(np.intp) if len(rows) else np.empty(0, np.intp)
     # Dense columns: the extra ones and the bias. A row without features has no slot for a sum, so it gets none.
     dense = np.hstack([extra, np.ones((len(rows), 1))])
-    some = np.flatnonzero(counts)
-    starts, n = (np.cumsum(counts) - counts)[some], len(rows)
+    n = len(rows)
+    parts = _parts(rows, counts)
+
+    def spread(of_row: np.ndarray) -> np.ndarray:
+        """A row's value added to each of its features."""
+        total = np.zeros(features)
+        for some, flat, _, many in parts:
+            total += np.bincount(flat, weights=np.repeat(of_row[some], many), minlength=features)
+        return total
+
     sizes = (counts + dense.shape[1]).astype(np.float64)
-    bound = np.concatenate([np.bincount(flat, weights=np.repeat(sizes, counts), minlength=features), (dense**2 * sizes[:, None]).sum(axis=0)])
+    bound = np.concatenate([spread(sizes), (dense**2 * sizes[:, None]).sum(axis=0)])
     step = 1.0 / np.maximum(bound / (4 * n), 1e-12)
     shrink = np.full(features + dense.shape[1], penalty)
     shrink[-1] = 0.0
@@ -98,10 +122,10 @@ def fit(rows: list[np.ndarray], extra: np.ndarray, labels: np.ndarray, features:
     pace = 1.0
     for _ in range(iterations):
         margin = dense @ look[features:]
-        if len(some):
+        for some, flat, starts, _ in parts:
             margin[some] += np.add.reduceat(look[flat], starts)
         error = _sigmoid(margin) - labels
-        slope = np.concatenate([np.bincount(flat, weights=np.repeat(error, counts), minlength=features), dense.T @ error]) / n
+        slope = np.concatenate([spread(error), dense.T @ error]) / n
         moved = look - step * slope
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * shrink, 0.0)
         if float(np.abs(new - weights).max()) < TOLERANCE:
@@ -133,7 +157,7 @@ def _vocabulary(rows: DataFrame) -> list[str]:
             for text in batch.column("text"):
                 yield pa.RecordBatch.from_arrays([pa.array(list({form for word in words_of(text.as_py()) for form in forms(word)}), pa.string())], names=["feature"])
 
-    counts = rows.select("text").mapInArrow(run, "feature string").groupBy("feature").count().where(F.col("count") >= MIN_DOCUMENTS)
+    counts = rows.select("text").mapInArrow(tidy(run), "feature string").groupBy("feature").count().where(F.col("count") >= MIN_DOCUMENTS)
     return [row["feature"] for row in counts.orderBy(F.desc("count"), "feature").limit(VOCABULARY).collect()]
 
 
@@ -154,6 +178,8 @@ def _fitter(place: int, name: str, earlier: list[dict[int, np.ndarray]], size: i
         y = table.column(f"is_{name}").to_numpy()
         weights = fit(features, extra, y, size, penalty) if 0 < y.sum() < len(y) else constant(y.mean(), size + place + 1)
         used = np.flatnonzero(weights)
+        del features, extra
+        give_back()
         return pa.table({"model": pa.array(np.full(len(used), model), pa.int32()), "feature": pa.array(used, pa.int32()), "weight": pa.array(weights[used])})
 
     return fit_model
@@ -171,11 +197,12 @@ def train(texts: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: in
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = numbers.value
         for batch in batches:
-            found = [sorted({known[form] for word in words_of(t.as_py()) for form in forms(word) if form in known}) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("fold"), *(batch.column(f"is_{n}") for n in names), pa.array(found, pa.list_(pa.int32()))], names=["fold", *(f"is_{n}" for n in names), "features"])
+            for part in slices(batch, "text", SLICE_BYTES):
+                found = [sorted({known[form] for word in words_of(t.as_py()) for form in forms(word) if form in known}) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("fold"), *(part.column(f"is_{n}") for n in names), pa.array(found, pa.list_(pa.int32()))], names=["fold", *(f"is_{n}" for n in names), "features"])
 
     schema = "fold int, " + ", ".join(f"is_{n} double" for n in names) + ", features array<int>"
-    ready = stored(rows.select("text", "fold", *(f"is_{n}" for n in names)).mapInArrow(featured, schema), "features")
+    ready = stored(rows.select("text", "fold", *(f"is_{n}" for n in names)).mapInArrow(tidy(featured), schema), "features")
     size = len(vocabulary)
     fitted: list[dict[int, np.ndarray]] = []  # per category, the models by fold that they have not seen; FOLDS: the final one
     for place, name in enumerate(names):
@@ -189,6 +216,7 @@ def train(texts: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: in
         for row in weights:
             found[row["model"]][row["feature"]] = row["weight"]
         fitted.append(found)
+    numbers.destroy()  # the features are stored
     final = [found[FOLDS] for found in fitted]
     return Chain(
         names,
@@ -220,11 +248,11 @@ def score(texts: DataFrame, chain: Chain, id_column: str = "doc_id", text_column
         every = {f: i for i, f in enumerate(sorted(set().union(*own.weights)))}
         weights = np.array([[w.get(f, 0.0) for w in own.weights] for f in every]).reshape(len(every), len(own.weights))
         cache: dict[str, tuple[int, ...]] = {}
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch, "_text", SLICE_BYTES)):
             if len(cache) > CACHED_WORDS:
                 cache.clear()
             rows = []
-            for text in batch.column("_text"):
+            for text in part.column("_text"):
                 found: set[int] = set()
                 for word in words_of(text.as_py()):
                     held = cache.get(word)
@@ -234,10 +262,11 @@ def score(texts: DataFrame, chain: Chain, id_column: str = "doc_id", text_column
                         found.update(held)
                 rows.append(own.probabilities(weights[sorted(found)].sum(axis=0).tolist()))
             columns = np.array(rows).reshape(len(rows), len(own.categories))
-            names = [n for n in batch.schema.names if with_text or n != "_text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c) for c in columns.T.copy())], names=[*names, *(f"p_{n}" for n in own.categories)])
+            names = [n for n in part.schema.names if with_text or n != "_text"]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *(pa.array(c) for c in columns.T.copy())], names=[*names, *(f"p_{n}" for n in own.categories)])
+        cache.clear()
 
-    return given.mapInArrow(run, out)
+    return given.mapInArrow(tidy(run), out)
 
 
 def document_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
