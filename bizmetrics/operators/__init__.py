@@ -9,7 +9,7 @@ from bizmetrics.operators.adoption import (
     repeat_rows,
     rollup_distinct,
 )
-from bizmetrics.operators.hierarchy import hierarchy_metrics, prior_period
+from bizmetrics.operators.hierarchy import hierarchy_metrics, month_spine, prior_period
 from bizmetrics.operators.periods import (
     bucket_days,
     period_row,
@@ -46,6 +46,7 @@ __all__ = [
     "merged_average",
     "merged_sketches",
     "metric_rows",
+    "month_spine",
     "period_row",
     "period_sums",
     "previous_month_days",

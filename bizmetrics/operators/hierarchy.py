@@ -68,3 +68,20 @@ def prior_period(
     else:
         prior = [F.lag(m, periods).over(in_series.orderBy(time)).alias(m + suffix) for m in measures]
     return df.select("*", *prior)
+
+
+def month_spine(df: DataFrame, series: Sequence[str], month_end: str) -> DataFrame:
+    """Every month of each series from its first to its last, with the rows of ``df`` where it has any and NULLs where not.
+
+    On these rows an offset of rows is one of months, so that ``prior_period`` gives the same by rows and by calendar. The months are
+    made per series from two dates, combined in the tasks; a month that ``df`` has twice stays twice. Month ends must be the last days of months; rows
+    without a month are left out.
+    """
+    ends = df.groupBy(*series).agg(F.min(month_end).alias("_first"), F.max(month_end).alias("_last"))
+    starts = F.sequence(F.trunc("_first", "month"), F.trunc("_last", "month"), F.expr("interval 1 month"))
+    months = ends.where(F.col("_first").isNotNull()).select(*series, F.explode(starts).alias("_month")).select(*series, F.last_day("_month").alias(month_end))
+    renamed = df.select(*[F.col(c).alias(f"_{c}") if c in (*series, month_end) else F.col(c) for c in df.columns])
+    same = F.col(month_end) == F.col(f"_{month_end}")
+    for column in series:
+        same = same & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    return months.join(renamed, same, "left").select(*df.columns)

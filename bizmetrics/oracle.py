@@ -499,6 +499,16 @@ QUERIES: dict[str, Query | str] = {
     "o_count_distinct": """
         SELECT o_orderpriority, COUNT(*) AS n_customers
         FROM (SELECT DISTINCT o_orderpriority, o_custkey FROM orders) GROUP BY o_orderpriority""",
+    "o_lag_spine": Query(
+        "base",
+        """SELECT m.product_name, m.month_end_date, now.acv::DOUBLE AS total_acv, ago.acv::DOUBLE AS total_acv_3_months_ago
+           FROM (SELECT product_name, last_day(unnest(generate_series(date_trunc('month', min(month_end_date)), max(month_end_date), INTERVAL 1 MONTH))::DATE) AS month_end_date
+                 FROM base GROUP BY product_name) AS m
+           LEFT JOIN (SELECT product_name, month_end_date, SUM(acv) AS acv FROM base GROUP BY ALL) AS now
+             ON now.product_name = m.product_name AND now.month_end_date = m.month_end_date
+           LEFT JOIN (SELECT product_name, month_end_date, SUM(acv) AS acv FROM base GROUP BY ALL) AS ago
+             ON ago.product_name = m.product_name AND ago.month_end_date = last_day(m.month_end_date - INTERVAL 3 MONTH)""",
+    ),
     "o_distinct_levels": Query(
         "levels",
         """SELECT month_end_date, aggregation_level, aggregation_object, num_customers FROM levels

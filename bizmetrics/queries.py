@@ -29,6 +29,7 @@ from bizmetrics.operators import (
     levels_of,
     member_sets,
     membership_flags,
+    month_spine,
     period_row,
     period_sums,
     prior_period,
@@ -470,6 +471,18 @@ def o_distinct_nested_field(t: TestTables) -> DataFrame:
 # --- window, union, subqueries, predicates -------------------------------------------------
 
 
+@query
+def o_lag_spine(t: TestTables) -> DataFrame:
+    """Monthly revenue per product and three months earlier, with a row for every month between a product's first and last."""
+    monthly = (
+        growth.revenue_base(t.sources(), CATEGORY)
+        .groupBy("product_name", "month_end_date")
+        .agg(F.sum("acv").alias("total_acv"))
+    )
+    spine = month_spine(monthly, ["product_name"], "month_end_date")
+    return prior_period(spine, ["product_name"], "month_end_date", ["total_acv"], periods=3, suffix="_3_months_ago")
+
+
 @query
 def o_lag_12(t: TestTables) -> DataFrame:
     """Monthly revenue per product group and 12 rows earlier."""

@@ -2,6 +2,7 @@ import pytest
 from builders import as_dicts, day, money, table
 from pyspark.sql import functions as F
 
+from bizmetrics.operators import month_spine, prior_period
 from bizmetrics.plans import hierarchy_growth as growth
 from bizmetrics.queries import QUERIES
 
@@ -171,3 +172,20 @@ def test_one_fan_out_equals_grouping_sets(spark, small_dir):
     }
     assert ours == expected
     assert len(ours) == len(rows)
+
+
+def test_on_a_spine_rows_and_calendar_agree(spark):
+    rows = [("a", "2023-11-30", 1), ("a", "2024-02-29", 2), ("a", "2024-03-31", 4), (None, "2024-01-31", 8), (None, "2024-03-31", 16), ("b", "2024-05-31", 32)]
+    df = spark.createDataFrame([(o, day(m), v) for o, m, v in rows], "obj string, month date, v int")
+    spine = month_spine(df, ["obj"], "month")
+    by_rows, by_calendar = (
+        sorted(map(str, prior_period(spine, ["obj"], "month", ["v"], 2, by_calendar=c).collect())) for c in (False, True)
+    )
+    assert by_rows == by_calendar
+    found = {(r["obj"], str(r["month"])): (r["v"], r["v_prior_year"]) for r in prior_period(spine, ["obj"], "month", ["v"], 2).collect()}
+    assert found == {
+        ("a", "2023-11-30"): (1, None), ("a", "2023-12-31"): (None, None), ("a", "2024-01-31"): (None, 1), ("a", "2024-02-29"): (2, None), ("a", "2024-03-31"): (4, None),
+        (None, "2024-01-31"): (8, None), (None, "2024-02-29"): (None, None), (None, "2024-03-31"): (16, 8),
+        ("b", "2024-05-31"): (32, None),
+    }
+    assert month_spine(df.limit(0), ["obj"], "month").collect() == []
