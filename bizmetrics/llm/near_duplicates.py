@@ -8,8 +8,10 @@ r"""MinHash near-duplicates by a multi-index Hamming join, confirmed on full set
 3. **Buckets.** Keys of a single class are dropped; keys with the same classes are one bucket. In a bucket the
    distances of signatures are computed, and what is emitted is not every pair but a forest with the same components. Buckets above ``SIGNATURE_BLOCK`` rows are
    cut into blocks, and every pair of blocks is a group of its own, so that the hottest bucket spreads over many tasks and no pair is left out.
-4. **Confirmation.** Pairs within the distance lie in one component of these forests. In each, again in pairs of blocks, all pairs are compared on
-   their full sets, and a forest of the links is emitted. Its components are the result.
+4. **Confirmation.** Pairs within the distance lie in one component of these forests. A component of up to ``SET_BLOCK`` classes is one group in which all
+   pairs are compared on their full sets. In a larger one every class is first compared with one of them, in rounds, which joins near copies at one
+   comparison each; then only blocks of different parts are compared in full, in pairs. So a group of n near copies is exchanged some two times, and
+   n / ``SET_BLOCK`` times only where its members are near each other's signatures and yet not similar. The links' components are the result.
 
 Nothing is capped, no bucket or candidate is left out, and no group, component or fingerprint reaches the driver. Every step is written to the shared folder.
 
@@ -22,14 +24,15 @@ id are one document; a null id names no component, and its row is kept if no oth
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bizmetrics.llm.common import hashed, mix64, ship_package, slices, spaced_words, stored
 from bizmetrics.llm.components import by_group, connected_components, forest, in_blocks
@@ -38,6 +41,7 @@ SYMBOLS = 5  # in a chunk
 MISS = 1e-6
 SIGNATURE_BLOCK = 2048  # rows of a few hundred bytes
 SET_BLOCK = 256  # rows of whole sets
+PIVOT_CHUNK = 64  # rows of whole sets that are compared with one
 SLICE_BYTES = 2_000_000
 
 
@@ -202,31 +206,104 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def links(texts: DataFrame, candidates: DataFrame, shingle: int, percent: int, id_column: str, text_column: str) -> DataFrame:
-    """Edges (a, b) whose components are those of all pairs with the wanted similarity, within the candidates' components."""
-    coarse = stored(connected_components(candidates), "coarse")
-    sized = stored(coarse.join(coarse.groupBy("component").agg(F.count("*").alias("size")), "component"), "sized")
-    given = texts.select(F.col(f"`{id_column}`").cast("long").alias("node"), F.col(f"`{text_column}`").cast("string").alias("text"))
+def _with_sets(given: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` (a column ``node`` and others) with the set of their texts, once per text of a node."""
+    names = [c for c in rows.columns if c != "node"]
+    joined = given.join(rows, "node").select("node", *names, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 sets = [shingle_set(spaced_words(t.as_py()), shingle).tobytes() for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("component"), part.column("size"), pa.array(sets, pa.binary())], names=["node", "component", "size", "set"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("node", *names)), pa.array(sets, pa.binary())], names=["node", *names, "set"])
+
+    return joined.mapInArrow(run, T.StructType([*joined.drop("text").schema.fields, T.StructField("set", T.BinaryType())]))
+
+
+def _similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    common = intersections(sets)
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    np.fill_diagonal(near, False)
+    return near
+
+
+def joined_to_pivots(given: DataFrame, members: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, component, part) of the ``members`` (node, component, size) of large components, and the links that make the parts.
 
-    sets = given.join(sized, "node").select("node", "component", "size", "text").mapInArrow(run, "node long, component long, size long, set binary")
+    In each round every open member of a component is compared with one of them, its pivot, and those that it is linked to make a part. A component
+    goes on for as long as a round at least halves its open members and they are more than a block, so all rounds compare at most twice its members.
+    """
+    settled: list[DataFrame] = []
+    found: list[DataFrame] = []
+
+    def pairs(table: pa.Table) -> Iterable[tuple[int, int]]:
+        nodes, pivot = table.column("node").to_numpy(), table.column("pivot").to_numpy()
+        own = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
+        for head in np.flatnonzero(nodes == pivot):
+            for i in np.flatnonzero(nodes != pivot):
+                common = len(np.intersect1d(own[head], own[i], assume_unique=True))
+                if 100 * common >= percent * (len(own[head]) + len(own[i]) - common):
+                    yield int(pivot[i]), int(nodes[i])
+
+    active = members
+    while not active.isEmpty():
+        pivots = active.groupBy("component").agg(F.min("node").alias("pivot"))
+        star = stored(active.join(pivots, "component").withColumn("chunks", F.ceil(F.col("size") / F.lit(float(PIVOT_CHUNK))).cast("int")), "star")
+        mates = star.where("node != pivot").select("node", "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
+        heads = star.where("node = pivot").select("node", "pivot", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        linked = stored(by_group(_with_sets(given, mates.unionByName(heads), shingle), ["pivot", "chunk"], pairs, EDGES).distinct(), "linked")
+        found.append(linked)
+        after = star.join(linked.select(F.col("b").alias("node"), F.lit(True).alias("linked")), "node", "left")
+        after = stored(after.withColumn("open", F.col("linked").isNull() & (F.col("node") != F.col("pivot"))), "after")
+        left = after.where("open").groupBy("component").agg(F.count("*").alias("left"))
+        rest = stored(after.where("open").join(left, "component"), "rest")
+        settled.append(after.where("not open").select("node", "component", F.col("pivot").alias("part")))
+        going = (F.col("left") > SET_BLOCK) & (2 * F.col("left") <= F.col("size"))
+        settled.append(rest.where(~going).select("node", "component", F.col("node").alias("part")))
+        active = rest.where(going).select("node", "component", F.col("left").alias("size"))
+    return reduce(DataFrame.unionByName, settled), found
+
+
+def between_parts(parts: DataFrame) -> DataFrame:
+    """(node, component, own, one, two): each member once for each pair of blocks in which it may meet another part.
+
+    Parts above a block's rows have blocks of their own; the smaller ones of a component share blocks, whatever their number.
+    """
+    sizes = parts.groupBy("component", "part").agg(F.count("*").alias("n"))
+    cells = sizes.withColumn("cell", F.when(F.col("n") > SET_BLOCK, F.col("part")))
+    counts = cells.groupBy("component", "cell").agg(F.sum("n").alias("n")).withColumn("blocks", F.ceil(F.col("n") / F.lit(float(SET_BLOCK))).cast("int"))
+    whole = Window.partitionBy("component")
+    numbered = counts.withColumn("total", F.sum("blocks").over(whole).cast("int")).withColumn("begin", (F.sum("blocks").over(whole.orderBy("cell")) - F.col("blocks")).cast("int"))
+    placed = cells.select("component", "part", "cell").join(numbered.select(F.col("component").alias("c"), F.col("cell").alias("k"), "total", "begin", "blocks"), F.expr("component = c and cell <=> k"))
+    # A component of one large part has nothing left to compare.
+    placed = stored(placed.where("cell is null or blocks < total").select("component", "part", "cell", "total", "begin", "blocks"), "placed")
+    rows = parts.join(placed, ["component", "part"]).withColumn("own", (F.col("begin") + F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int"))
+    apart = F.filter(
+        F.sequence(F.lit(0), F.col("total") - 1),
+        lambda other: F.col("cell").isNull() | (other < F.col("begin")) | (other >= F.col("begin") + F.col("blocks")),
+    )
+    return rows.withColumn("other", F.explode(apart)).select("node", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+
+
+def links(texts: DataFrame, candidates: DataFrame, shingle: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """Edges (a, b) whose components are those of all pairs with the wanted similarity, within the candidates' components."""
+    coarse = stored(connected_components(candidates), "coarse")
+    sized = stored(coarse.join(coarse.groupBy("component").agg(F.count("*").alias("size")), "component"), "sized")
+    given = texts.select(F.col(f"`{id_column}`").cast("long").alias("node"), F.col(f"`{text_column}`").cast("string").alias("text"))
+    zero = F.lit(0)
+    blocks = sized.where(F.col("size") <= SET_BLOCK).select("node", "component", zero.alias("own"), zero.alias("one"), zero.alias("two"))
+    large = sized.where(F.col("size") > SET_BLOCK)
+    found: list[DataFrame] = []
+    if not large.isEmpty():
+        parts, found = joined_to_pivots(given, large.select("node", "component", "size"), shingle, percent)
+        blocks = blocks.unionByName(between_parts(parts))
 
     def similar(table: pa.Table) -> Iterable[tuple[int, int]]:
         own = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
-        if len(own) < 2:
-            return []
-        common = intersections(own)
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-        np.fill_diagonal(near, False)
-        return _across(table, near)
-
-    return by_group(in_blocks(sets, "size", "node", SET_BLOCK), ["component", "one", "two"], similar, EDGES)
+        return _across(table, _similar(own, percent)) if len(own) > 1 else []
+
+    return reduce(DataFrame.unionByName, found, by_group(_with_sets(given, blocks, shingle), ["component", "one", "two"], similar, EDGES))
 
 
 def near_duplicates(texts: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

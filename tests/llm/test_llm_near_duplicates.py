@@ -60,6 +60,61 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     assert {i: r["component_id"] for i, r in found.items()} == {i: low for i, (_, low) in brute_force(texts, 5, 80).items()}
 
 
+def swapped(words, places, r):
+    own = list(words)
+    for k in places:
+        own[k] = f"x{r.randrange(10**9)}"
+    return own
+
+
+def shapes(seed):
+    """A chain in which only neighbours are similar, a star, and two stars that one text joins."""
+    r = random.Random(seed)
+    texts, i = {}, 0
+    chain = [f"c{k}" for k in range(120)]
+    for step in range(24):
+        texts[i], i = " ".join(chain), i + 1
+        chain = swapped(chain, range(4 * step % 120, 4 * step % 120 + 4), r)
+    for name in "de":
+        hub = [f"{name}{k}" for k in range(120)]
+        for _ in range(30):
+            texts[i], i = " ".join(swapped(hub, [r.randrange(120)], r)), i + 1
+    one = [f"f{k}" for k in range(160)]
+    for apart in (0, 6, 12):
+        other = swapped(one, range(20, 20 + apart), random.Random(1))
+        for _ in range(25 if apart != 6 else 1):
+            texts[i], i = " ".join(swapped(other, [r.randrange(60, 160)] if apart != 6 else [], r)), i + 1
+    ids = list(texts)
+    r.shuffle(ids)
+    return dict(zip(ids, texts.values(), strict=True))
+
+
+def test_pivots_and_parts_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(N, "SET_BLOCK", 5)
+    monkeypatch.setattr(N, "PIVOT_CHUNK", 3)
+    texts = shapes(8) | {1000 + i: t for i, t in families(9, 2, 40, 90).items()}
+    found = by_id(N.near_duplicates(documents(spark, texts), 3, 85))
+    wanted = brute_force(texts, 3, 85)
+    assert len({low for _, low in wanted.values()}) > 5
+    assert {i: r["component_id"] for i, r in found.items()} == {i: low for i, (_, low) in wanted.items()}
+
+
+def test_a_large_group_is_not_copied_for_each_block(spark, monkeypatch):
+    """Candidates that are all one component: every text near the first, and a few that are like nothing else."""
+    monkeypatch.setattr(N, "SET_BLOCK", 16)
+    monkeypatch.setattr(N, "PIVOT_CHUNK", 8)
+    r = random.Random(10)
+    base = [f"w{k}" for k in range(100)]
+    texts = {i: " ".join(swapped(base, [r.randrange(100)], r) if i % 50 else [f"y{i}.{k}" for k in range(100)] if i else base) for i in range(1600)}
+    candidates = spark.createDataFrame([(0, i) for i in range(1, 1600)], "a long, b long")
+    exchanged, sets = [], N._with_sets
+    monkeypatch.setattr(N, "_with_sets", lambda given, rows, shingle: exchanged.append(rows.count()) or sets(given, rows, shingle))
+    found = C.connected_components(N.links(documents(spark, texts), candidates, 3, 85, "doc_id", "text"))
+    assert {x["node"] for x in rows_of(found)} == {i for i in texts if i % 50 or not i}
+    assert {x["component"] for x in rows_of(found)} == {0}
+    assert sum(exchanged) < 6 * len(texts)
+
+
 def test_pigeonhole_guarantee():
     r = np.random.default_rng(4)
     m = N.chunks(85)
