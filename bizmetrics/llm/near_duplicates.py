@@ -206,10 +206,11 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _with_sets(given: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
-    """``rows`` (a column ``node`` and others) with the set of their texts, once per text of a node."""
-    names = [c for c in rows.columns if c != "node"]
-    joined = given.join(rows, "node").select("node", *names, "text")
+def _sets(texts: DataFrame, sized: DataFrame, shingle: int, id_column: str, text_column: str) -> DataFrame:
+    """``sized`` (a column ``node`` and others) with the set of their texts, once per text of a node."""
+    given = texts.select(F.col(f"`{id_column}`").cast("long").alias("node"), F.col(f"`{text_column}`").cast("string").alias("text"))
+    names = [c for c in sized.columns if c != "node"]
+    joined = given.join(sized, "node").select("node", *names, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +229,7 @@ def _similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return near
 
 
-def joined_to_pivots(given: DataFrame, members: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+def joined_to_pivots(sets: DataFrame, members: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
     """(node, component, part) of the ``members`` (node, component, size) of large components, and the links that make the parts.
 
     In each round every open member of a component is compared with one of them, its pivot, and those that it is linked to make a part. A component
@@ -252,7 +253,7 @@ def joined_to_pivots(given: DataFrame, members: DataFrame, shingle: int, percent
         star = stored(active.join(pivots, "component").withColumn("chunks", F.ceil(F.col("size") / F.lit(float(PIVOT_CHUNK))).cast("int")), "star")
         mates = star.where("node != pivot").select("node", "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
         heads = star.where("node = pivot").select("node", "pivot", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-        linked = stored(by_group(_with_sets(given, mates.unionByName(heads), shingle), ["pivot", "chunk"], pairs, EDGES).distinct(), "linked")
+        linked = stored(by_group(sets.join(mates.unionByName(heads), "node"), ["pivot", "chunk"], pairs, EDGES).distinct(), "linked")
         found.append(linked)
         after = star.join(linked.select(F.col("b").alias("node"), F.lit(True).alias("linked")), "node", "left")
         after = stored(after.withColumn("open", F.col("linked").isNull() & (F.col("node") != F.col("pivot"))), "after")
@@ -290,20 +291,20 @@ def links(texts: DataFrame, candidates: DataFrame, shingle: int, percent: int, i
     """Edges (a, b) whose components are those of all pairs with the wanted similarity, within the candidates' components."""
     coarse = stored(connected_components(candidates), "coarse")
     sized = stored(coarse.join(coarse.groupBy("component").agg(F.count("*").alias("size")), "component"), "sized")
-    given = texts.select(F.col(f"`{id_column}`").cast("long").alias("node"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    zero = F.lit(0)
-    blocks = sized.where(F.col("size") <= SET_BLOCK).select("node", "component", zero.alias("own"), zero.alias("one"), zero.alias("two"))
-    large = sized.where(F.col("size") > SET_BLOCK)
+    sets = stored(_sets(texts, sized, shingle, id_column, text_column), "sets")
+    blocks = sets.where(F.col("size") <= SET_BLOCK).select("node", "set", "component", *(F.lit(0).alias(c) for c in ("own", "one", "two")))
     found: list[DataFrame] = []
+    large = sized.where(F.col("size") > SET_BLOCK).select("node", "component", "size")
     if not large.isEmpty():
-        parts, found = joined_to_pivots(given, large.select("node", "component", "size"), shingle, percent)
-        blocks = blocks.unionByName(between_parts(parts))
+        larger = sets.where(F.col("size") > SET_BLOCK).select("node", "set")
+        parts, found = joined_to_pivots(larger, large, percent)
+        blocks = blocks.unionByName(larger.join(between_parts(parts), "node"))
 
     def similar(table: pa.Table) -> Iterable[tuple[int, int]]:
         own = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
         return _across(table, _similar(own, percent)) if len(own) > 1 else []
 
-    return reduce(DataFrame.unionByName, found, by_group(_with_sets(given, blocks, shingle), ["component", "one", "two"], similar, EDGES))
+    return reduce(DataFrame.unionByName, found, by_group(blocks, ["component", "one", "two"], similar, EDGES))
 
 
 def near_duplicates(texts: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -107,8 +107,8 @@ def test_a_large_group_is_not_copied_for_each_block(spark, monkeypatch):
     base = [f"w{k}" for k in range(100)]
     texts = {i: " ".join(swapped(base, [r.randrange(100)], r) if i % 50 else [f"y{i}.{k}" for k in range(100)] if i else base) for i in range(1600)}
     candidates = spark.createDataFrame([(0, i) for i in range(1, 1600)], "a long, b long")
-    exchanged, sets = [], N._with_sets
-    monkeypatch.setattr(N, "_with_sets", lambda given, rows, shingle: exchanged.append(rows.count()) or sets(given, rows, shingle))
+    exchanged, grouped = [], N.by_group
+    monkeypatch.setattr(N, "by_group", lambda rows, *others: exchanged.append(rows.count()) or grouped(rows, *others))
     found = C.connected_components(N.links(documents(spark, texts), candidates, 3, 85, "doc_id", "text"))
     assert {x["node"] for x in rows_of(found)} == {i for i in texts if i % 50 or not i}
     assert {x["component"] for x in rows_of(found)} == {0}
