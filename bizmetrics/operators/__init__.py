@@ -9,6 +9,7 @@ from bizmetrics.operators.adoption import (
     repeat_rows,
     rollup_distinct,
 )
+from bizmetrics.operators.exact_sums import added_limbs, limb_sums, limbs_decimal, limbs_text
 from bizmetrics.operators.hierarchy import hierarchy_metrics, month_spine, prior_period
 from bizmetrics.operators.periods import (
     bucket_days,
@@ -30,6 +31,7 @@ from bizmetrics.operators.usage import (
 )
 
 __all__ = [
+    "added_limbs",
     "approx_percentiles",
     "attach_row",
     "bucket_days",
@@ -40,6 +42,9 @@ __all__ = [
     "join_member_counts",
     "join_segments",
     "levels_of",
+    "limb_sums",
+    "limbs_decimal",
+    "limbs_text",
     "member_counts",
     "member_sets",
     "membership_flags",

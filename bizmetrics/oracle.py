@@ -539,6 +539,13 @@ QUERIES: dict[str, Query | str] = {
         FROM (SELECT o_orderpriority, (o_orderkey % 7 + 1)::DECIMAL(4,0) AS copies,
                      o_totalprice::DECIMAL(18,2)::DECIMAL(24,9) + (o_orderkey % 1000)::DECIMAL(9,0) * 0.000000001::DECIMAL(9,9) AS price
               FROM orders) GROUP BY o_orderpriority""",
+    "o_exact_sum": """
+        SELECT l_linestatus, l_returnflag,
+               CASE WHEN l_returnflag = 'R' AND cents > 0 THEN '-' ELSE '' END || (cents // 100)::VARCHAR
+                   || CASE WHEN cents // 100 > 0 THEN right('0' || (cents % 100)::VARCHAR, 2) || '0000000000000' ELSE '' END || '.00' AS total_price
+        FROM (SELECT l_linestatus, l_returnflag,
+                     SUM((l_extendedprice::DECIMAL(18,2) * 100)::HUGEINT * (l_orderkey % 1000 * 1000000000 + l_linenumber)::HUGEINT) AS cents
+              FROM lineitem GROUP BY ALL)""",
     "s20_model_volumes": Query(
         "calls",
         """SELECT week_start AS first_day_of_week, model_name, n AS customer_hours, q[1] AS p20_hourly_call_volume,

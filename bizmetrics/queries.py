@@ -27,6 +27,8 @@ from bizmetrics.operators import (
     hourly_usage,
     join_member_counts,
     levels_of,
+    limb_sums,
+    limbs_text,
     member_sets,
     membership_flags,
     month_spine,
@@ -429,6 +431,16 @@ def o_scaled_sum(t: TestTables) -> DataFrame:
     return orders.groupBy("o_orderpriority").agg(total.cast("string").alias("total_price"))
 
 
+@query
+def o_exact_sum(t: TestTables) -> DataFrame:
+    """Amounts of 28 digits, returned ones negative, each counted up to 10^12 times: sums of over 38 digits, as text."""
+    sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
+    price = (money("l_extendedprice") * sign).cast("decimal(38,2)") * F.lit("1000000000000000").cast("decimal(16,0)")
+    lines = t.read("lineitem").select("l_linestatus", "l_returnflag", price.cast("decimal(38,2)").alias("price"), (F.col("l_orderkey") % 1000 * 1000000000 + F.col("l_linenumber")).alias("copies"))
+    sums = lines.groupBy("l_linestatus", "l_returnflag").agg(limb_sums(F.col("price"), F.col("copies"), lines.schema["price"].dataType).alias("limbs"))
+    return sums.select("l_linestatus", "l_returnflag", limbs_text(F.col("limbs"), lines.schema["price"].dataType).alias("total_price"))
+
+
 @query
 def o_avg(t: TestTables) -> DataFrame:
     """Average value per event type, over values above 50 only: the others are NULL and not counted."""
