@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from bizmetrics.llm.common import stored
+from bizmetrics.llm.common import stored, tidy
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def by_group(rows: DataFrame, keys: list[str], function: Callable[[pa.Table], It
         if out:
             yield made()
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, from_arrow_schema(schema))
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), from_arrow_schema(schema))
 
 
 def in_blocks(rows: DataFrame, size: str, by: str, block: int) -> DataFrame:

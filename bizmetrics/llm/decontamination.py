@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizmetrics.llm.common import alnum_words, hashed, ship_package, slices, stored
+from bizmetrics.llm.common import alnum_words, hashed, ship_package, slices, stored, tidy
 
 WINDOW = 10
 SHARD_BYTES = 8_000_000  # of text; a longer document is a shard of its own
@@ -110,7 +110,7 @@ def build_index(texts: DataFrame, id_column: str = "doc_id", text_column: str =
                     names=["shard", "ids", "n_words", "begins", "terms", "counts", "postings"],
                 )
 
-    return given.mapInArrow(run, INDEX_SCHEMA.format(id=kind))
+    return given.mapInArrow(tidy(run), INDEX_SCHEMA.format(id=kind))
 
 
 class Shard:
@@ -244,7 +244,7 @@ def matches(index: DataFrame, block: Block, slop: int = 0) -> DataFrame:
                 types = (batch.schema.field("ids").type.value_type, pa.string(), pa.int32(), pa.int64(), pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["id", "item", "window", "start", "exact"])
 
-    return index.mapInArrow(run, MATCH_SCHEMA.format(id=kind))
+    return index.mapInArrow(tidy(run), MATCH_SCHEMA.format(id=kind))
 
 
 HIT_SCHEMA = "shard string, place int, id {id}, n_words long, hits array<struct<begin: long, end: long>>, items array<string>"
@@ -281,7 +281,7 @@ def hits(index: DataFrame, block: Block) -> DataFrame:
                     names=["shard", "place", "id", "n_words", "hits", "items"],
                 )
 
-    return index.mapInArrow(run, HIT_SCHEMA.format(id=kind))
+    return index.mapInArrow(tidy(run), HIT_SCHEMA.format(id=kind))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:

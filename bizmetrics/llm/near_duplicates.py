@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bizmetrics.llm.common import hashed, mix64, ship_package, slices, spaced_words, stored
+from bizmetrics.llm.common import hashed, mix64, ship_package, slices, spaced_words, stored, tidy
 from bizmetrics.llm.components import by_group, connected_components, forest, in_blocks
 
 SYMBOLS = 5  # in a chunk
@@ -122,7 +122,7 @@ def signed(texts: DataFrame, shingle: int, percent: int, id_column: str = "doc_i
                     names=["id", "n", "digest", "signature"],
                 )
 
-    return given.mapInArrow(run, "id long, n long, digest binary, signature binary")
+    return given.mapInArrow(tidy(run), "id long, n long, digest binary, signature binary")
 
 
 def _keys(classes: DataFrame, symbols: int) -> DataFrame:
@@ -134,7 +134,7 @@ def _keys(classes: DataFrame, symbols: int) -> DataFrame:
                 nodes = np.repeat(part.column("node").to_numpy(), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], names=["key", "node"])
 
-    return classes.select("node", "signature").mapInArrow(run, "key long, node long")
+    return classes.select("node", "signature").mapInArrow(tidy(run), "key long, node long")
 
 
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -218,7 +218,7 @@ def _sets(texts: DataFrame, sized: DataFrame, shingle: int, id_column: str, text
                 sets = [shingle_set(spaced_words(t.as_py()), shingle).tobytes() for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("node", *names)), pa.array(sets, pa.binary())], names=["node", *names, "set"])
 
-    return joined.mapInArrow(run, T.StructType([*joined.drop("text").schema.fields, T.StructField("set", T.BinaryType())]))
+    return joined.mapInArrow(tidy(run), T.StructType([*joined.drop("text").schema.fields, T.StructField("set", T.BinaryType())]))
 
 
 def _similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
