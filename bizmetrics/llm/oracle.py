@@ -85,7 +85,13 @@ def _secrets() -> str:
     window = secret_scan.WINDOW
     weights = ", ".join(f"({c}, {secret_scan.weight(c)})" for c in range(1, window + 1))
     for i, cls in enumerate(secret_scan.CLASSES):
-        tests = [f"NOT regexp_matches(v, {quoted(a)})" for a in secret_scan.ALLOWED] + ([f"regexp_matches(v, {quoted(cls.must_hold)})"] if cls.must_hold else [])
+        tests = [f"length(v) >= {window}"] + ([f"regexp_matches(v, {quoted(cls.must_hold)})"] if cls.must_hold else [])
+        words = quoted(secret_scan.ALLOWED_WORDS)
+        # The parts of runs between allowed words.
+        candidates = f"""SELECT rid, g[i] AS v, s + coalesce(list_sum([length(x) FOR x IN g[1:i-1]]), 0)::BIGINT + coalesce(list_sum([length(x) FOR x IN m[1:i-1]]), 0)::BIGINT AS s
+            FROM (SELECT *, unnest(range(1, len(g) + 1)) AS i
+                  FROM (SELECT rid, s, string_split_regex(v, {words}) AS g, regexp_extract_all(v, {words}) AS m
+                        FROM ({found(f"{cls.alphabet}{{{window},}}")}) WHERE NOT regexp_matches(v, {quoted(secret_scan.ALLOWED_RUNS)})))"""
         # Entropy window by window, from a fresh count of each.
         parts.append(f"""
             SELECT rid, {len(secret_scan.BASE) + i} AS k, min(s + w) AS s, max(s + w) + {window} AS e
@@ -93,7 +99,7 @@ def _secrets() -> str:
                   FROM (SELECT rid, s, w, c, count(*) AS n
                         FROM (SELECT rid, s, w, substr(v, w + p, 1) AS c
                               FROM (SELECT *, unnest(range(0, length(v) - {window - 1})) AS w
-                                    FROM ({found(f"{cls.alphabet}{{{window},}}")}) WHERE {" AND ".join(tests)}), range(1, {window + 1}) AS r(p))
+                                    FROM ({candidates}) WHERE {" AND ".join(tests)}), range(1, {window + 1}) AS r(p))
                         GROUP BY rid, s, w, c) JOIN (VALUES {weights}) AS f(n, f) USING (n)
                   GROUP BY rid, s, w)
             WHERE total <= {secret_scan.limit(cls.entropy)} GROUP BY rid, s""")

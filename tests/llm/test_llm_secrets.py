@@ -1,11 +1,15 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
+from itertools import accumulate
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from llm_cases import by_id, documents, no_documents, odd_documents, rows_of
+from llm_cases import by_id, documents, frame, no_documents, odd_documents, rows_of
+from pyspark.sql import functions as F
 
 from bizmetrics.llm import secret_scan as S
 
@@ -19,19 +23,22 @@ def brute_force(text):
     base = sorted(spans)
     for k, cls in enumerate(S.CLASSES):
         for m in re.finditer(f"{cls.alphabet}{{{S.WINDOW},}}", text):
-            if any(re.search(a, m[0]) for a in S.ALLOWED) or not re.search(cls.must_hold, m[0]):
+            if re.search(S.ALLOWED_RUNS, m[0]):
                 continue
-            dense = [
-                i for i in range(len(m[0]) - S.WINDOW + 1) if sum(S.weight(c) for c in Counter(m[0][i : i + S.WINDOW]).values()) <= S.limit(cls.entropy)
-            ]
-            if dense:
-                spans.append((m.start() + dense[0], 3 + k, m.start() + dense[-1] + S.WINDOW))
+            cuts = [(0, 0), *(w.span() for w in re.finditer(S.ALLOWED_WORDS, m[0])), (len(m[0]), len(m[0]))]
+            for (_, begin), (end, _) in zip(cuts, cuts[1:]):
+                part = m[0][begin:end]
+                if not re.search(cls.must_hold, part):
+                    continue
+                dense = [i for i in range(len(part) - S.WINDOW + 1) if sum(S.weight(c) for c in Counter(part[i : i + S.WINDOW]).values()) <= S.limit(cls.entropy)]
+                if dense:
+                    spans.append((m.start() + begin + dense[0], 3 + k, m.start() + begin + dense[-1] + S.WINDOW))
     join = lambda found: ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e in sorted(found))
     return hashlib.sha256(join(base).encode()).hexdigest(), join(spans)
 
 
 parts = st.sampled_from(
-    ["token", "PassWord", "api_key", "apikey", "secret", '"', "'", " ", " = ", ":", "abc12", "abcdef", "x/y.z-0=", "AKIA", "ABCD0123", "é😀", "\n", "deadbeef", "0123456789", "Zq7kL2mX9vB4nR8tY3wE", "=", "EXAMPLE"]
+    ["token", "PassWord", "api_key", "apikey", "secret", '"', "'", " ", " = ", ":", "abc12", "abcdef", "x/y.z-0=", "AKIA", "ABCD0123", "é😀", "\n", "deadbeef", "0123456789", "Zq7kL2mX9vB4nR8tY3wE", "=", "EXAMPLE", "========"]
 )
 
 
@@ -53,7 +60,52 @@ def test_allow_list_and_window(spark):
     secret, uuid = "Zq7kL2mX9vB4nR8tY3wE5uPa", "123e4567-e89b-12d3-a456-426614174000"
     found = by_id(S.document_secrets(documents(spark, {1: f"a {secret} b", 2: f"{secret}EXAMPLE", 3: uuid, 4: "g" * 300 + "1"})))
     assert found[1]["spans"] == f"entropy_base64:2:{2 + len(secret)}"
-    assert found[2]["spans"] == found[3]["spans"] == found[4]["spans"] == ""
+    assert found[2]["spans"] == f"entropy_base64:0:{len(secret)}"  # the word beside the key takes only windows that it overlaps
+    assert found[3]["spans"] == found[4]["spans"] == ""
+
+
+def test_keys_beside_allowed_words_are_found(spark):
+    key = "Zx9Qw2Er7Ty4Ui1Op8As5Df3Gh6Jk0Lm"
+    beside = ["/sample/x", "--------", "=" * 30, "0123456789", "dummy"]
+    texts = {i: f"{word}{key}" for i, word in enumerate(beside)} | {10 + i: f"{key}{word}" for i, word in enumerate(beside)} | {20: f"{key}/sample/{key}", 21: "Zx9Qw2Er7Tysample4Ui1Op8As"}
+    found = by_id(S.document_secrets(documents(spark, texts)))
+    for i, text in texts.items():
+        assert (found[i]["base_sha256"], found[i]["spans"]) == brute_force(text)
+        assert found[i]["spans"].count("entropy") == {20: 2, 21: 0}.get(i, 1)
+    masked = by_id(S.redact(documents(spark, texts)))
+    assert not any(key in r["text"] for r in masked.values())
+
+
+def test_many_spans_in_one_text(spark):
+    texts = {1: "é token=abcdef1 x\n" * 20_000, 2: "token=abcdef1" + " " * 9000 + "secret:abcdefg", 3: "y" * 5000 + " passwd=zzzzzzz"}
+    found = by_id(S.redact(documents(spark, texts)))
+    assert found[1]["text"] == f"é {S.MASK} x\n" * 20_000
+    assert found[2]["text"] == S.MASK + " " * 9000 + S.MASK and found[3]["text"] == "y" * 5000 + f" {S.MASK}"
+    spans = by_id(S.document_secrets(documents(spark, texts)))
+    for i, text in texts.items():
+        assert (spans[i]["base_sha256"], spans[i]["spans"]) == brute_force(text)
+
+
+def test_a_text_of_hashes_costs_little_more_than_prose(spark):
+    r = random.Random(1)
+    hashes = " ".join("".join(r.choices("0123456789abcdef", k=64)) for _ in range(3000))
+    prose = " ".join("".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(30_000))
+
+    def seconds(text):
+        given = documents(spark, {i: text for i in range(4)}).coalesce(1)
+        S.document_secrets(given).collect()
+        began = time.time()
+        S.document_secrets(given).collect()
+        return time.time() - began
+
+    assert seconds(hashes) < 2 + 10 * seconds(prose)
+
+
+def test_running(spark):
+    values = [[1], list(range(1000)), [5, 1, 9] * 300]
+    given = frame(spark, [(v,) for v in values], "v array<long>")
+    found = rows_of(given.select(S.running(F.col("v"), S.plus).alias("sums"), S.running(F.col("v"), lambda high, x: F.greatest(high, x)).alias("tops")))
+    assert [(r["sums"], r["tops"]) for r in found] == [(list(accumulate(v)), list(accumulate(v, max))) for v in values]
 
 
 def test_redact(spark):
