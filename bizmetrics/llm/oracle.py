@@ -31,7 +31,8 @@ def _sharding() -> str:
 
 
 def _quality() -> str:
-    stop = ", ".join(f"'{form}'" for w in dict.fromkeys(quality_rules.STOP_WORDS) for form in dict.fromkeys((w, w.capitalize())))
+    stop = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
+    folded = f"translate(w, '{quality_rules.UPPER}', '{quality_rules.UPPER.lower()}')"
 
     def passed(rule: quality_rules.Rule) -> str:
         per = rule.per or "1"
@@ -57,7 +58,7 @@ def _quality() -> str:
                    coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS n_exclamations,
                    len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines,
                    len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•]\x20'))) AS n_bullet_lines,
-                   len(list_distinct(list_filter(words, lambda w: w IN ({stop})))) AS n_stop_words
+                   len(list_filter(words, lambda w: {folded} IN ({stop}))) AS n_stop_words
             FROM texts LEFT JOIN covered USING (rid)),
         judged AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, concat_ws(',', {failed}) AS failed_rules

@@ -6,8 +6,10 @@ into boolean columns, so a new rule is a new line of the table. All measures com
 Words are ``[^\x20\x09-\x0D]+``. Windows of three words are found twice by sorting their 64-bit hashes and places, and comparing the words of
 neighbours with equal hashes, so a text of n words costs n log n, however repetitive it is.
 
-Edge cases: null and empty texts have no words, fail the base and are not kept; repeated rows give repeated results;
-columns besides the id and the text are ignored; a ratio with denominator 0 counts as 0.
+Stop words count at each occurrence, in any case of A-Z, against all words of the text, so the rule means the same at every length.
+
+Edge cases: null and empty texts have no words, fail the base and are not kept; a text may have any length, as each measure costs n log n at most;
+repeated rows give repeated results, an empty table none; columns besides the id and the text are ignored; a ratio with denominator 0 counts as 0.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -48,7 +51,7 @@ RULES = (
     Rule("exclamations", "n_exclamations", "n_words", None, 0.3),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 0.9),
-    Rule("stop_words", "n_stop_words", None, 2, None),
+    Rule("stop_words", "n_stop_words", "n_words", 0.06, None),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.5),
 )
 
@@ -102,8 +105,6 @@ def _repeated_words(words: Column) -> Column:
 
 def measures(texts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The id and all measures of each text."""
-    stop_words = F.array(*(F.lit(form) for w in dict.fromkeys(STOP_WORDS) for form in dict.fromkeys((w, w.capitalize()))))
-
     def of(text: Column) -> Column:
         def of_parts(words: Column) -> Column:
             return let(
@@ -118,7 +119,7 @@ def measures(texts: DataFrame, id_column: str = "doc_id", text_column: str = "te
                     F.regexp_count(text, F.lit("!")).cast("long").alias("n_exclamations"),
                     F.size(F.filter(lines, lambda line: line.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*\z"))).cast("long").alias("n_ellipsis_lines"),
                     F.size(F.filter(lines, lambda line: line.rlike(r"\A[\x20\x09-\x0D]*[-*•]\x20"))).cast("long").alias("n_bullet_lines"),
-                    F.size(F.array_intersect(words, stop_words)).cast("long").alias("n_stop_words"),
+                    F.size(F.filter(words, lambda word: F.translate(word, UPPER, UPPER.lower()).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
                 ),
             )
 

@@ -21,11 +21,12 @@ def brute_force(text):
         "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")),
         "n_dup_lines": len(lines) - len(set(lines)),
         "n_repeat_words": len(covered),
+        "n_stop_words": sum(re.sub("[A-Z]", lambda m: m[0].lower(), w) in Q.STOP_WORDS for w in words),
     }
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet="ab \n#é😀\x0b!", max_size=60), min_size=1, max_size=40))
+@given(st.lists(st.text(alphabet="aAb \n#é😀\x0b!", max_size=60), min_size=1, max_size=40))
 def test_measures_equal_brute_force(spark, texts):
     found = by_id(Q.measures(documents(spark, dict(enumerate(texts)))))
     for i, text in enumerate(texts):
@@ -57,6 +58,16 @@ def test_rules(spark):
     assert found[5]["base_failed"]
 
 
+def test_stop_words_are_a_ratio_at_every_length(spark):
+    junk = [f"w{i}" for i in range(10_000)]
+    prose = "THE NAME OF IT IS NOT KNOWN AND NOBODY ASKS FOR IT".split()
+    texts = {1: " ".join([*junk, "the", "of"]), 2: " ".join(w for i in range(30) for w in [*prose, f"x{i}"]), 3: " ".join(w for i, j in enumerate(junk) for w in ([j, "the"] if i % 10 == 0 else [j]))}
+    found = by_id(Q.document_quality(documents(spark, texts)))
+    assert found[1]["failed_rules"] == "stop_words" and found[1]["n_stop_words"] == 2
+    assert "stop_words" not in found[2]["failed_rules"] and found[2]["n_stop_words"] == 30 * 7
+    assert found[3]["kept"] and found[3]["n_stop_words"] == 1000
+
+
 def test_odd_rows(spark):
     found = rows_of(Q.document_quality(odd_documents(spark)))
     assert len(found) == 9
