@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
 _OWN: dict[str, str] = {}
 
+BATCH_BYTES = 6_000_000  # or one row
+
 #: Upper-case ASCII letters to lower case; every other ASCII byte outside [0-9a-z] to a space.
 ALNUM_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
 
@@ -46,8 +48,15 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch that goes to Python, where the session doesn't: 10,000 rows of long texts may have any size."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per session, wherever its folder lies."""
+    """Give the executors this package, once per session, wherever its folder lies; batches for it are bounded."""
+    bound_batches(spark)
     context = spark.sparkContext
     if context in _SHIPPED:
         return
